@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bagminhash import near_dedup
 from .hilbert import hilbert_shards
+from .quality_knn import quality_scores
 from .radix_dedup import exact_dedup
 
 
@@ -14,6 +16,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(spark, _read(spark, sf_dir, "documents"))
 
@@ -22,9 +28,15 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, _read(spark, sf_dir, "documents"))
 
 
+def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(spark, _read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_knn": op1_quality_knn,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op7_exact_dedup": op7_exact_dedup,
+    "op10_bagminhash": op10_bagminhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
