@@ -10,6 +10,7 @@ from .bagminhash import near_dedup
 from .hilbert import hilbert_shards
 from .quality_knn import quality_scores
 from .radix_dedup import exact_dedup
+from .wavelet import wavelet_shards
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -20,6 +21,10 @@ def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet_shards(spark, _read(spark, sf_dir, "documents"))
+
+
 def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(spark, _read(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_knn": op1_quality_knn,
+    "op4_wavelet_shards": op4_wavelet_shards,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op7_exact_dedup": op7_exact_dedup,
     "op10_bagminhash": op10_bagminhash,
