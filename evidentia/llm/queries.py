@@ -8,8 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bagminhash import near_dedup
 from .hilbert import hilbert_shards
+from .mixing import mix
+from .packing import pack
 from .quality_knn import quality_scores
 from .radix_dedup import exact_dedup
+from .warc_zstd import warc_round_trip
 from .wavelet import wavelet_shards
 
 
@@ -21,6 +24,10 @@ def op1_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+def op2_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(spark, _read(spark, sf_dir, "pages"))
+
+
 def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_shards(spark, _read(spark, sf_dir, "documents"))
 
@@ -33,19 +40,37 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, _read(spark, sf_dir, "documents"))
 
 
+def op8_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(spark, _read(spark, sf_dir, "documents"))
+
+
+def op9_soft_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(spark, _read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(spark, _read(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_knn": op1_quality_knn,
+    "op2_warc_zstd": op2_warc_zstd,
     "op4_wavelet_shards": op4_wavelet_shards,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_length_buckets": op8_length_buckets,
+    "op9_soft_mixing": op9_soft_mixing,
     "op10_bagminhash": op10_bagminhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op2_warc_zstd": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+        q AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha256(html) AS payload_digest, min(page_id) OVER (PARTITION BY html) AS first_id FROM p)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id > first_id THEN first_id END AS refers_to
+        FROM q
+    """,
     "op7_exact_dedup": r"""
         WITH n AS (
             SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
