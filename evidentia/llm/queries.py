@@ -12,6 +12,7 @@ from .mixing import mix
 from .packing import pack
 from .quality_knn import quality_scores
 from .radix_dedup import exact_dedup
+from .vptree import nearest
 from .warc_zstd import warc_round_trip
 from .wavelet import wavelet_shards
 
@@ -28,6 +29,10 @@ def op2_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(spark, _read(spark, sf_dir, "pages"))
 
 
+def op3_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(spark, _read(spark, sf_dir, "embeddings"))
+
+
 def op4_wavelet_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wavelet_shards(spark, _read(spark, sf_dir, "documents"))
 
@@ -55,6 +60,7 @@ def op10_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_knn": op1_quality_knn,
     "op2_warc_zstd": op2_warc_zstd,
+    "op3_vantage_point": op3_vantage_point,
     "op4_wavelet_shards": op4_wavelet_shards,
     "op5_hilbert_shards": op5_hilbert_shards,
     "op7_exact_dedup": op7_exact_dedup,
