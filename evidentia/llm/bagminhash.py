@@ -247,3 +247,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, **how: object) -> DataFrame
     return ids.join(classes, "rid", "left").select(
         "doc_id", F.when(F.col("class_size").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("class_size", F.lit(1).cast("long")).alias("class_size"), F.coalesce("kept", F.lit(True)).alias("kept")
     )
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, **how: object) -> DataFrame:
+    """The input's rows, one of each class of near-duplicates."""
+    scratch = Scratch(spark, "bagminhash")
+    rows, classes = near_classes(scratch, docs, **how)
+    dropped = scratch.keep(classes.filter("NOT kept").select("rid"), "dropped")
+    return rows.join(sized(dropped, dropped.count()), "rid", "left_anti").select("doc.*")

@@ -132,3 +132,8 @@ def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, samp
     # only doc_id rides along; the score sees the text alone
     out = scored(spark, slim.select("doc_id", "text"), labels, sample).select("doc.doc_id", "score")
     return out.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
+
+
+def good_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The input's rows that are predicted to be of label 1."""
+    return scored(spark, docs, labels, sample).filter(F.col("score") >= LEAST_SCORE).select("doc.*")

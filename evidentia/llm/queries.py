@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .bagminhash import near_dedup
+from .blob_ledger import scan_versions
 from .hilbert import hilbert_shards
 from .mixing import mix
 from .packing import pack
@@ -41,6 +42,10 @@ def op5_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards(spark, _read(spark, sf_dir, "documents"))
 
 
+def op6_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_versions(spark, _read(spark, sf_dir, "documents"))[0]
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(spark, _read(spark, sf_dir, "documents"))
 
@@ -63,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_vantage_point": op3_vantage_point,
     "op4_wavelet_shards": op4_wavelet_shards,
     "op5_hilbert_shards": op5_hilbert_shards,
+    "op6_blob_ledger": op6_blob_ledger,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_length_buckets": op8_length_buckets,
     "op9_soft_mixing": op9_soft_mixing,

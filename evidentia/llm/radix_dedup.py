@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, has_columns, sized
+from .scratch import Scratch, has_columns, sized, text_of
 
 #: Width of the first digit, and how much wider each next digit is.
 FIRST_DIGIT, WIDER = 64, 4
@@ -34,14 +34,12 @@ def _digits() -> list[tuple[int, int]]:
     return out
 
 
-def equal_groups(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, groups): every row with its ``rid``, and (rid, gid) for rows in groups of equal documents."""
+def equal_groups(scratch: Scratch, slim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, groups): every row of ``slim`` (rid, doc_id, text), and (rid, gid) for rows in groups of equal documents."""
     digits = _digits()
-    slim = has_columns(docs, doc_id="long", text="string")
-    slim = slim.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    slim = slim.select("doc_id", F.length("text").alias("n_points"), F.regexp_replace("text", "[ \\t-\\r]", "").alias("norm"))
-    slim = slim.select("doc_id", "n_points", F.sha2("norm", 256).alias("text_sha256"), F.col("norm").cast("binary").alias("bytes"))
-    slim = slim.withColumn("rid", F.monotonically_increasing_id()).withColumn("size", F.octet_length("bytes"))
+    slim = slim.select("rid", "doc_id", F.length("text").alias("n_points"), F.regexp_replace("text", "[ \\t-\\r]", "").alias("norm"))
+    slim = slim.select("rid", "doc_id", "n_points", F.sha2("norm", 256).alias("text_sha256"), F.col("norm").cast("binary").alias("bytes"))
+    slim = slim.withColumn("size", F.octet_length("bytes"))
     table = F.array(*(F.struct(F.lit(i).alias("level"), F.lit(at).alias("at"), F.lit(w).alias("w")) for i, (at, w) in enumerate(digits)))
     used = F.filter(table, lambda d: (d["at"] < F.col("size")) | (d["level"] == 0))
     cut = slim.select("rid", "doc_id", "n_points", "text_sha256", "size", F.explode(F.transform(used, lambda d: F.struct(d["level"].alias("level"), F.substring(F.col("bytes"), d["at"] + 1, d["w"]).alias("digit")))).alias("d"))
@@ -74,15 +72,35 @@ def equal_groups(scratch: Scratch, docs: DataFrame) -> tuple[DataFrame, DataFram
     return every, groups
 
 
-def exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row; of equal texts the row with most code points, then the smallest doc_id stays."""
-    scratch = Scratch(spark, "radix")
-    every, groups = equal_groups(scratch, docs)
+def decided(scratch: Scratch, slim: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows, members): all rows, and those in groups of two or more with keep_id, keep_rid and group_size. Of equal
+    texts the row with most code points, then the smallest doc_id stays."""
+    every, groups = equal_groups(scratch, slim)
     members = scratch.keep(every.join(groups, "rid"), "members")
     order = F.struct("n_points", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("low"), (-F.col("rid")).alias("one"))
     best = members.groupBy("gid").agg(F.max(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
     best = scratch.keep(best.select("gid", "group_size", (-F.col("best.low")).alias("keep_id"), (-F.col("best.one")).alias("keep_rid")), "best")
-    found = members.join(sized(best, best.count()), "gid").select("rid", "doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256")
+    return every, members.join(sized(best, best.count()), "gid")
+
+
+def exact_dedup(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """doc_id, keep_id, group_size, kept, text_sha256 for every row."""
+    scratch = Scratch(spark, "radix")
+    # the number is fixed by the first table that is written, which all later steps read
+    slim = has_columns(docs, doc_id="long", text="string").select(F.monotonically_increasing_id().alias("rid"), "doc_id", text_of().alias("text"))
+    every, members = decided(scratch, slim)
+    members = scratch.keep(members, "found")
+    found = members.select("doc_id", "keep_id", "group_size", (F.col("rid") == F.col("keep_rid")).alias("kept"), "text_sha256")
     single = every.join(sized(members.select("rid"), members.count()), "rid", "left_anti")
-    single = single.select("rid", "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
-    return found.unionByName(single).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+    single = single.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+    return found.unionByName(single)
+
+
+def distinct_rows(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The input's rows without those whose text equals that of a row that stays."""
+    scratch = Scratch(spark, "radix")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")).withColumn("rid", F.monotonically_increasing_id())
+    rows = scratch.keep(rows, "rows")
+    _, members = decided(scratch, rows.select("rid", F.col("doc.doc_id").cast("long").alias("doc_id"), text_of("doc.text").alias("text")))
+    dropped = scratch.keep(members.filter("rid <> keep_rid").select("rid"), "dropped")
+    return rows.join(sized(dropped, dropped.count()), "rid", "left_anti").select("doc.*")
