@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import guard
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -16,10 +19,14 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     """Registers a query under its name."""
 
     def add(f: Query) -> Query:
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(guard(spark), sf_dir)
+
+        QUERIES[f.__name__] = run
         if sql:
             ORACLE_SQL[f.__name__] = sql
-        return f
+        return run
 
     return add
 

@@ -155,8 +155,12 @@ def table_matrix_rebuild(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
     WITH {CELLS}, u AS (SELECT l_orderkey, row, unnest(t) AS text, unnest(range(4)) AS c FROM every),
-    k AS (SELECT l_orderkey, c, count(*) FILTER (length(trim(text)) > 3 AND NOT regexp_matches(text, '[0-9]')) AS labels, count(*) AS rows FROM u GROUP BY 1, 2)
-    SELECT l_orderkey, '0' AS header_rows, '1' AS year_columns, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (labels * 4 >= rows), '') AS label_columns FROM k GROUP BY 1
+    y AS (SELECT *, regexp_matches(text, '\\b(19|20)[0-9][0-9]\\b') AS year FROM u),
+    k AS (SELECT l_orderkey, c, bool_or(year) AS year, count(*) FILTER (length(trim(text)) > 3 AND NOT regexp_matches(text, '[0-9]')) AS labels, count(*) AS rows FROM y GROUP BY 1, 2),
+    r AS (SELECT l_orderkey, row, bool_or(year) AS year FROM y GROUP BY 1, 2),
+    h AS (SELECT l_orderkey, coalesce(string_agg(CAST(row AS VARCHAR), ',' ORDER BY row) FILTER (year AND row < 5), '0') AS header_rows FROM r GROUP BY 1)
+    SELECT l_orderkey, any_value(header_rows) AS header_rows, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (year), '') AS year_columns, coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (labels * 4 >= rows), '') AS label_columns
+    FROM k JOIN h USING (l_orderkey) GROUP BY 1
 """)
 def table_structure(spark: SparkSession, d: str) -> DataFrame:
     out = M.structure(_cells(spark, d), "l_orderkey", "row", "column", "text")
