@@ -8,9 +8,11 @@ give points without being split to the bottom, and documents with different weig
 cover. The share of equal components estimates sum(min) / sum(max) of the weights without bias.
 
 Documents with equal multisets are one class from the start, so copies never meet in pairs. Classes that share a band
-are compared with the smallest class of that bucket; what stays apart from a bucket's main component is then compared
-with every other member of the bucket outside its own component. So every two classes that share a band are in one
-component or have been compared in full. Components grow by minimum labels with pointer jumping over DataFrames.
+are compared with the smallest class of that bucket. What stays apart from a bucket's main component then meets, in a
+small bucket, every member outside its own component, and in a large one a few hubs of the main component; what is still
+apart there is joined, on the rare shingles that any link must share, with all members of such buckets. So every two
+classes that share a band are in one component, or have been compared in full, or are ruled out by an exact bound, and
+a large group never meets in pairs. Components grow by minimum labels with pointer jumping over DataFrames.
 
 Defined cases: null text counts as empty; all documents without words are one class; a text of fewer than five words is
 one shingle; of rows that repeat one is kept; null doc_ids come last in their class; an empty table gives an empty
@@ -27,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .scratch import Scratch, schema, sized, text_of
 from .shingles import WIDTH, WordHashes, mix, multiset, overlap
@@ -37,6 +40,10 @@ BANDS, ROWS = 24, 4
 #: Least weighted Jaccard similarity of a link.
 SIMILARITY = 0.8
 
+#: In buckets of at most so many classes all pairs that are still in question are compared; in larger ones, those apart
+#: are compared with so many hubs, and what is left is joined on rare shingles.
+SMALL_BUCKET, HUBS = 16, 4
+
 #: Shingles whose processes run together in numpy.
 BLOCK = 100_000
 
@@ -171,6 +178,39 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     return labels
 
 
+def _tokens(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    """same, n and one row for each member of the multiset: repeats of a shingle are told apart by their number."""
+    known = WordHashes()
+    for batch in batches:
+        for same, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            h, c = multiset(text.as_py(), known, width)
+            n = int(c.sum())
+            turn = np.arange(n) - np.repeat(np.cumsum(c) - c, c)
+            token = mix(np.repeat(h, c) + turn.astype(np.uint64) * _STEP).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([same] * n, pa.binary()), pa.array([n] * n, pa.int64()), pa.array(token)], ["same", "n", "token"])
+
+
+def _share_rare(scratch: Scratch, groups: DataFrame, n_groups: int, bodies: DataFrame, similarity: float, width: int) -> DataFrame:
+    """(same, x): pairs of an apart class and one of another label that share a token early enough for a link.
+
+    Each class's tokens are ordered by how many classes have them, rarest first. Classes of n and m tokens with the least
+    similarity s share at least s / (1 + s) * (n + m) tokens, so their first common token must leave that many in both
+    orders. This is exact: no linked pair is left out.
+    """
+    tokens = bodies.join(sized(groups, n_groups), "same").select("same", "text").mapInArrow(lambda it: _tokens(it, width), "same binary, n long, token long")
+    tokens = scratch.keep(tokens, "tokens")
+    common = scratch.keep(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1"), "common")
+    ranked = tokens.join(sized(common, common.count()), "token")
+    own = Window.partitionBy("same")
+    at = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "token")) - 1
+    early = ranked.withColumn("at", at).filter(F.col("n") - F.col("at") >= F.col("n") * (similarity - 1e-9))
+    early = scratch.keep(early.join(sized(groups, n_groups), "same").select("token", "same", "n", "at", "label", "is_apart"), "early")
+    x = early.filter("is_apart").select("token", F.col("same").alias("x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"), F.col("label").alias("label_x"))
+    least = (F.col("n") + F.col("n_x")) * (similarity / (1 + similarity) - 1e-9)
+    met = early.join(x, "token").filter((F.col("label") != F.col("label_x")) & (F.least(F.col("n") - F.col("at"), F.col("n_x") - F.col("at_x")) >= least))
+    return met.select("same", "x").distinct()
+
+
 def near_classes(scratch: Scratch, docs: DataFrame, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
     """(rows, classes): ``rows`` is the written input with ``rid`` and ``doc`` (all its columns); ``classes`` has
     (rid, class_id, class_size, kept) for rows in classes of two or more, class_id being the smallest doc_id."""
@@ -209,24 +249,45 @@ def near_classes(scratch: Scratch, docs: DataFrame, bands: int = BANDS, rows: in
     links = seen.filter("good")
     labels = components(scratch, links, "first")
 
-    # members apart from their bucket's main component meet every other member of another component
+    # members apart from their bucket's main component: in a small bucket they meet every member outside their own
+    # component, in a large one a few hubs of the main component first
+    def unsettled(labels: DataFrame, n_labels: int, name: str) -> tuple[DataFrame, DataFrame]:
+        """(mixed, apart): members of buckets with several components, and those of them outside the main one."""
+        placed = together.join(sized(labels, n_labels), F.col("same") == F.col("v"), "left").select("bucket", "same", "in_bucket", F.coalesce("label", "same").alias("label"))
+        placed = scratch.keep(placed, f"placed_{name}")
+        sides = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+        main = sides.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("bucket", "main")
+        main = scratch.keep(main, f"main_{name}")
+        mixed = scratch.keep(placed.join(sized(main, main.count()), "bucket"), f"mixed_{name}")
+        return mixed, mixed.filter("label <> main").select("bucket", F.col("same").alias("x"), F.col("label").alias("label_x"))
+
+    def fresh(pairs: DataFrame, done: DataFrame) -> DataFrame:
+        pairs = pairs.select(F.least("same", "x").alias("a"), F.greatest("same", "x").alias("b")).distinct()
+        done = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return comparable(pairs.join(done, ["a", "b"], "left_anti"))
+
+    mixed, apart = unsettled(labels, labels.count(), "first")
+    few = mixed.filter(F.col("in_bucket") <= SMALL_BUCKET).join(apart, "bucket").filter("label <> label_x").select("same", "x")
+    hub = [F.min_by("same", F.xxhash64("same", F.lit(i))).alias(f"hub_{i}") for i in range(HUBS)]
+    hubs = mixed.filter((F.col("in_bucket") > SMALL_BUCKET) & (F.col("label") == F.col("main"))).groupBy("bucket").agg(*hub)
+    hubs = scratch.keep(hubs.select("bucket", F.explode(F.array_distinct(F.array(*(f"hub_{i}" for i in range(HUBS))))).alias("same")), "hubs")
+    tries = apart.join(sized(hubs, hubs.count()), "bucket").select("same", "x")
+    more = compared(scratch.keep(fresh(few.unionByName(tries), seen), "tries"), "more")
+    seen = seen.unionByName(more)
+    links = scratch.keep(seen.filter("good"), "links_2")
+    labels = components(scratch, links, "second")
+
+    # what is still apart in large buckets is joined on the rare shingles that a link must share
+    mixed, apart = unsettled(labels, labels.count(), "second")
+    large = F.col("in_bucket") > SMALL_BUCKET
+    groups = scratch.keep(mixed.filter(large).groupBy("same").agg(F.min("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("is_apart")), "groups")
+    n_groups = groups.count()
+    if n_groups:
+        shared = _share_rare(scratch, groups, n_groups, bodies, similarity, width)
+        late = compared(scratch.keep(fresh(shared, seen), "rare"), "late")
+        links = scratch.keep(links.unionByName(late.filter("good")), "links_3")
+        labels = components(scratch, links, "third")
     n_labels = labels.count()
-    placed = together.join(sized(labels, n_labels), F.col("same") == F.col("v"), "left").select("bucket", "same", F.coalesce("label", "same").alias("label"))
-    placed = scratch.keep(placed, "placed")
-    sides = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = sides.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("bucket", "main")
-    main = scratch.keep(main, "main")
-    mixed = scratch.keep(placed.join(sized(main, main.count()), "bucket"), "mixed")
-    apart = mixed.filter("label <> main").select("bucket", F.col("same").alias("x"), F.col("label").alias("label_x"))
-    rest = mixed.join(apart, "bucket").filter("label <> label_x")
-    rest = rest.select(F.least("same", "x").alias("a"), F.greatest("same", "x").alias("b")).distinct()
-    done = seen.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a"))
-    rest = scratch.keep(comparable(rest.join(done, ["a", "b"], "left_anti")), "rest")
-    late = compared(rest, "late").filter("good")
-    if late.limit(1).count():
-        links = scratch.keep(links.unionByName(late), "links")
-        labels = components(scratch, links, "second")
-        n_labels = labels.count()
 
     whole = owners.join(sized(labels, n_labels), F.col("same") == F.col("v"), "left").select("same", F.coalesce("label", "same").alias("label"), "copies")
     tags = whole.filter((F.col("copies") > 1) | (F.col("label") != F.col("same")))

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from ..session import guard
+
 #: A side of at most so many rows, each of a few numbers or one short key, is broadcast (about 64 MB as a hash table).
 BROADCAST_ROWS = 500_000
 
@@ -41,7 +43,7 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-        bound_batches(spark)
+        bound_batches(guard(spark))
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
