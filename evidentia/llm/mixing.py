@@ -4,15 +4,15 @@ A document belongs to each domain with a probability. Domains are the label pair
 on shape steps and telling words, fitted on a bounded sample of the labelled training rows (at most ``SAMPLE``), gives
 the posteriors. Then nonnegative rates r, one for each document, are fitted so that the expected tokens of every domain,
 sum(r * tokens * posterior), meet the targets in the least-squares sense. The fit is projected gradient from r = 1: a
-step moves each rate against its gradient, in the metric in which the unconstrained problem has unit curvature, and
-clips it at 0. A rate is a function of the document's posteriors and the few step vectors so far, so an iteration is
+step moves each rate against its gradient, in a metric in which the unconstrained problem has nearly unit curvature, and
+clips it to [0, MOST_RATE]. A rate is a function of the document's posteriors and the few step vectors so far, so an iteration is
 one sum over a narrow written table, and only as many numbers as there are domains reach the driver.
 
 A rate becomes a whole number of copies by a hash of doc_id: floor(rate), and one more with the probability of the rest.
 
 Tokens are words between white space here. Defined cases: a null text counts as empty and has no tokens, its posteriors
-come from the features that it has; without labels all posteriors are equal; a domain that no document can belong to is
-left short; null doc_ids share one hash; rows that repeat are mixed one by one; an empty table gives an empty result.
+come from the features that it has; without labels all posteriors are equal; a domain that has too few
+tokens for its target is left short, and the others share the rest; null doc_ids share one hash; rows that repeat are mixed one by one; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -39,8 +39,16 @@ WORDS, LEAST_DOCUMENTS = 256, 5
 DOMAINS = ((0, 0), (0, 1), (1, 0), (1, 1))
 TARGETS = (0.04, 0.01, 0.91, 0.04)
 
-#: Steps at most, and the greatest distance from the targets, as a share of all tokens, at which they end.
-ITERATIONS, CLOSE = 40, 1e-6
+#: A rate is at most this, and a domain is asked for at most so many times the tokens that it is expected to have; the
+#: other domains share what is left.
+MOST_RATE = 4.0
+
+#: Steps at most, and the greatest distance from the targets, as a share of all tokens, at which they end; they also end
+#: when a step moves no domain by a tenth of that.
+ITERATIONS, CLOSE = 40, 1e-4
+
+#: Added to the curvature, so that domains with far less of the tokens than this can't throw the rates of all others.
+DAMPING = 0.02
 
 _MARKS = ".,;:!?()[]\"'|"
 
@@ -133,12 +141,23 @@ def members(scratch: Scratch, docs: DataFrame, labels: DataFrame, carried: Seque
 
 
 def rate_of(steps: Sequence[np.ndarray], start: float) -> Column:
-    """The rate after these steps: each is projected on r >= 0."""
+    """The rate after these steps: each is projected on 0 <= r <= MOST_RATE."""
     if not len(steps):
         return F.lit(start)
     table = F.array(*(F.array(*(F.lit(float(v)) for v in s)) for s in steps))
     against = lambda s: F.aggregate(F.zip_with("p", s, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    return F.aggregate(table, F.lit(start), lambda r, s: F.greatest(r - against(s), F.lit(0.0)))
+    return F.aggregate(table, F.lit(start), lambda r, s: F.least(F.greatest(r - against(s), F.lit(0.0)), F.lit(MOST_RATE)))
+
+
+def attainable(goal: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Shares nearest to ``goal`` in which no domain has more than MOST_RATE times its present share."""
+    top, out = MOST_RATE * share, goal.copy()
+    for _ in goal:
+        over = out > top
+        if not over.any() or out[~over].sum() <= 0:
+            break
+        out = np.where(over, top, out * (1 - top[over].sum()) / out[~over].sum())
+    return out
 
 
 def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None = None, iterations: int = ITERATIONS, close: float = CLOSE) -> tuple[list[np.ndarray], float]:
@@ -153,15 +172,17 @@ def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None =
     if not tokens:
         return [], 0.0
     curvature = np.array(gram[1:], float).reshape(d, d) / tokens
-    weight = np.linalg.pinv(curvature, rcond=1e-9, hermitian=True)
-    goal = np.array(targets, float) / sum(targets) * ((total or tokens) / tokens)
+    weight = np.linalg.inv(curvature + DAMPING * np.eye(d))
+    goal = attainable(np.array(targets, float) / sum(targets), curvature.sum(axis=1)) * ((total or tokens) / tokens)
     steps: list[np.ndarray] = []
+    before = np.full(d, np.inf)
     for _ in range(iterations + 1):
         rate = rate_of(steps, 1.0)
         now = found.withColumn("rate", rate).agg(*(F.sum(F.col("n_tokens") * F.col("rate") * a) for a in at)).first()
         off = np.array(now, float) / tokens - goal
-        if np.abs(off).max() <= close or len(steps) == iterations:
+        if np.abs(off).max() <= close or np.abs(off - before).max() <= close / 10 or len(steps) == iterations:
             break
+        before = off
         steps.append(weight @ off)
     return steps, float(np.abs(off).max())
 
