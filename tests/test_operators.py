@@ -216,3 +216,15 @@ def test_ingest_takes_new_files_once(spark, tmp_path):
     q = counts.writeStream.format("memory").queryName("w").outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r.n for r in spark.table("w").collect()} == {10}
+
+
+def test_families_score_their_own_documents(spark):
+    from evidentia.operators.families import FAMILIES
+
+    titles = {"agm": "Acme AGM voting results 2024", "assurance": "Acme limited assurance report 2024", "cdp": "Acme CDP climate change response 2024", "sbti": "Acme SBTi commitment letter 2024", "earnings": "Acme earnings call transcript 2024", "investor": "Acme investor presentation 2024", "half_year": "Acme rapport semestriel 2024"}
+    for name, family in FAMILIES.items():
+        rows = [(n, t, f"https://acme.com/{n}.pdf") for n, t in titles.items()]
+        df = spark.createDataFrame(rows, "n string, title string, url string").withColumns({"snippet": F.lit(""), "domain": F.lit("acme.com"), "company": F.lit("Acme"), "official_domain": F.lit("acme.com"), "fiscal_year": F.lit(2024)})
+        got = {r.n: r for r in S.score(df, family).collect()}
+        assert got[name].decision == "auto_download", (name, got[name])
+        assert max(got.values(), key=lambda r: r.score).score == got[name].score
