@@ -100,5 +100,6 @@ def scan_versions(spark: SparkSession, versions: DataFrame, ledger: DataFrame |
     addressed = scratch.keep(texts.select("path", "blob"), "addressed")
     now = update_ledger(scratch, addressed, texts, ledger, rules)
     now = scratch.keep(now, "now") if ledger is not None else now
-    told = addressed.join(sized(now.select("blob", "n_assign", "n_access", "n_hex", "base_sha256", "spans"), now.count()), "blob")
+    # spans have no bound in bytes, so Spark chooses the join by their size, and splits hot blobs
+    told = addressed.join(now.select("blob", "n_assign", "n_access", "n_hex", "base_sha256", "spans"), "blob")
     return told.select(F.col("path").alias("doc_id"), "n_assign", "n_access", "n_hex", "base_sha256", "spans"), now

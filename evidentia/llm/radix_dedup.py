@@ -59,7 +59,7 @@ def equal_groups(scratch: Scratch, slim: DataFrame) -> tuple[DataFrame, DataFram
         n_groups = groups.count()
         if not n_groups:
             break
-        split = scratch.keep(rows.join(sized(groups, n_groups), key).select("rid", F.col("next").alias("gid"), (F.col("size") <= at + width).alias("ended")), f"split_{level}")
+        split = scratch.keep(rows.join(sized(groups, n_groups * (width // FIRST_DIGIT)), key).select("rid", F.col("next").alias("gid"), (F.col("size") <= at + width).alias("ended")), f"split_{level}")
         ended.append(split.filter("ended").select("rid", "gid"))
         open_rows = split.filter("NOT ended").select("rid", "gid")
         n_open = open_rows.count()

@@ -67,7 +67,10 @@ def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 
 def sized(small: DataFrame, rows: int) -> DataFrame:
-    """Marks a counted side for broadcast if it is small; otherwise a shuffle join, which AQE splits where keys are hot."""
+    """Marks a counted side for broadcast if it is small; otherwise a shuffle join, which AQE splits where keys are hot.
+
+    Rows are those of a few numbers or short keys, some 100 bytes; wider ones must be counted as several.
+    """
     return F.broadcast(small) if rows <= BROADCAST_ROWS else small
 
 
