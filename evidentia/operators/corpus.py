@@ -20,9 +20,16 @@ def first_of(df: DataFrame, by: Sequence[str], order: Sequence[Column | str]) ->
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
-def numbered(df: DataFrame, name: str, order: Sequence[Column | str], pattern: str) -> DataFrame:
-    """Ids from a pattern in a total order; for results of groups, which are far fewer than rows."""
-    return df.withColumn(name, F.format_string(pattern, F.row_number().over(Window.orderBy(*order))))
+def numbered(df: DataFrame, name: str, key: str, pattern: str, prefix: int = 2) -> DataFrame:
+    """Ids from a pattern in the order of a text key. Keys with the same first characters are numbered in one task, after
+    the counts of the prefixes before them, so no task sorts everything."""
+    rows = df.withColumn("_prefix", F.substring(key, 1, prefix))
+    counts = rows.groupBy("_prefix").agg(F.count(F.lit(1)).alias("_n"))
+    # a row for each prefix, 256 of two hexadecimal digits
+    before = F.sum("_n").over(Window.orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_prefix", F.coalesce(before, F.lit(0)).alias("_before"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_prefix").orderBy(key))
+    return rows.join(starts, "_prefix").withColumn(name, F.format_string(pattern, place)).drop("_prefix", "_before")
 
 
 def exact_duplicate_groups(docs: DataFrame, key: str = "sha256", ident: str = "document_id", sets: Mapping[str, str] | None = None) -> DataFrame:
@@ -30,7 +37,7 @@ def exact_duplicate_groups(docs: DataFrame, key: str = "sha256", ident: str = "d
     rows = docs.filter(missing(F.col(key)).isNotNull())
     collected = [F.array_sort(F.collect_set(c)).alias(alias) for c, alias in (sets or {}).items()]
     groups = rows.groupBy(key).agg(F.count(F.lit(1)).alias("duplicate_count"), F.array_sort(F.collect_list(ident)).alias("members"), *collected)
-    return numbered(groups.filter("duplicate_count > 1"), "duplicate_group_id", [key], "exact_dup_%04d")
+    return numbered(groups.filter("duplicate_count > 1"), "duplicate_group_id", key, "exact_dup_%04d")
 
 
 def dedup_summary(docs: DataFrame, key: str = "sha256") -> DataFrame:

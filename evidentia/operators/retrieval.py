@@ -80,5 +80,7 @@ def candidate_score(retrieval: Column, value_unit: Column, evidence: Column, con
 
 
 def contained_labels(quotes: DataFrame, labels: DataFrame, quote: str, label: str) -> DataFrame:
-    """Labels that stand in some quote. A substring can't be an equality, so the labels, a catalog, are the broadcast side."""
-    return labels.join(quotes.select(F.col(quote).alias("_quote")), F.col("_quote").contains(F.col(label)), "left_semi")
+    """Labels that stand in some quote. A substring can't be an equality, so the catalog of labels is broadcast to the
+    quotes; each task reports a label once."""
+    met = quotes.select(F.col(quote).alias("_quote")).join(F.broadcast(labels), F.col("_quote").contains(F.col(label)))
+    return met.select(*labels.columns).distinct()
