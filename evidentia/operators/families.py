@@ -23,6 +23,9 @@ def normal(words: Sequence[str]) -> list[str]:
 
 
 STRONG = {
+    "annual": [
+        "annual report", "annual financial report", "rapport annuel", "universal registration document", "document d'enregistrement universel", "document d enregistrement universel", "integrated report", "rapport intégré", "rapport integre",
+    ],
     "agm": [
         "say on climate", "climate resolution", "shareholder resolution climate", "resolution on climate", "AGM resolutions", "annual general meeting resolutions", "proxy statement",
         "notice of annual general meeting", "notice of meeting", "assemblée générale résolutions", "résolutions assemblée générale", "avis de convocation assemblée", "convocation assemblée générale",
@@ -59,6 +62,7 @@ STRONG = {
 }
 
 SECONDARY = {
+    "annual": [],
     "agm": ["AGM", "annual general meeting", "assemblée générale", "shareholder meeting", "extraordinary general meeting", "EGM", "proxy", "voting", "résolutions", "resolutions", "vote par correspondance", "electronic voting"],
     "assurance": [
         "assurance", "verification", "vérification", "audit ESG", "limited assurance", "reasonable assurance", "deloitte assurance", "pwc assurance", "kpmg assurance", "ey assurance", "bureau veritas", "rina", "dnv",
@@ -75,6 +79,7 @@ SECONDARY = {
 }
 
 WEAK = {
+    "annual": ["urd", "deu"],
     "agm": ["assemblée", "general meeting", "shareholders", "actionnaires", "vote", "résolution", "resolution"],
     "assurance": ["verified", "certified", "audited", "vérifié", "certifié", "audité", "independent review", "external review"],
     "cdp": ["carbon disclosure", "climate disclosure", "water disclosure", "forests disclosure", "ghg disclosure"],
@@ -92,6 +97,44 @@ PLATFORMS = {
 
 #: (keywords, points, cap) of classes that count against a document.
 PENALTIES = {
+    "annual": {
+        "availability_notice": (
+            [
+                "availability of the", "availability of", "announces the availability", "announces the publication", "now available", "is now available", "available online", "available on", "available at", "has filed", "filed with",
+                "registration document now", "urd now available", "document now available", "release of the english version", "release of the french version", "publication of the english version", "publication of the french version",
+                "avis de mise à disposition", "avis de mise a disposition", "mise à disposition", "mise a disposition", "disponibilité", "disponibilite",
+            ],
+            -50,
+            55,
+        ),
+        "amendment": (
+            ["amendment", "amended", "1st amendment", "2nd amendment", "3rd amendment", "first amendment", "second amendment", "third amendment", "supplement", "supplementary", "amendement", "actualisation", "mise à jour", "mise a jour"],
+            -45,
+            55,
+        ),
+        "interim": (
+            [
+                "quarterly", "q1", "q2", "q3", "q4", "half year", "half-year", "h1", "interim report", "first half", "first half of the year", "premier semestre", "résultats semestriels", "resultats semestriels", "semestriel", "semestrielle",
+                "half-year results", "half year results",
+            ],
+            -45,
+            50,
+        ),
+        "meeting": (
+            [
+                "brochure d'avis de convocation", "avis de convocation", "convocation ag", "assemblée générale", "assemblee generale", "general meeting", "annual general meeting", "agm", "proxy statement", "shareholder meeting", "notice of meeting",
+            ],
+            -60,
+            40,
+        ),
+        "subsidiary": (
+            [
+                "issuer", "other legal", "other-legal", "warrant", "warrants", "structured products", "produits de bourse", "derivative", "derivatives", "subsidiary", "filiale", "vehicle", "special purpose vehicle", "spv", "legal entity", "entity report",
+            ],
+            -35,
+            100,
+        ),
+    },
     "earnings": {"press_release": (PRESS_RELEASE, -25, 100)},
     "investor": {
         "annual_report": (["annual report", "rapport annuel", "urd", "deu", "universal registration document", "integrated report"], -30, 100),
@@ -116,7 +159,7 @@ FAMILIES = {
         penalties={k: (normal(words), points, cap) for k, (words, points, cap) in PENALTIES.get(name, {}).items()},
         platforms=PLATFORMS.get(name, ()),
         low_trust=LOW_TRUST,
-        unknown_cap=100.0,
+        unknown_cap=59.0 if name == "annual" else 100.0,
     )
     for name in STRONG
 }
