@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
 def guard(spark: SparkSession) -> SparkSession:
     """Turns off a rule of Spark 4.1 by which a union claims its inputs' common hash partitioning: adaptive execution may
-    then coalesce the inputs differently, and an aggregation above sees one key in two partitions."""
+    then coalesce the inputs differently, and an aggregation above sees one key in two partitions. Makes sure that there
+    is a folder for checkpoints."""
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        # a cluster names a shared folder; a folder of our own serves only where none is named, as in tests
+        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evidentia-"))
     return spark
 
 
