@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, has_columns, ranked
-from .tokens import PieceEncoder, default_path
+from .tokens import default_path, encoder
 
 #: Buckets at most, and tokens (with padding) that a batch may hold.
 BUCKETS, BUDGET = 16, 65_536
@@ -77,11 +77,11 @@ def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     """doc_id and n_tokens, the end token included."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer)
+        tokens = encoder(tokenizer)
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 some = batch.slice(i, 200)
-                found = encoder.count([x or "" for x in some.column(1).to_pylist()])
+                found = tokens.count([x or "" for x in some.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([some.column(0), pa.array([n + 1 for n in found], pa.int64())], ["doc_id", "n_tokens"])
 
     return has_columns(docs, doc_id="long", text="string").mapInArrow(count, "doc_id long, n_tokens long")

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
-#: Pieces that a worker remembers between batches, and at most within one; the earliest, which are the most frequent, stay.
-KEPT, MOST = 150_000, 400_000
+#: When a worker remembers more than MOST pieces, the KEPT that it has seen most often stay.
+KEPT, MOST = 180_000, 300_000
 
 _NEAR_SPACE = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -19,7 +20,8 @@ _PROBES = ("One two, three.\nFour  five \n six\t seven 8 9's", " lead", "trail "
 #: Marks that end a word and are a word of their own to the pre-tokenizer.
 _STOPS = frozenset(".,;:!?")
 
-_WORDS = (" word", "Word,", " straße.", " ñandú", " тест!", " 漢字", "é", " a;")
+#: Pieces as they are noted: with a line end before them if they start a text.
+_WORDS = ("word", "\nWord,", "straße.", "ñandú", "тест!", "漢字", "\né", "a;")
 
 
 def _byte_characters() -> dict[int, str]:
@@ -30,6 +32,7 @@ def _byte_characters() -> dict[int, str]:
 
 
 _BYTE_CHARACTER = _byte_characters()
+_SPACE = _BYTE_CHARACTER[32]
 
 
 class _Places(dict):
@@ -58,9 +61,10 @@ class PieceEncoder:
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size()
         self.places, self.ids, self.ends = _Places(), np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.seen = np.empty(0, np.int64)
         self.stops = {x: self._whole(x).tolist() for x in ["", *_STOPS]}
         self.cuts = self.direct = True
-        self.direct = all(x == self._whole(p).tolist() for p, x in zip(_WORDS, self._pieces(list(_WORDS)), strict=True))
+        self.direct = all(x == self._whole(p[1:] if p[0] == "\n" else " " + p).tolist() for p, x in zip(_WORDS, self._pieces(list(_WORDS)), strict=True))
         self.cuts = all(np.array_equal(x, self._whole(p)) for p, x in zip(_PROBES, self.encode(list(_PROBES)), strict=True))
 
     def _whole(self, text: str) -> np.ndarray:
@@ -69,10 +73,7 @@ class PieceEncoder:
     def _look_up(self, texts: list[str]) -> list[np.ndarray]:
         """The places of each text's pieces, all of them encoded."""
         if len(self.places) > MOST:
-            kept = _Places()
-            kept.update(zip(list(self.places)[:KEPT], range(KEPT), strict=False))
-            self.places, self.ends = kept, self.ends[: KEPT + 1]
-            self.ids = self.ids[: self.ends[-1]]
+            self._forget()
         out, place = [], self.places.__getitem__
         for text in texts:
             pieces = _CUT.split(text) if _NEAR_SPACE.search(text) else text.split(" ")
@@ -80,40 +81,57 @@ class PieceEncoder:
             pieces[0] = "\n" + pieces[0]
             out.append(np.fromiter(map(place, pieces), np.int64, len(pieces)))
         if new := self.places.new:
-            found = self._pieces([x[1:] if x[:1] == "\n" else " " + x for x in new])
+            found = self._pieces(new)
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             self.ids = np.concatenate((self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))))
             self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
             self.places.new = []
+        self.seen = np.concatenate((self.seen, np.zeros(len(self.places) - len(self.seen), np.int64)))
+        self.seen += np.bincount(np.concatenate(out), minlength=len(self.seen)) if out else 0
         return out
 
+    def _gathered(self, places: np.ndarray) -> np.ndarray:
+        """The ids of these places, one after the other."""
+        starts, sizes = self.ends[places], self.ends[places + 1] - self.ends[places]
+        first = np.cumsum(sizes) - sizes
+        return self.ids[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
+
+    def _forget(self) -> None:
+        """Leaves the pieces seen most often."""
+        often = np.sort(np.argpartition(-self.seen, KEPT)[:KEPT])
+        pieces, kept = list(self.places), _Places()
+        kept.update((pieces[i], k) for k, i in enumerate(often.tolist()))
+        ids, sizes = self._gathered(often), np.diff(self.ends)[often]
+        self.places, self.ids, self.seen = kept, ids, self.seen[often]
+        self.ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
+
     def _pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of each piece. Runs of letters, with a stop or without, are one or two words to the pre-tokenizer and go
-        straight to the library's model; others go through the whole of it."""
+        """Ids of each noted piece. Runs of letters, with a stop or without, are one or two words to the pre-tokenizer and
+        go straight to the library's model; others go through the whole of it."""
         out: list[list[int]] = [[]] * len(pieces)
-        rest, tokenize = [], self.library.model.tokenize
+        rest, tokenize, stops = [], self.library.model.tokenize, self.stops
         for i, piece in enumerate(pieces):
-            stop = piece[-1:] if piece[-1:] in _STOPS else ""
-            word = piece[: len(piece) - len(stop)]
-            if self.direct and word.lstrip(" ").isalpha():
+            first = piece[:1] == "\n"
+            word, stop = piece[1:] if first else piece, piece[-1:]
+            if stop in _STOPS:
+                word = word[:-1]
+            else:
+                stop = ""
+            if self.direct and word.isalpha():
                 if not word.isascii():
-                    word = word.encode().decode("latin-1")
-                out[i] = [t.id for t in tokenize(word.translate(_BYTE_CHARACTER))] + self.stops[stop]
+                    word = word.encode().decode("latin-1").translate(_BYTE_CHARACTER)
+                out[i] = [t.id for t in tokenize(word if first else _SPACE + word)] + stops[stop]
             else:
                 rest.append(i)
-        for i, e in zip(rest, self.library.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
+        whole = [pieces[i][1:] if pieces[i][:1] == "\n" else " " + pieces[i] for i in rest]
+        for i, e in zip(rest, self.library.encode_batch_fast(whole, add_special_tokens=False), strict=True):
             out[i] = e.ids
         return out
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if not self.cuts:
             return [self._whole(x) for x in texts]
-        out = []
-        for places in self._look_up(texts):
-            starts, sizes = self.ends[places], self.ends[places + 1] - self.ends[places]
-            first = np.cumsum(sizes) - sizes
-            out.append(self.ids[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))])
-        return out
+        return [self._gathered(places) for places in self._look_up(texts)]
 
     def count(self, texts: list[str]) -> list[int]:
         if not self.cuts:
@@ -121,6 +139,17 @@ class PieceEncoder:
         return [int((self.ends[p + 1] - self.ends[p]).sum()) for p in self._look_up(texts)]
 
 
+def encoder(path: str) -> PieceEncoder:
+    """This process's encoder for a vocabulary: a Python worker keeps it, and what it remembers, from task to task."""
+    import tokenizers
+
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a task, and no memory for others
+    held = tokenizers.__dict__.setdefault("_evidentia_encoders", {})
+    if path not in held:
+        held[path] = PieceEncoder(path)
+    return held[path]
+
+
 def default_path() -> str:
     import public_tokenizers
 

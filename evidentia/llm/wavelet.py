@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .scratch import Scratch, has_columns
-from .tokens import PieceEncoder, default_path
+from .tokens import default_path, encoder
 
 MAGIC = b"EVWM0001"
 
@@ -83,23 +83,25 @@ class WaveletMatrix:
     def build(cls, ids: np.ndarray, width: int) -> WaveletMatrix:
         row, planes, zeros = ids.astype(np.uint16 if width <= 16 else np.uint32), [], []
         for shift in range(width - 1, -1, -1):
-            bit = (row >> row.dtype.type(shift) & row.dtype.type(1)).astype(bool)
-            low = row[~bit]
+            bit = (row & row.dtype.type(1 << shift)).astype(bool)
             planes.append(Plane(np.packbits(bit, bitorder="little"), len(row)))
+            low, down = row[~bit], np.empty_like(row)
             zeros.append(len(low))
-            row = np.concatenate((low, row[bit]))
+            down[: len(low)] = low
+            np.compress(bit, row, out=down[len(low) :])
+            row = down
         return cls(len(ids), planes, zeros)
 
     def decode(self) -> np.ndarray:
         """All ids, from the lowest plane up."""
-        row = np.zeros(self.n, np.uint32)
+        row = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for level in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level].bits, count=self.n, bitorder="little").astype(bool)
+            bit = np.unpackbits(self.planes[level].bits, count=self.n, bitorder="little").view(bool)
             up = np.empty_like(row)
             up[~bit] = row[: self.zeros[level]]
-            up[bit] = row[self.zeros[level] :] | np.uint32(1 << (len(self.planes) - 1 - level))
+            up[bit] = row[self.zeros[level] :] | row.dtype.type(1 << (len(self.planes) - 1 - level))
             row = up
-        return row
+        return row.astype(np.uint32)
 
     def access(self, i: int) -> int:
         out = 0
@@ -224,8 +226,8 @@ def write_shards(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
 
-        encoder = PieceEncoder(tokenizer)
-        width, stop = max(1, (encoder.vocabulary - 1).bit_length()), np.array([end], np.uint32)
+        tokens = encoder(tokenizer)
+        width, stop = max(1, (tokens.vocabulary - 1).bit_length()), np.array([end], np.uint32)
         store, base = fs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
         part, seq, writer, done = TaskContext.get().partitionId(), 0, None, []
@@ -237,7 +239,7 @@ def write_shards(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
         for batch in batches:
             for i in range(0, batch.num_rows, 200):
                 some = batch.slice(i, 200)
-                for doc_id, ids in zip(some.column(0).to_pylist(), encoder.encode(some.column(1).to_pylist()), strict=True):
+                for doc_id, ids in zip(some.column(0).to_pylist(), tokens.encode(some.column(1).to_pylist()), strict=True):
                     if writer is None:
                         path = f"{base}/part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.evwm"
                         writer = ShardWriter(store.open_output_stream(path), width)
