@@ -3,21 +3,22 @@
 A document belongs to each domain with a probability. Domains are the label pairs (quality, toxic); a softmax regression
 on shape steps and telling words, fitted on a bounded sample of the labelled training rows (at most ``SAMPLE``), gives
 the posteriors. Then nonnegative rates r, one for each document, are fitted so that the expected tokens of every domain,
-sum(r * tokens * posterior), meet the targets in the least-squares sense. The fit is projected gradient from r = 1: a
-step moves each rate against its gradient, in a metric in which the unconstrained problem has nearly unit curvature, and
-clips it to [0, MOST_RATE]. A rate is a function of the document's posteriors and the few step vectors so far, so an iteration is
-one sum over a narrow written table, and only as many numbers as there are domains reach the driver.
+sum(r * tokens * posterior), meet the targets in the least-squares sense. Of all rates r >= 0 that do, the fit takes those
+nearest to 1 (each token counts alike): they are max(0, 1 - posterior . m) with one multiplier m for each domain, which
+Newton's method on the dual finds. An iteration is one sum over a narrow written table, and only the totals and the
+curvature of the domains reach the driver.
 
 A rate becomes a whole number of copies by a hash of doc_id: floor(rate), and one more with the probability of the rest.
 
 Tokens are words between white space here. Defined cases: a null text counts as empty and has no tokens, its posteriors
-come from the features that it has; without labels all posteriors are equal; a domain that has too few
-tokens for its target is left short, and the others share the rest; null doc_ids share one hash; rows that repeat are mixed one by one; an empty table gives an empty result.
+come from the features that it has; without labels all posteriors are equal; targets that no rates r >= 0 meet are met as
+nearly as any rates can; null doc_ids share one hash; rows that repeat are mixed one by one; an empty table gives an empty
+result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -39,16 +40,15 @@ WORDS, LEAST_DOCUMENTS = 256, 5
 DOMAINS = ((0, 0), (0, 1), (1, 0), (1, 1))
 TARGETS = (0.04, 0.01, 0.91, 0.04)
 
-#: A rate is at most this, and a domain is asked for at most so many times the tokens that it is expected to have; the
-#: other domains share what is left.
+#: The bound of ``attainable``; the fit itself has no upper bound.
 MOST_RATE = 4.0
 
-#: Steps at most, and the greatest distance from the targets, as a share of all tokens, at which they end; they also end
-#: when a step moves no domain by a tenth of that.
-ITERATIONS, CLOSE = 40, 1e-4
+#: Sums over the table at most, and the greatest distance from the targets, or from the least distance that any rates can
+#: have, as a share of all tokens, at which they end.
+ITERATIONS, CLOSE = 40, 1e-6
 
-#: Added to the curvature, so that domains with far less of the tokens than this can't throw the rates of all others.
-DAMPING = 0.02
+#: Added to the dual's curvature for each unit of distance from the targets, so that it can be inverted.
+DAMPING = 1e-8
 
 _MARKS = ".,;:!?()[]\"'|"
 
@@ -141,16 +141,22 @@ def members(scratch: Scratch, docs: DataFrame, labels: DataFrame, carried: Seque
 
 
 def rate_of(steps: Sequence[np.ndarray], start: float) -> Column:
-    """The rate after these steps: each is projected on 0 <= r <= MOST_RATE."""
-    if not len(steps):
-        return F.lit(start)
-    table = F.array(*(F.array(*(F.lit(float(v)) for v in s)) for s in steps))
-    against = lambda s: F.aggregate(F.zip_with("p", s, lambda a, b: a * b), F.lit(0.0), lambda a, b: a + b)
-    return F.aggregate(table, F.lit(start), lambda r, s: F.least(F.greatest(r - against(s), F.lit(0.0)), F.lit(MOST_RATE)))
+    """The rate after these steps: each is projected on r >= 0."""
+    rate = F.lit(start)
+    for s in steps:
+        rate = F.greatest(rate - _dot(s), F.lit(0.0))
+    return rate
+
+
+def _dot(v: np.ndarray) -> Column:
+    out = F.lit(0.0)
+    for i, x in enumerate(v):
+        out = out + F.element_at("p", i + 1) * F.lit(float(x))
+    return out
 
 
 def attainable(goal: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Shares nearest to ``goal`` in which no domain has more than MOST_RATE times its present share."""
+    """Shares nearest to ``goal`` in which no domain has more than MOST_RATE times its present share. The fit doesn't use it."""
     top, out = MOST_RATE * share, goal.copy()
     for _ in goal:
         over = out > top
@@ -160,31 +166,64 @@ def attainable(goal: np.ndarray, share: np.ndarray) -> np.ndarray:
     return out
 
 
+def solve(sums: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, float]], goal: np.ndarray, iterations: int, close: float) -> tuple[np.ndarray, np.ndarray]:
+    """The multipliers m of the rates max(0, 1 - p . m), and the domains' distances from the goal.
+
+    ``sums(m, y)`` gives the domains' totals, the curvature (the sum of p p' over rows with a rate above 0) and the least
+    p . y of all rows. Since posteriors add up to 1, the last bounds the distance of any rates from below: y, raised until
+    no row has p . y < 0, parts the goal from all totals that rates r >= 0 can have. That proves that targets can't be met.
+    """
+    at = np.zeros(len(goal))
+    total, curvature, _ = sums(at, at)
+    off = total - goal
+    best, least = (at, off), 0.0
+    step, length = None, 1.0
+    for _ in range(iterations):
+        if np.abs(best[1]).max() <= close or np.linalg.norm(best[1]) - least <= close:
+            break
+        if step is None:
+            step, length = np.linalg.solve(curvature + DAMPING * np.linalg.norm(off) * np.eye(len(goal)), off), 1.0
+        trial = at + length * step
+        total, new, low = sums(trial, off)
+        raised = off + max(0.0, -low)
+        least = max(least, -goal @ raised / max(np.linalg.norm(raised), 1e-300))
+        far = total - goal
+        if np.linalg.norm(far) < np.linalg.norm(best[1]):
+            best = (trial, far)
+        # a step that goes past the minimum along its line is cut by the secant
+        slope, there = off @ step, far @ step
+        if there < -0.5 * slope:
+            length *= max(0.1, slope / (slope - there))
+            continue
+        at, off, curvature, step = trial, far, new, None
+    return best
+
+
 def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None = None, iterations: int = ITERATIONS, close: float = CLOSE) -> tuple[list[np.ndarray], float]:
-    """The steps of projected gradient, and the distance from the targets at their end as a share of all tokens.
+    """The steps from rate 1 (one, or none without tokens), and the distance from the targets at their end as a share of all tokens.
 
     ``found`` has n_tokens and p. ``total`` is the expected number of tokens in all; by default as many as there are.
     """
     d = len(targets)
     at = [F.element_at("p", i + 1) for i in range(d)]
-    gram = found.agg(F.sum("n_tokens"), *(F.sum(F.col("n_tokens") * at[i] * at[j]) for i in range(d) for j in range(d))).first()
-    tokens = float(gram[0] or 0)
+    tokens = float(found.agg(F.sum("n_tokens")).first()[0] or 0)
     if not tokens:
         return [], 0.0
-    curvature = np.array(gram[1:], float).reshape(d, d) / tokens
-    weight = np.linalg.inv(curvature + DAMPING * np.eye(d))
-    goal = attainable(np.array(targets, float) / sum(targets), curvature.sum(axis=1)) * ((total or tokens) / tokens)
-    steps: list[np.ndarray] = []
-    before = np.full(d, np.inf)
-    for _ in range(iterations + 1):
-        rate = rate_of(steps, 1.0)
-        now = found.withColumn("rate", rate).agg(*(F.sum(F.col("n_tokens") * F.col("rate") * a) for a in at)).first()
-        off = np.array(now, float) / tokens - goal
-        if np.abs(off).max() <= close or np.abs(off - before).max() <= close / 10 or len(steps) == iterations:
-            break
-        before = off
-        steps.append(weight @ off)
-    return steps, float(np.abs(off).max())
+    found = found.filter("n_tokens > 0").select("n_tokens", "p")
+    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+
+    def sums(m: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+        rows = found.select("p", "n_tokens", (F.col("n_tokens") * rate_of([m], 1.0)).alias("_asked"))
+        active = F.when(F.col("_asked") > 0, F.col("n_tokens")).otherwise(0)
+        got = rows.agg(F.min(_dot(y)), *(F.sum(F.col("_asked") * a) for a in at), *(F.sum(active * at[i] * at[j]) for i, j in pairs)).first()
+        curvature = np.zeros((d, d))
+        for (i, j), x in zip(pairs, got[1 + d :], strict=True):
+            curvature[i, j] = curvature[j, i] = x / tokens
+        return np.array(got[1 : 1 + d], float) / tokens, curvature, float(got[0])
+
+    goal = np.array(targets, float) / sum(targets) * ((total or tokens) / tokens)
+    m, off = solve(sums, goal, iterations, close)
+    return [m], float(np.abs(off).max())
 
 
 def with_rates(found: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:

@@ -67,3 +67,22 @@ def test_mixing_of_odd_rows(spark):
 def test_mixing_without_labels_or_rows(spark):
     assert M.mix(spark, frame(spark), labels(spark, empty=True)).count() == len(documents())
     assert M.mix(spark, spark.createDataFrame([], SCHEMA), labels(spark)).count() == 0
+
+
+def test_rates_meet_targets_of_a_rare_domain(spark):
+    rng = np.random.default_rng(3)
+    p = rng.dirichlet([0.3, 0.1, 0.05, 0.05], 2000)
+    n = rng.integers(1, 100, 2000)
+    found = spark.createDataFrame([(i, int(k), [float(x) for x in q]) for i, (k, q) in enumerate(zip(n, p, strict=True))], "doc_id long, n_tokens long, p array<double>")
+    steps, off = M.fit_rates(found, M.TARGETS)
+    rate = np.array([r.rate for r in found.withColumn("rate", M.rate_of(steps, 1.0)).orderBy("doc_id").collect()])
+    got = (p * (n * rate)[:, None]).sum(axis=0) / n.sum()
+    assert off <= 1e-6 and (rate >= 0).all() and rate.max() > 4
+    assert np.abs(got - M.TARGETS).max() == pytest.approx(off, abs=1e-9)
+
+
+def test_targets_out_of_reach_are_met_as_nearly_as_can_be(spark):
+    # every row has equal posteriors: the totals are equal, and the nearest ones are a quarter each
+    found = spark.createDataFrame([(i, 10, [0.25] * 4) for i in range(50)], "doc_id long, n_tokens long, p array<double>")
+    steps, off = M.fit_rates(found, M.TARGETS)
+    assert off == pytest.approx(0.66) and {round(r.rate, 6) for r in found.select(M.rate_of(steps, 1.0).alias("rate")).collect()} == {1.0}
