@@ -118,6 +118,14 @@ def test_components_match_union_find(spark):
     assert {g.id: g.component for g in C.similar_components(df, "id", "v", ["s"], 0.9).collect()} == {i: root(i) for i in range(60)}
 
 
+def test_long_chains_are_one_component(spark):
+    # neighbours in the chain 0-20-19-...-1 share one of their two dimensions: cosine 0.5, all others 0
+    chain = [0, *range(20, 0, -1)]
+    rows = [(i, [float(k in (at, at + 1)) for k in range(22)], s) for s in (0, 1) for at, i in enumerate(x + 100 * s for x in chain)]
+    df = spark.createDataFrame(rows, "id long, v array<double>, s int")
+    assert {g.id: g.component for g in C.similar_components(df, "id", "v", ["s"], 0.45).collect()} == {i: 100 * s for i, _, s in rows}
+
+
 def test_nearest_is_bounded(spark):
     left = spark.createDataFrame([(1, "a", 100.0), (2, "a", 500.0), (3, "b", 100.0)], "id int, k string, at double")
     right = spark.createDataFrame([(10, "a", 60.0), (11, "a", 140.0), (12, "a", 700.0), (13, "b", 181.0)], "other int, k string, other_at double")
