@@ -36,6 +36,17 @@ def typed_candidates(spark: SparkSession, d: str) -> DataFrame:
     return out.filter("information_type <> 'metric'").groupBy("information_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query()
+def typed_candidate_rows(spark: SparkSession, d: str) -> DataFrame:
+    """All candidates of turns and documents, metrics with their value and unit too. SQL has no form of first_metric: tested
+    against a plain loop."""
+    short = F.when(F.length("text") < 20, F.lit("exclude")).otherwise(F.lit("eligible"))
+    docs = table(spark, d, "documents").select(F.lit("document").alias("kind"), F.col("doc_id").alias("ident"), F.lit(None).cast("long").alias("turn"), "text", short.alias("policy"))
+    turns = _evidence(spark, d).select(F.lit("turn").alias("kind"), F.col("conv_id").alias("ident"), F.col("turn").cast("long").alias("turn"), "text", "policy")
+    rows = E.eligible(turns.unionByName(docs), "policy", "text")
+    return E.typed_candidates(rows, "text", TYPES, first_metric(F.col("text")), ["kind", "ident", "turn"])
+
+
 @query("""
     WITH p AS (
         SELECT CAST(doc_id AS VARCHAR) AS document_id, 'text' AS chunk_type, text AS chunk_text, 0 AS s, doc_id AS pos FROM documents

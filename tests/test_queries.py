@@ -1,5 +1,9 @@
+import re
+
 import pytest
 
+from evidentia.functions.numbers import NUMBER_UNIT, UNITS
+from evidentia.plans.evidence import TYPES
 from evidentia.plans.queries import ORACLE_SQL, QUERIES
 
 from .conftest import DATA
@@ -20,3 +24,35 @@ def test_same_rows_as_sql(spark, con, name):
 def test_runs(spark, name):
     out = QUERIES[name](spark, DATA)
     assert out.columns and out.count() > 0
+
+
+def turns_at(spark, folder, *texts):
+    rows = [(1, i, "user", t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{folder}/conversations.parquet")
+    spark.createDataFrame([(7, "all rights reserved, 2,500 EUR")], "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    return str(folder)
+
+
+def plain_candidates(text):
+    """(information_type, raw_value, raw_unit) of an eligible text, number by number."""
+    out = []
+    for m in re.finditer(NUMBER_UNIT, text, re.ASCII):
+        unit = m[2] if m[2] and m[2].lower() in UNITS else None
+        n = float(m[1].replace(",", ""))
+        if unit or (n > 10 and not 1000 <= n <= 2099):
+            out.append(("metric", m[1], unit))
+            break
+    return out + [(name, None, None) for name, words in TYPES.items() if any(w in text.lower() for w in words)]
+
+
+def test_typed_candidate_rows_by_a_plain_loop(spark, tmp_path):
+    made = turns_at(spark, tmp_path, "in 2024 emissions were 1,200 tCO2e, call us", "7 of our sites and 2030 goals stand", "only 3 % of all sites are left", "12 MWh", "no number here at all, idiot")
+    metrics = 0
+    for d in (made, DATA):
+        turns = [("turn", t.conv_id, t.turn, t.text) for t in spark.read.parquet(f"{d}/conversations.parquet").collect()]
+        docs = [("document", r.doc_id, None, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").collect()]
+        want = [(*key, *c) for *key, text in turns + docs if text and len(text) >= 20 and text.strip(" ") for c in plain_candidates(text)]
+        got = [(r.kind, r.ident, r.turn, r.information_type, r.raw_value, r.raw_unit) for r in QUERIES["typed_candidate_rows"](spark, d).collect()]
+        assert sorted(got, key=repr) == sorted(want, key=repr)
+        metrics += sum(x[3] == "metric" for x in got)
+    assert metrics >= 2
