@@ -127,6 +127,16 @@ def section_types(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", kind.alias("k")).select("conv_id", "turn", F.col("k.type").alias("section_type"), F.col("k.confidence").alias("confidence"))
 
 
+@query("""
+    WITH t AS (SELECT conv_id, turn, lower(text) AS title FROM conversations)
+    SELECT conv_id, turn, CASE WHEN regexp_matches(title, 'the|and') THEN 'english' WHEN regexp_matches(title, 'der|und') THEN 'german' ELSE 'unknown' END AS section_type,
+           CAST(CASE WHEN regexp_matches(title, 'the|and|der|und') THEN 0.75 ELSE 0.25 END AS DOUBLE) AS confidence FROM t
+""")
+def section_types_of_whole_texts(spark: SparkSession, d: str) -> DataFrame:
+    kind = D.section_type(F.lower("text"), {"english": "the|and", "german": "der|und"})
+    return table(spark, d, "conversations").select("conv_id", "turn", kind.alias("k")).select("conv_id", "turn", F.col("k.type").alias("section_type"), F.col("k.confidence").alias("confidence"))
+
+
 def _cells(spark: SparkSession, d: str) -> DataFrame:
     """A table for each order: a row for each line, in order, and four columns; row 0 and column 0 hold words."""
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")

@@ -56,3 +56,9 @@ def test_typed_candidate_rows_by_a_plain_loop(spark, tmp_path):
         assert sorted(got, key=repr) == sorted(want, key=repr)
         metrics += sum(x[3] == "metric" for x in got)
     assert metrics >= 2
+
+
+def test_section_types_see_markers_beyond_forty_characters(spark, tmp_path):
+    d = turns_at(spark, tmp_path, "x" * 60 + " the", "x" * 60 + " und", "x" * 60)
+    got = QUERIES["section_types_of_whole_texts"](spark, d).orderBy("turn").collect()
+    assert [(r.section_type, r.confidence) for r in got] == [("english", 0.75), ("german", 0.75), ("unknown", 0.25)]
