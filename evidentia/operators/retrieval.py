@@ -64,6 +64,20 @@ def unit_score(text: Column, units: Column) -> Column:
     return F.least(F.lit(1.0), F.size(F.filter(units, lambda u: text.contains(u))) * 0.35)
 
 
+#: What a section adds by the variable's domain.
+SECTION_BOOST = {"environmental": 0.15, "social": 0.10, "governance": 0.10, "sustainability": 0.12, "climate": 0.15, "financial": 0.08}
+
+#: Patterns of structural noise.
+NOISE = (r"(?i)\bISO\s*\d{4,5}\b", r"(?m)^\d{1,2}\.\d{1,2}$", r"(?i)\bpage\s+\d+\b", r"(?m)^\d{1}$")
+
+
+def section_score(kind: Column, section: Column, domain: Column, doc_type: Column, preferred: Column) -> Column:
+    """0.08 for a chunk of a table, half of its domain's boost for one in a section, 0.10 for a preferred type of document."""
+    boost = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in SECTION_BOOST.items() for x in kv]), F.coalesce(domain, F.lit(""))), F.lit(0.0))
+    one = lambda hit, x: F.when(hit, x).otherwise(0.0)
+    return F.least(F.lit(1.0), one(kind.contains("table"), F.lit(0.08)) + one(F.length(section) > 0, boost * 0.5) + one(F.array_contains(preferred, doc_type), F.lit(0.10)))
+
+
 def structural_penalty(text: Column, patterns: Sequence[str]) -> Column:
     """0.2 for each pattern found, at most 0.5."""
     return F.least(F.lit(0.5), sum((F.when(text.rlike(p), F.lit(0.2)).otherwise(0.0) for p in patterns), F.lit(0.0)))

@@ -69,21 +69,29 @@ def value_path(engines: Mapping[str, DataFrame], renames: Mapping[str, Mapping[s
     }
 
 
-def retrieval_path(chunks: Sequence[tuple[str, DataFrame]], catalog: DataFrame, document: str, text: str, position: str, k: int = 20, least: float = 0.25) -> dict[str, DataFrame]:
+def retrieval_path(chunks: Sequence[tuple[str, DataFrame]], catalog: DataFrame, document: str, text: str, position: str, k: int = 20, least: float = 0.25, places: DataFrame | None = None, noise: Sequence[str] = (r"(?i)table of contents", r"(?i)^page \d+$")) -> dict[str, DataFrame]:
     """Chunks of several builders and a catalog (variable_name, terms, units) to the k best chunks of each variable.
 
-    The catalog has a few dozen rows and is broadcast; a chunk stays if it scores enough or holds a term.
+    The catalog has a few dozen rows and is broadcast; a chunk stays if it scores enough or holds a term. ``places``
+    (document_id, section_id, doc_type; one row for each document) fills the section's part of the score; the catalog
+    then has domain and preferred, an array of types, too. The semantic part is the cosine of the tf-idf encodings of
+    the chunk and of the variable's first eight terms.
     """
     guard(catalog.sparkSession)
     unique = E.chunks(chunks, document, text, position)
     vocab_terms = R.tokens(unique, "chunk_id", "chunk_text")
-    weights = R.tfidf(vocab_terms, R.vocabulary(vocab_terms, "chunk_id", unique.count()), "chunk_id")
-    words = catalog.select("variable_name", F.explode("terms").alias("token")).distinct()
-    words = words.join(words.groupBy("variable_name").agg(F.count(F.lit(1)).alias("_n")), "variable_name").withColumn("weight", 1 / F.sqrt("_n")).drop("_n")
+    vocab = R.vocabulary(vocab_terms, "chunk_id", unique.count())
+    weights = R.tfidf(vocab_terms, vocab, "chunk_id")
+    asked = catalog.select("variable_name", F.concat_ws(" ", F.slice("terms", 1, 8)).alias("_text"))
+    words = R.tfidf(R.tokens(asked, "variable_name", "_text"), vocab, "variable_name")
     semantic = weights.join(F.broadcast(words.withColumnRenamed("weight", "_q")), "token").groupBy("variable_name", "chunk_id").agg(F.least(F.lit(1.0), F.sum(F.col("weight") * F.col("_q"))).alias("semantic"))
     low = F.lower("chunk_text")
     pairs = unique.crossJoin(F.broadcast(catalog)).withColumns({"keyword": R.keyword_score(low, F.col("terms")), "unit": R.unit_score(low, F.col("units"))})
+    section = F.lit(0.0)
+    if places is not None:
+        pairs = pairs.join(places.select("document_id", "section_id", "doc_type"), "document_id", "left")
+        section = R.section_score(F.col("chunk_type"), F.col("section_id"), F.col("domain"), F.col("doc_type"), F.col("preferred"))
     scored = pairs.join(semantic, ["variable_name", "chunk_id"], "left")
-    score = R.hybrid(F.coalesce("semantic", F.lit(0.0)), F.col("keyword"), F.col("unit"), F.lit(0.0), R.structural_penalty(F.col("chunk_text"), [r"(?i)table of contents", r"(?i)^page \d+$"]))
+    score = R.hybrid(F.coalesce("semantic", F.lit(0.0)), F.col("keyword"), F.col("unit"), section, R.structural_penalty(F.col("chunk_text"), noise))
     kept = scored.withColumn("score", score).filter((F.col("score") >= least) | (F.col("keyword") > 0))
     return {"chunks": unique, "retrieved": R.top(kept.select("variable_name", "chunk_id", "document_id", "chunk_text", "score"), ["variable_name"], [F.desc("score"), "chunk_id"], k)}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import documents as D, retrieval as R, tables as M
 from ..operators.candidates import similar_components
 from ..streaming.ingest import windowed_counts
+from .paths import retrieval_path
 from .registry import query, table
 
 
@@ -286,6 +287,26 @@ def hybrid_retrieval_topk(spark: SparkSession, d: str) -> DataFrame:
     return R.top(pairs.select("variable", "doc_id", score.alias("score")), ["variable"], [F.desc("score"), "doc_id"], 20)
 
 
+def document_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """The fixed variables, and two of the vocabulary's first tokens: fixed words may be outside the vocabulary."""
+    docs = table(spark, d, "documents")
+    found = [r.token for r in R.vocabulary(R.tokens(docs, "doc_id", "text"), "doc_id", docs.count()).orderBy(F.desc("idf"), "token").limit(16).collect()]
+    fixed = [(v, terms, ["token", "%"], "governance", ["en"]) for v, terms in HYBRID_TERMS.items()]
+    rare = [("rare1", found[:8], ["eur", "%"], "climate", ["en", "fr"]), ("rare2", found[8:], ["kwh"], "social", ["de"])]
+    return spark.createDataFrame(fixed + rare, "variable_name string, terms array<string>, units array<string>, domain string, preferred array<string>")
+
+
+@query()
+def document_retrieval(spark: SparkSession, d: str) -> DataFrame:
+    """The retrieval path over whole documents and the whole vocabulary; a document's source stands for its section, its
+    language for its type. Tested against a plain loop."""
+    docs = table(spark, d, "documents")
+    places = docs.select(F.col("doc_id").cast("string").alias("document_id"), F.col("source").alias("section_id"), F.col("lang").alias("doc_type"))
+    places = places.groupBy("document_id").agg(F.min("section_id").alias("section_id"), F.min("doc_type").alias("doc_type"))
+    out = retrieval_path([("text", docs)], document_catalog(spark, d), "doc_id", "text", "doc_id", places=places, noise=R.NOISE)
+    return out["retrieved"].select("variable_name", "document_id", "score", "rank")
+
+
 @query("SELECT item_id FROM benchmark b WHERE EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, b.text))")
 def benchmark_containment(spark: SparkSession, d: str) -> DataFrame:
     return R.contained_labels(table(spark, d, "documents"), table(spark, d, "benchmark").select("item_id", F.col("text").alias("passage")), "text", "passage").select("item_id")

@@ -1,10 +1,14 @@
+import math
 import re
+from collections import Counter
 
 import pytest
 
 from evidentia.functions.numbers import NUMBER_UNIT, UNITS
+from evidentia.operators.retrieval import NOISE, SECTION_BOOST
 from evidentia.plans.evidence import TYPES
 from evidentia.plans.queries import ORACLE_SQL, QUERIES
+from evidentia.plans.structure import document_catalog
 
 from .conftest import DATA
 from .parity import differences, oracle
@@ -62,3 +66,51 @@ def test_section_types_see_markers_beyond_forty_characters(spark, tmp_path):
     d = turns_at(spark, tmp_path, "x" * 60 + " the", "x" * 60 + " und", "x" * 60)
     got = QUERIES["section_types_of_whole_texts"](spark, d).orderBy("turn").collect()
     assert [(r.section_type, r.confidence) for r in got] == [("english", 0.75), ("german", 0.75), ("unknown", 0.25)]
+
+
+def test_document_retrieval_by_a_plain_loop(spark):
+    split = lambda t: [w for w in re.split("[^a-z0-9]+", t.lower()) if len(w) >= 2]
+    docs = [r for r in spark.read.parquet(f"{DATA}/documents.parquet").collect() if r.text and r.text.strip(" ")]
+    counts = {r.doc_id: Counter(split(r.text)) for r in docs}
+    df = Counter(w for c in counts.values() for w in c)
+    n = len(docs)
+    low, high = max(1, n // 1000), max(2, n // 2)
+    order = sorted((t for t in df if df[t] >= low), key=lambda t: (0, df[t], -df[t], t) if df[t] <= high else (1, 0, -df[t], t))
+    idf = {t: math.log((n + 1) / (df[t] + 1)) + 1 for t in order[:512]}
+
+    def encode(c):
+        w = {t: k / sum(c.values()) * idf[t] for t, k in c.items() if t in idf}
+        norm = math.sqrt(sum(x * x for x in w.values())) or 1.0
+        return {t: x / norm for t, x in w.items()}
+
+    vectors = {i: encode(c) for i, c in counts.items()}
+    got, semantic_parts = QUERIES["document_retrieval"](spark, DATA).collect(), 0
+    for v in document_catalog(spark, DATA).collect():
+        asked, want = encode(Counter(split(" ".join(v.terms[:8])))), {}
+        for r in docs:
+            text = r.text.lower()
+            semantic = min(1.0, sum(x * vectors[r.doc_id].get(t, 0.0) for t, x in asked.items()))
+            keyword = min(1.0, sum(min(0.15, 0.05 + len(t) * 0.005) for t in v.terms if t in text))
+            unit = min(1.0, 0.35 * sum(u in text for u in v.units))
+            section = (SECTION_BOOST[v.domain] * 0.5 if r.source else 0.0) + (0.10 if r.lang in v.preferred else 0.0)
+            penalty = min(0.5, sum(0.2 for p in NOISE if re.search(p, r.text, re.ASCII)))
+            score = semantic * 0.60 + keyword * 0.25 + unit * 0.10 + section * 0.05 - penalty
+            if score >= 0.25 or keyword > 0:
+                want[str(r.doc_id)] = score
+                semantic_parts += semantic > 0
+        mine = sorted((g for g in got if g.variable_name == v.variable_name), key=lambda g: g.rank)
+        best = sorted(want.values(), reverse=True)[:20]
+        assert [g.rank for g in mine] == list(range(1, len(best) + 1))
+        assert all(g.score == pytest.approx(want[g.document_id], abs=6e-5) and g.score == pytest.approx(b, abs=6e-5) for g, b in zip(mine, best, strict=True))
+    assert semantic_parts > 0
+
+
+def test_section_score(spark):
+    from pyspark.sql import functions as F
+
+    from evidentia.operators.retrieval import section_score
+
+    rows = [("table", "s1", "climate", "urd", ["urd"], 0.255), ("text", "", "climate", "urd", ["x"], 0.0), ("text", "s", None, None, ["x"], 0.0), ("text", None, "social", "x", ["x"], 0.1)]
+    df = spark.createDataFrame(rows, "kind string, section string, domain string, doc string, preferred array<string>, want double")
+    for r in df.withColumn("got", section_score(*(F.col(c) for c in ("kind", "section", "domain", "doc", "preferred")))).collect():
+        assert r.got == pytest.approx(r.want)
