@@ -1,58 +1,45 @@
-"""Token ids by the tokenizers library, with the pieces between single spaces remembered."""
+"""Token ids by the tokenizers library, with the words between single spaces and line ends remembered."""
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: When a worker remembers more than MOST pieces, the KEPT that it has seen most often stay.
-KEPT, MOST = 180_000, 300_000
+KEPT, MOST = 300_000, 500_000
 
-_NEAR_SPACE = re.compile(r"\s\s")
-_CUT = re.compile(r"(?<=\S) (?=\S)")
-
-#: Texts that must come out alike in pieces and as a whole, or else whole texts are encoded.
-_PROBES = ("One two, three.\nFour  five \n six\t seven 8 9's", " lead", "trail ", "", "a b c\r\nd")
-
-
-#: Marks that end a word and are a word of their own to the pre-tokenizer.
-_STOPS = frozenset(".,;:!?")
-
-#: Pieces as they are noted: with a line end before them if they start a text.
-_WORDS = ("word", "\nWord,", "straße.", "ñandú", "тест!", "漢字", "\né", "a;")
-
-
-def _byte_characters() -> dict[int, str]:
-    """The character by which a byte-level vocabulary writes each byte: its own if it is visible in Latin-1, else from 256 on."""
-    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    hidden = [b for b in range(256) if b not in seen]
-    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+#: Pieces that go through the library in one call.
+TOGETHER = 1_000
 
+#: Texts that are cut and looked up at a time.
+ROWS = 1_000
 
-_BYTE_CHARACTER = _byte_characters()
-_SPACE = _BYTE_CHARACTER[32]
-
-
-class _Places(dict):
-    """The place of each piece; new ones are noted for encoding."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
+#: White space, in the widest sense, at a text's start or twice in a row; such texts are cut with more care.
+_WIDE = r"(^|[\s\p{Z}\x0b\x1c-\x1f\x{85}])[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
+#: Pieces that aren't joined with others: without any character but a line end, or with white space inside.
+_ODD = r"^\n?$|.[\s\p{Z}\x0b\x1c-\x1f\x{85}]|^[^\n\S]|^[\p{Z}\x0b\x1c-\x1f\x{85}]"
+_CUT = re.compile(r"(?<=\S) (?=\S)")
 
-    def __missing__(self, piece: str) -> int:
-        out = self[piece] = len(self)
-        self.new.append(piece)
-        return out
+#: Texts that must come out alike in pieces and as a whole, or else whole texts are encoded.
+_PROBES = (
+    "One two, three.\nFour  five \n six\t seven 8 9's", " lead", "trail ", "", "a b c\r\nd", "\n", "\nstart", "end\n", "straße.\nñandú тест!\n漢字 a; \xa0b", "x <|endoftext|> y\n<|endoftext|>",
+    "One two, three.\nFour five's six!!!\n- 8 9", "tab\tx y\t\nz",
+)
 
 
 class PieceEncoder:
     """Same ids as ``Tokenizer.encode(text, add_special_tokens=False)``.
 
-    A byte-level pre-tokenizer takes a single space between two other characters as the start of the next word, so text
-    may be cut before such spaces and the pieces encoded one by one; each distinct piece goes through the library once.
+    A byte-level pre-tokenizer takes a single space between two other characters as the start of the next word, and a
+    single line end as a word of its own. So a text may be cut before such spaces and line ends, and each distinct piece
+    goes through the library once: many together in one text, whose ids are cut again where a token starts with the space
+    or the line end. A piece is noted without its space, but with its line end; a text's first piece counts as if a line
+    end stood before it. Texts with other white space (two in a row, or at the start) are cut before single spaces alone.
     """
 
     def __init__(self, path: str):
@@ -60,83 +47,159 @@ class PieceEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.vocabulary = self.library.get_vocab_size()
-        self.places, self.ids, self.ends = _Places(), np.empty(0, np.uint32), np.zeros(1, np.int64)
-        self.seen = np.empty(0, np.int64)
-        self.stops = {x: self._whole(x).tolist() for x in ["", *_STOPS]}
-        self.cuts = self.direct = True
-        self.direct = all(x == self._whole(p[1:] if p[0] == "\n" else " " + p).tolist() for p, x in zip(_WORDS, self._pieces(list(_WORDS)), strict=True))
-        self.cuts = all(np.array_equal(x, self._whole(p)) for p, x in zip(_PROBES, self.encode(list(_PROBES)), strict=True))
+        names = [self.library.id_to_token(i) or "" for i in range(self.vocabulary)]
+        # a byte-level vocabulary writes the byte b, if it isn't visible, as the character 256 + b
+        self.spaced, self.lined = (np.array([x.startswith(chr(256 + ord(c))) for x in names]) for c in " \n")
+        self.known, self.ids = pa.array([], pa.string()), np.empty(0, np.uint32)
+        # of each place: where its ids begin, how many there are, how often it was seen
+        self.begin, self.size, self.seen = (np.empty(0, np.int64) for _ in range(3))
+        self.cuts = True
+        self.cuts = self._each(["\n"]) == [np.flatnonzero(self.lined & (np.char.str_len(names) == 1)).tolist()]
+        if self.cuts:
+            whole = [self._whole(p) for p in _PROBES]
+            self.cuts = all(np.array_equal(x, y) for x, y in zip(self.encode(list(_PROBES)), whole, strict=True)) and self.count(list(_PROBES)) == [len(x) for x in whole]
 
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _look_up(self, texts: list[str]) -> list[np.ndarray]:
-        """The places of each text's pieces, all of them encoded."""
-        if len(self.places) > MOST:
+    def _each(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _together(self, pieces: pa.Array, lead: str, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each) of pieces that, with ``lead``, begin with a token for which ``starts`` holds, and have no other."""
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for i in range(0, len(pieces), TOGETHER):
+            some = pieces.slice(i, TOGETHER)
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), lead)[0].as_py()
+            found = np.array(self._each([lead + joined])[0], np.uint32)
+            cut = np.flatnonzero(starts[found])
+            if len(cut) == len(some) and cut[0] == 0:
+                ids.append(found)
+                sizes.append(np.diff(cut, append=len(found)))
+            else:  # not a text that can be cut again
+                each = self._each([lead + x for x in some.to_pylist()])
+                ids += [np.array(x, np.uint32) for x in each]
+                sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def _new(self, pieces: pa.Array) -> None:
+        """Encodes distinct pieces and puts them and their ids at the end."""
+        lined = pc.starts_with(pieces, "\n")
+        odd = pc.match_substring_regex(pieces, _ODD)
+        kinds = [pc.and_not(pc.invert(odd), lined), pc.and_not(lined, odd), odd]
+        places = [np.flatnonzero(k.to_numpy(zero_copy_only=False)) for k in kinds]
+        rest = pieces.take(pa.array(places[2])).to_pylist()
+        each = self._each([x if x[:1] == "\n" else " " + x for x in rest])
+        found = [
+            self._together(pieces.take(pa.array(places[0])), " ", self.spaced),
+            self._together(pieces.take(pa.array(places[1])), "", self.lined),
+            (np.fromiter((x for ids in each for x in ids), np.uint32), np.fromiter(map(len, each), np.int64, len(each))),
+        ]
+        sizes = np.concatenate([n for _, n in found])
+        begin = len(self.ids) + np.cumsum(sizes) - sizes
+        back = np.argsort(np.concatenate(places))
+        self.begin, self.size = np.concatenate((self.begin, begin[back])), np.concatenate((self.size, sizes[back]))
+        self.ids = np.concatenate((self.ids, *(x for x, _ in found)))
+        self.seen = np.concatenate((self.seen, np.zeros(len(pieces), np.int64)))
+        self.known = pa.concat_arrays((self.known, pieces))
+
+    def _look_up(self, pieces: pa.Array) -> np.ndarray:
+        """The places of these pieces, all of them encoded."""
+        if len(self.known) > MOST:
             self._forget()
-        out, place = [], self.places.__getitem__
-        for text in texts:
-            pieces = _CUT.split(text) if _NEAR_SPACE.search(text) else text.split(" ")
-            # pieces after the first are known without their space, so the first is told apart by a line end before it
-            pieces[0] = "\n" + pieces[0]
-            out.append(np.fromiter(map(place, pieces), np.int64, len(pieces)))
-        if new := self.places.new:
-            found = self._pieces(new)
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            self.ids = np.concatenate((self.ids, np.fromiter((i for x in found for i in x), np.uint32, int(sizes.sum()))))
-            self.ends = np.concatenate((self.ends, self.ends[-1] + np.cumsum(sizes)))
-            self.places.new = []
-        self.seen = np.concatenate((self.seen, np.zeros(len(self.places) - len(self.seen), np.int64)))
-        self.seen += np.bincount(np.concatenate(out), minlength=len(self.seen)) if out else 0
-        return out
-
-    def _gathered(self, places: np.ndarray) -> np.ndarray:
-        """The ids of these places, one after the other."""
-        starts, sizes = self.ends[places], self.ends[places + 1] - self.ends[places]
+        coded = pieces.dictionary_encode()
+        place = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.known), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        if len(new := np.flatnonzero(place < 0)):
+            place[new] = len(self.known) + np.arange(len(new))
+            self._new(coded.dictionary.take(pa.array(new)))
+        at = coded.indices.to_numpy()
+        self.seen[place] += np.bincount(at, minlength=len(place))
+        return place[at]
+
+    def _gathered(self, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The ids from ``begin`` on, ``sizes`` of each, one after the other."""
         first = np.cumsum(sizes) - sizes
-        return self.ids[np.repeat(starts - first, sizes) + np.arange(int(sizes.sum()))]
+        return self.ids[np.repeat(begin - first, sizes) + np.arange(int(sizes.sum()))]
 
     def _forget(self) -> None:
         """Leaves the pieces seen most often."""
         often = np.sort(np.argpartition(-self.seen, KEPT)[:KEPT])
-        pieces, kept = list(self.places), _Places()
-        kept.update((pieces[i], k) for k, i in enumerate(often.tolist()))
-        ids, sizes = self._gathered(often), np.diff(self.ends)[often]
-        self.places, self.ids, self.seen = kept, ids, self.seen[often]
-        self.ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(sizes)))
-
-    def _pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of each noted piece. Runs of letters, with a stop or without, are one or two words to the pre-tokenizer and
-        go straight to the library's model; others go through the whole of it."""
-        out: list[list[int]] = [[]] * len(pieces)
-        rest, tokenize, stops = [], self.library.model.tokenize, self.stops
-        for i, piece in enumerate(pieces):
-            first = piece[:1] == "\n"
-            word, stop = piece[1:] if first else piece, piece[-1:]
-            if stop in _STOPS:
-                word = word[:-1]
+        self.known, self.seen, sizes = self.known.take(pa.array(often)), self.seen[often], self.size[often]
+        self.ids = self._gathered(self.begin[often], sizes)
+        self.begin, self.size = np.cumsum(sizes) - sizes, sizes
+
+    def _cut(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, sizes, number of pieces of each text): where the ids of each piece of these texts are."""
+        texts = pc.replace_substring(texts, "\n", " \n")
+        texts = pc.binary_join_element_wise(pa.scalar("\n", texts.type), texts, pa.scalar("", texts.type))
+        lists = pc.split_pattern(texts, " ")
+        places = self._look_up(lists.flatten())
+        n = np.diff(lists.offsets.to_numpy())
+        begin, sizes = self.begin[places], self.size[places]
+        first = np.cumsum(n) - n
+        begin[first] += 1  # the line end that doesn't stand there
+        sizes[first] -= 1
+        return begin, sizes, n
+
+    def _careful(self, text: str) -> np.ndarray:
+        """A text with other white space; its first piece isn't remembered."""
+        first, *rest = _CUT.split(text)
+        head = np.array(self._each([first])[0], np.uint32)
+        if not rest:
+            return head
+        places = self._look_up(pa.array(rest))
+        return np.concatenate((head, self._gathered(self.begin[places], self.size[places])))
+
+    def encode_arrow(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, number of ids of each); null counts as empty."""
+        ids, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for plain, some in self._parts(texts):
+            if plain:
+                begin, of_piece, n = self._cut(some)
+                ids.append(self._gathered(begin, of_piece))
+                sizes.append(_sums(of_piece, n))
             else:
-                stop = ""
-            if self.direct and word.isalpha():
-                if not word.isascii():
-                    word = word.encode().decode("latin-1").translate(_BYTE_CHARACTER)
-                out[i] = [t.id for t in tokenize(word if first else _SPACE + word)] + stops[stop]
+                found = [self._careful(x) if self.cuts else self._whole(x) for x in some.to_pylist()]
+                ids += found
+                sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def count_arrow(self, texts: pa.Array) -> np.ndarray:
+        """The number of ids of each text; null counts as empty."""
+        sizes = [np.empty(0, np.int64)]
+        for plain, some in self._parts(texts):
+            if plain:
+                _, of_piece, n = self._cut(some)
+                sizes.append(_sums(of_piece, n))
             else:
-                rest.append(i)
-        whole = [pieces[i][1:] if pieces[i][:1] == "\n" else " " + pieces[i] for i in rest]
-        for i, e in zip(rest, self.library.encode_batch_fast(whole, add_special_tokens=False), strict=True):
-            out[i] = e.ids
-        return out
+                sizes.append(np.array([len(self._careful(x) if self.cuts else self._whole(x)) for x in some.to_pylist()], np.int64))
+        return np.concatenate(sizes)
+
+    def _parts(self, texts: pa.Array) -> Iterator[tuple[bool, pa.Array]]:
+        """(whether pieces are cut at every space and line end, texts) in order, some rows at a time."""
+        for at in range(0, len(texts), ROWS):
+            some = pc.fill_null(texts.slice(at, ROWS), pa.scalar("", texts.type))
+            if not self.cuts:
+                yield False, some
+                continue
+            wide = pc.match_substring_regex(some, _WIDE).to_numpy(zero_copy_only=False)
+            turns = [0, *(np.flatnonzero(np.diff(wide)) + 1).tolist(), len(some)]
+            for a, b in zip(turns, turns[1:], strict=False):
+                yield not wide[a], some.slice(a, b - a)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        if not self.cuts:
-            return [self._whole(x) for x in texts]
-        return [self._gathered(places) for places in self._look_up(texts)]
+        if not texts:
+            return []
+        ids, sizes = self.encode_arrow(pa.array(texts, pa.string()))
+        return np.split(ids, np.cumsum(sizes)[:-1])
 
     def count(self, texts: list[str]) -> list[int]:
-        if not self.cuts:
-            return [len(self._whole(x)) for x in texts]
-        return [int((self.ends[p + 1] - self.ends[p]).sum()) for p in self._look_up(texts)]
+        return self.count_arrow(pa.array(texts, pa.string())).tolist()
+
+
+def _sums(of_piece: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums over runs of n[0], n[1], ... pieces; every text has at least one."""
+    return np.add.reduceat(of_piece, np.cumsum(n) - n)
 
 
 def encoder(path: str) -> PieceEncoder:
