@@ -1,9 +1,10 @@
 """Packing by optimal length buckets.
 
-The histogram of lengths over all documents is summed by Spark into bins: exact lengths up to ``EXACT``, beyond that
-bins ``1 / EXACT`` wide in proportion, so their number is bounded whatever the input. On the driver, dynamic programming
-over the bins chooses at most ``BUCKETS`` upper bounds (each the longest length of its bin) that minimise the total
-padding; the lower envelope of lines makes each layer linear in the bins. Inside a bucket documents are put in batches
+The histogram of exact lengths over all documents is summed by Spark. It has at most sqrt(2 * tokens) rows, since k
+distinct lengths need k * k / 2 tokens: some 7 million narrow rows for 100 TB of text. On the driver, dynamic programming
+over it chooses at most ``BUCKETS`` upper bounds that minimise the total padding; the lower envelope of lines makes each
+layer linear in the lengths. A caller may ask for bins of a relative width of 1 / ``precision`` for lengths from
+2 * ``precision`` on; then total padding exceeds the least by less than that share of those documents' padded lengths. Inside a bucket documents are put in batches
 of as many rows as the token budget holds at the bucket's padded length; a document longer than the budget is a batch of
 its own. The order inside a bucket is by a hash of doc_id, and places come from prefix sums over counts.
 
@@ -26,9 +27,6 @@ from .tokens import default_path, encoder
 #: Buckets at most, and tokens (with padding) that a batch may hold.
 BUCKETS, BUDGET = 16, 65_536
 
-#: Lengths up to here have a bin each; longer ones share bins of this precision.
-EXACT = 2_048
-
 
 def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> tuple[list[int], int]:
     """The upper bounds of at most ``buckets`` buckets with least padding, and that padding.
@@ -42,11 +40,12 @@ def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> tup
         return [], 0
     c = [0, *np.cumsum(counts).tolist()]
     s = [0, *np.cumsum(lengths * counts).tolist()]
+    lengths = lengths.tolist()
     best: list[float] = [0] + [float("inf")] * n
-    back: list[list[int]] = []
-    layers = [best]
+    back: list[np.ndarray] = []
+    padding: list[float] = []
     for _ in range(min(buckets, n)):
-        new, choice = [float("inf")] * (n + 1), [0] * (n + 1)
+        new, choice = [float("inf")] * (n + 1), np.zeros(n + 1, np.int32)
         hull: list[tuple[int, int, int]] = []  # slope, height, i
         at = 0
         for j in range(1, n + 1):
@@ -56,21 +55,21 @@ def optimal_bounds(lengths: np.ndarray, counts: np.ndarray, buckets: int) -> tup
                 while len(hull) > at + 1 and (hull[-1][1] - hull[-2][1]) * (hull[-1][0] - line[0]) >= (line[1] - hull[-1][1]) * (hull[-2][0] - hull[-1][0]):
                     hull.pop()
                 hull.append(line)
-            x = int(lengths[j - 1])
+            x = lengths[j - 1]
             while at + 1 < len(hull) and hull[at + 1][0] * x + hull[at + 1][1] <= hull[at][0] * x + hull[at][1]:
                 at += 1
             if at < len(hull):
                 slope, height, i = hull[at]
                 new[j], choice[j] = slope * x + height + c[j] * x - s[j], i
-        layers.append(new)
         back.append(choice)
+        padding.append(new[n])
         best = new
-    k = min(range(1, len(layers)), key=lambda i: (layers[i][n], i))
-    padding, bounds, j = layers[k][n], [], n
+    k = min(range(len(back)), key=lambda i: (padding[i], i))
+    least, bounds, j = padding[k], [], n
     while j:
-        bounds.append(int(lengths[j - 1]))
-        j, k = back[k - 1][j], k - 1
-    return bounds[::-1], int(padding)
+        bounds.append(lengths[j - 1])
+        j, k = int(back[k][j]), k - 1
+    return bounds[::-1], int(least)
 
 
 def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
@@ -79,28 +78,26 @@ def token_lengths(docs: DataFrame, tokenizer: str) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer)
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                some = batch.slice(i, 200)
-                found = tokens.count([x or "" for x in some.column(1).to_pylist()])
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([n + 1 for n in found], pa.int64())], ["doc_id", "n_tokens"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(tokens.count_arrow(batch.column(1)) + 1, pa.int64())], ["doc_id", "n_tokens"])
 
     return has_columns(docs, doc_id="long", text="string").mapInArrow(count, "doc_id long, n_tokens long")
 
 
-def length_histogram(sizes: DataFrame, exact: int = EXACT) -> DataFrame:
-    """longest, n: the bins of all lengths; at most about 45 * exact bins."""
+def length_histogram(sizes: DataFrame, precision: int | None = None) -> DataFrame:
+    """longest, n: the count of every length; or of bins, at most about 45 * precision of them."""
     n = F.col("n_tokens")
-    # drop as many low bits as leave a number below 2 * exact
-    drop = F.greatest(F.length(F.bin(n)) - F.lit(exact.bit_length()), F.lit(0))
+    if precision is None:
+        return sizes.groupBy(n.alias("longest")).agg(F.count(F.lit(1)).alias("n"))
+    # drop as many low bits as leave a number below 2 * precision
+    drop = F.greatest(F.length(F.bin(n)) - F.lit(precision.bit_length()), F.lit(0))
     step = F.call_function("shiftleft", F.lit(1).cast("long"), drop.cast("int"))
-    bin_ = F.expr("n_tokens") - F.pmod(n, step)
-    return sizes.groupBy(bin_.alias("bin")).agg(F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n"))
+    return sizes.groupBy((n - F.pmod(n, step)).alias("bin")).agg(F.max("n_tokens").alias("longest"), F.count(F.lit(1)).alias("n")).drop("bin")
 
 
-def packed(scratch: Scratch, sizes: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+def packed(scratch: Scratch, sizes: DataFrame, buckets: int = BUCKETS, budget: int = BUDGET, precision: int | None = None) -> DataFrame:
     """``sizes`` is a written table with doc_id and n_tokens."""
-    bins = sorted((r["longest"], r["n"]) for r in length_histogram(sizes).collect())
-    bounds, _ = optimal_bounds(np.array([b[0] for b in bins], np.int64), np.array([b[1] for b in bins], np.int64), buckets)
+    bins = length_histogram(sizes, precision).toPandas().sort_values("longest")
+    bounds, _ = optimal_bounds(bins["longest"].to_numpy(np.int64), bins["n"].to_numpy(np.int64), buckets)
     bounds = bounds or [1]
     limits = F.array(*(F.lit(b).cast("long") for b in bounds))
     filed = sizes.withColumn("bucket", F.size(F.filter(limits, lambda b: b < F.col("n_tokens"))).cast("int"))
@@ -112,8 +109,8 @@ def packed(scratch: Scratch, sizes: DataFrame, buckets: int = BUCKETS, budget: i
     )
 
 
-def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, buckets: int = BUCKETS, budget: int = BUDGET) -> DataFrame:
+def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, buckets: int = BUCKETS, budget: int = BUDGET, precision: int | None = None) -> DataFrame:
     """doc_id, n_tokens, bucket, padded_to, padding, batch (within the bucket), place (within the batch) for every row."""
     scratch = Scratch(spark, "packing")
     sizes = scratch.keep(token_lengths(docs, tokenizer or default_path()), "sizes")
-    return packed(scratch, sizes, buckets, budget)
+    return packed(scratch, sizes, buckets, budget, precision)
