@@ -15,13 +15,15 @@ one; an empty table writes no file and gives an empty result; other columns are
 
 from __future__ import annotations
 
+import bisect
 import json
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +35,7 @@ from .tokens import default_path, encoder
 MAGIC = b"EVWM0001"
 
 #: Ids after which a block is closed, at the end of a document, and blocks in a file.
-BLOCK_TOKENS, FILE_BLOCKS = 1 << 19, 64
+BLOCK_TOKENS, FILE_BLOCKS = 1 << 18, 128
 
 #: The id that ends each document.
 END = 0
@@ -68,39 +70,47 @@ class Plane:
 
     def select(self, k: int, bit: int = 1) -> int:
         """Where the k-th (from 0) bit equal to ``bit`` is."""
-        ones = self.before.astype(np.int64)
-        seen = ones if bit else np.minimum(np.arange(len(ones)) * 8 * _SPAN, self.n) - ones
-        span = int(np.searchsorted(seen, k, side="right")) - 1
+        # the last span before which there are at most k such bits
+        span, after = 0, len(self.before)
+        while after - span > 1:
+            mid = (span + after) // 2
+            span, after = (mid, after) if self._seen(mid, bit) <= k else (span, mid)
         inside = np.unpackbits(self.bits[span * _SPAN : (span + 1) * _SPAN], bitorder="little")
-        return span * 8 * _SPAN + int(np.flatnonzero(inside == bit)[k - int(seen[span])])
+        return span * 8 * _SPAN + int(np.flatnonzero(inside == bit)[k - self._seen(span, bit)])
+
+    def _seen(self, span: int, bit: int) -> int:
+        """How many bits equal to ``bit`` stand before a span."""
+        ones = int(self.before[span])
+        return ones if bit else min(span * 8 * _SPAN, self.n) - ones
 
 
 class WaveletMatrix:
-    def __init__(self, n: int, planes: list[Plane], zeros: list[int]):
+    def __init__(self, n: int, planes: Sequence[Plane], zeros: list[int]):
         self.n, self.planes, self.zeros = n, planes, zeros
 
     @classmethod
     def build(cls, ids: np.ndarray, width: int) -> WaveletMatrix:
         row, planes, zeros = ids.astype(np.uint16 if width <= 16 else np.uint32), [], []
         for shift in range(width - 1, -1, -1):
-            bit = (row & row.dtype.type(1 << shift)).astype(bool)
-            planes.append(Plane(np.packbits(bit, bitorder="little"), len(row)))
-            low, down = row[~bit], np.empty_like(row)
+            bits = np.packbits((row & row.dtype.type(1 << shift)).astype(bool), bitorder="little")
+            planes.append(Plane(bits, len(row)))
+            # a plane's bits are an Arrow bitmap as they stand
+            one = pa.BooleanArray.from_buffers(pa.bool_(), len(row), [None, pa.py_buffer(bits)])
+            held = pa.array(row)
+            low = held.filter(pc.invert(one)).to_numpy()
             zeros.append(len(low))
-            down[: len(low)] = low
-            np.compress(bit, row, out=down[len(low) :])
-            row = down
+            row = np.concatenate((low, held.filter(one).to_numpy()))
         return cls(len(ids), planes, zeros)
 
     def decode(self) -> np.ndarray:
         """All ids, from the lowest plane up."""
         row = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
+        places = np.arange(self.n, dtype=np.int32)
         for level in range(len(self.planes) - 1, -1, -1):
-            bit = np.unpackbits(self.planes[level].bits, count=self.n, bitorder="little").view(bool)
-            up = np.empty_like(row)
-            up[~bit] = row[: self.zeros[level]]
-            up[bit] = row[self.zeros[level] :] | row.dtype.type(1 << (len(self.planes) - 1 - level))
-            row = up
+            bit = np.unpackbits(self.planes[level].bits, count=self.n, bitorder="little")
+            ones = np.cumsum(bit, dtype=np.int32)
+            down = np.where(bit.view(bool), ones + (self.zeros[level] - 1), places - ones)
+            row = row.take(down) | bit.astype(row.dtype) << row.dtype.type(len(self.planes) - 1 - level)
         return row.astype(np.uint32)
 
     def access(self, i: int) -> int:
@@ -114,8 +124,10 @@ class WaveletMatrix:
     def _range(self, token: int, lo: int, hi: int) -> tuple[int, int]:
         if token >> len(self.planes):
             return 0, 0
-        for level, (plane, zeros) in enumerate(zip(self.planes, self.zeros, strict=True)):
-            bit = token >> (len(self.planes) - 1 - level) & 1
+        for level, zeros in enumerate(self.zeros):
+            if lo >= hi:  # lower planes aren't asked
+                return 0, 0
+            plane, bit = self.planes[level], token >> (len(self.planes) - 1 - level) & 1
             lo, hi = (zeros + plane.rank(lo), zeros + plane.rank(hi)) if bit else (plane.rank(lo, 0), plane.rank(hi, 0))
         return lo, hi
 
@@ -187,8 +199,30 @@ class ShardWriter:
         self.out.close()
 
 
+class _StoredPlanes(Sequence):
+    """A block's planes, each read when it is first asked for."""
+
+    def __init__(self, reader: ShardReader, block: dict):
+        self.reader, self.block, self.held = reader, block, {}
+
+    def __len__(self) -> int:
+        return len(self.block["zeros"])
+
+    def __getitem__(self, level: int) -> Plane:
+        if not 0 <= level < len(self):
+            raise IndexError(level)
+        if level not in self.held:
+            bits, before = (self.reader.part(self.block, 3 + 2 * level + i) for i in (0, 1))
+            self.held[level] = Plane(np.frombuffer(bits, np.uint8), self.block["n"], np.frombuffer(before, "<u4"))
+        return self.held[level]
+
+
 class ShardReader:
-    """Reads one file block by block; ``source`` is a pyarrow random-access file."""
+    """Reads one file; ``source`` is a pyarrow random-access file.
+
+    access, count and occurrence answer for the whole file, by places from 0 to ``n`` - 1, and read only the planes of
+    the blocks that they need; iterating gives block after block.
+    """
 
     def __init__(self, source):
         self.source = source
@@ -197,21 +231,52 @@ class ShardReader:
             raise ValueError("not a shard of wavelet matrices")
         n = int.from_bytes(source.read_at(8, size - 8), "little")
         self.footer = json.loads(source.read_at(n, size - 8 - n))
+        self.blocks = self.footer["blocks"]
+        #: The first place of each block, and the number of ids in all.
+        self.starts = np.cumsum([0, *(b["n"] for b in self.blocks)]).tolist()
+        self.n = self.starts[-1]
 
-    def __iter__(self) -> Iterator[tuple[list[int | None], np.ndarray, WaveletMatrix]]:
-        """(doc_ids, lengths, matrix) of each block."""
+    def part(self, block: dict, i: int) -> bytes:
         import zstandard
 
-        for block in self.footer["blocks"]:
-            at, parts = block["at"], []
-            for size, how in block["parts"]:
-                part = self.source.read_at(size, at)
-                parts.append(zstandard.ZstdDecompressor().decompress(part) if how else part)
-                at += size
-            null = np.frombuffer(parts[1], np.uint8)
-            docs = [None if z else int(d) for d, z in zip(np.frombuffer(parts[0], "<i8"), null, strict=True)]
-            planes = [Plane(np.frombuffer(parts[i], np.uint8), block["n"], np.frombuffer(parts[i + 1], "<u4")) for i in range(3, len(parts), 2)]
-            yield docs, np.frombuffer(parts[2], "<u4"), WaveletMatrix(block["n"], planes, block["zeros"])
+        size, how = block["parts"][i]
+        raw = self.source.read_at(size, block["at"] + sum(s for s, _ in block["parts"][:i]))
+        return zstandard.ZstdDecompressor().decompress(raw) if how else raw
+
+    def matrix(self, block: dict) -> WaveletMatrix:
+        return WaveletMatrix(block["n"], _StoredPlanes(self, block), block["zeros"])
+
+    def access(self, i: int) -> int:
+        """The id at a place of the file."""
+        if not 0 <= i < self.n:
+            raise IndexError(i)
+        at = bisect.bisect_right(self.starts, i) - 1
+        return self.matrix(self.blocks[at]).access(i - self.starts[at])
+
+    def count(self, token: int, lo: int = 0, hi: int | None = None) -> int:
+        """How often a token stands in [lo, hi)."""
+        hi, out = self.n if hi is None else min(hi, self.n), 0
+        for start, block in zip(self.starts, self.blocks, strict=False):
+            if start < hi and start + block["n"] > lo:
+                out += self.matrix(block).count(token, max(lo - start, 0), min(hi - start, block["n"]))
+        return out
+
+    def occurrence(self, token: int, k: int) -> int:
+        """Where the k-th (from 0) occurrence of a token stands; -1 if there are fewer."""
+        for start, block in zip(self.starts, self.blocks, strict=False):
+            matrix = self.matrix(block)
+            n = matrix.count(token)
+            if k < n:
+                return start + matrix.occurrence(token, k)
+            k -= n
+        return -1
+
+    def __iter__(self) -> Iterator[tuple[list[int | None], np.ndarray, WaveletMatrix]]:
+        """(doc_ids, lengths, matrix) of each block."""
+        for block in self.blocks:
+            ids, null, lengths = (self.part(block, i) for i in range(3))
+            docs = [None if z else int(d) for d, z in zip(np.frombuffer(ids, "<i8"), np.frombuffer(null, np.uint8), strict=True)]
+            yield docs, np.frombuffer(lengths, "<u4"), self.matrix(block)
 
 
 def write_shards(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: str, end: int = END) -> DataFrame:
@@ -237,9 +302,10 @@ def write_shards(spark: SparkSession, docs: DataFrame, folder: str, tokenizer: s
             done.append((part, seq, path, writer.tokens))
 
         for batch in batches:
-            for i in range(0, batch.num_rows, 200):
-                some = batch.slice(i, 200)
-                for doc_id, ids in zip(some.column(0).to_pylist(), tokens.encode(some.column(1).to_pylist()), strict=True):
+            for i in range(0, batch.num_rows, 500):
+                some = batch.slice(i, 500)
+                ids, sizes = tokens.encode_arrow(some.column(1))
+                for doc_id, ids in zip(some.column(0).to_pylist(), np.split(ids, np.cumsum(sizes)[:-1]), strict=True):
                     if writer is None:
                         path = f"{base}/part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.evwm"
                         writer = ShardWriter(store.open_output_stream(path), width)

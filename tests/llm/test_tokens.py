@@ -6,11 +6,13 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from evidentia.llm.packing import optimal_bounds, pack
+from evidentia.llm import tokens, wavelet
+from evidentia.llm.packing import optimal_bounds, pack, packed
+from evidentia.llm.scratch import Scratch
 from evidentia.llm.tokens import PieceEncoder, default_path
 from evidentia.llm.wavelet import ShardReader, ShardWriter, WaveletMatrix, wavelet_shards
 
-from .fixtures import SCHEMA, documents, frame
+from .fixtures import SCHEMA, documents, frame, prose
 
 ENCODER = PieceEncoder(default_path())
 
@@ -22,7 +24,7 @@ def whole(text):
 @settings(max_examples=150, deadline=None)
 @given(st.text(alphabet=st.sampled_from(list("ab Z9.,'\n\t\r\x1c\xa0é漢🙂!<|>endoftx")), max_size=60))
 def test_pieces_give_the_librarys_ids(text):
-    assert ENCODER.cuts and ENCODER.direct
+    assert ENCODER.cuts
     assert ENCODER.encode([text])[0].tolist() == whole(text) and ENCODER.count([text]) == [len(whole(text))]
 
 
@@ -49,6 +51,52 @@ def test_shard_file_round_trip():
     close()
 
 
+def test_lookups_over_a_whole_file(monkeypatch):
+    """access, count and occurrence across block borders, and which parts of the file they read."""
+    monkeypatch.setattr(wavelet, "BLOCK_TOKENS", 500)
+    out, rng = io.BytesIO(), np.random.default_rng(8)
+    out.close = lambda: None
+    writer, rows = ShardWriter(out, 16), [rng.zipf(1.5, n).astype(np.uint32) % 60_000 for n in rng.integers(1, 300, 40)]
+    for d, ids in enumerate(rows):
+        writer.add(d, ids)
+    writer.close()
+
+    source = pa.BufferReader(out.getvalue())
+    reader, ids = ShardReader(source), np.concatenate(rows)
+    assert len(reader.blocks) > 5 and reader.n == len(ids)
+    assert [reader.access(i) for i in range(0, len(ids), 97)] == ids[::97].tolist()
+    for bad in (-1, len(ids)):
+        with pytest.raises(IndexError):
+            reader.access(bad)
+    for token in (1, 2, 7, int(ids[1234]), 59_999, 1 << 16):
+        where = np.flatnonzero(ids == token)
+        assert reader.count(token) == len(where)
+        assert all(reader.count(token, lo, hi) == ((where >= lo) & (where < hi)).sum() for lo, hi in ((0, 10), (450, 1700), (900, 900), (1000, 10**9)))
+        for k in sorted({0, len(where) // 2, len(where) - 1} - {-1}):
+            assert reader.occurrence(token, k) == (where[k] if k < len(where) else -1)
+        assert reader.occurrence(token, len(where)) == -1
+    # one token is read from one block's planes alone
+    sizes = [sum(s for s, _ in b["parts"]) for b in reader.blocks]
+    reads, plain = [], ShardReader.part
+    monkeypatch.setattr(ShardReader, "part", lambda self, block, i: reads.append(block["parts"][i][0]) or plain(self, block, i))
+    reader.access(1234)
+    assert 0 < sum(reads) <= max(sizes)
+    reads.clear()
+    reader.count(1 << 16)
+    assert not reads
+
+
+def test_eviction_keeps_ids_right(monkeypatch):
+    monkeypatch.setattr(tokens, "MOST", 60)
+    monkeypatch.setattr(tokens, "KEPT", 20)
+    small = PieceEncoder(default_path())
+    texts = [prose(i, 30) + f"\nline {i} , end." for i in range(60)] + ["", " lead  two"]
+    for i in range(0, len(texts), 7):
+        some = texts[i : i + 7]
+        assert [x.tolist() for x in small.encode(some)] == [whole(x) for x in some] and small.count(some) == [len(whole(x)) for x in some]
+    assert len(small.known) < 2_000
+
+
 def test_shards_of_odd_rows(spark):
     got = sorted(wavelet_shards(spark, frame(spark)).collect(), key=lambda r: r.start)
     assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got])[:-1].tolist()]
@@ -84,6 +132,19 @@ def test_batches_of_odd_rows(spark):
     assert sum(r.padding for r in got) == optimal_bounds(np.unique(lengths), np.unique(lengths, return_counts=True)[1], 4)[1]
 
 
+def test_long_lengths_are_exact_unless_bins_are_asked_for(spark):
+    rng = np.random.default_rng(6)
+    lengths = [*rng.integers(1, 200, 300).tolist(), *rng.integers(4_000, 400_000, 300).tolist()]
+    sizes = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "doc_id long, n_tokens long")
+    distinct, counts = np.unique(lengths, return_counts=True)
+    bounds, least = optimal_bounds(distinct, counts, 8)
+    got = packed(Scratch(spark, "exact"), sizes, buckets=8).collect()
+    assert sum(r.padding for r in got) == least and {r.padded_to for r in got} == set(bounds)
+    binned = packed(Scratch(spark, "bins"), sizes, buckets=8, precision=64).collect()
+    padded = sum(r.padded_to for r in binned if r.padded_to >= 128)
+    assert least <= sum(r.padding for r in binned) <= least + padded / 64
+
+
 @pytest.mark.parametrize("f", [wavelet_shards, pack])
 def test_empty_table(spark, f):
     assert f(spark, spark.createDataFrame([], SCHEMA)).count() == 0
