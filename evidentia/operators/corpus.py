@@ -150,3 +150,44 @@ def distribution(df: DataFrame, column: str) -> DataFrame:
     """Count and share of all of each value."""
     out = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     return out.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))
+
+
+#: Families that a registration document holds as chapters.
+CHAPTERS = ["governance_report", "remuneration_report"]
+
+
+def batch_rules(rows: DataFrame, batch: Sequence[str], kind: str, status: str, family: str, is_csrd: Column) -> DataFrame:
+    """Adds rejection, the first rule that takes a document out of its batch, or NULL: no type; unreadable; of a wrong company
+    where another document of its type exists; a chapter where the type is the registration document; superseded where a
+    statement under the newer directive exists. Rules look at their type's rows that the rules before have left.
+
+    Whether another exists is counted for each (batch, type) and joined back, so a hot batch is no single group.
+    """
+    key = [*batch, kind]
+    yes = lambda c: F.coalesce(c, F.lit(False))
+    rows = rows.withColumns({"_csrd": yes(is_csrd), "_left": F.col(kind).isNotNull() & (F.trim(kind) != "") & ~yes(F.col(status) == "unreadable"), "_wrong": yes(F.col(status) == "likely_wrong_company")})
+    right = rows.filter("_left").groupBy(*key).agg(F.bool_or(~F.col("_wrong")).alias("_right"))
+    rows = rows.join(right, key, "left")
+    away = F.col("_wrong") & yes(F.col("_right"))
+    newer = rows.filter(F.col("_left") & ~away).groupBy(*key).agg(F.bool_or("_csrd").alias("_newer"))
+    rows = rows.join(newer, key, "left")
+    rejection = (
+        F.when(F.coalesce(F.trim(kind), F.lit("")) == "", F.lit("needs_review"))
+        .when(~F.col("_left"), F.lit("unreadable"))
+        .when(away, F.lit("likely_wrong_company"))
+        .when((F.col(kind) == "01_urd_annual_report") & yes(F.col(family).isin(CHAPTERS)), F.lit("integrated_in_urd"))
+        .when((F.col(kind) == "02_sustainability_statement_csrd_esrs") & yes(F.col("_newer")) & ~F.col("_csrd"), F.lit("superseded_by_csrd_statement"))
+    )
+    return rows.withColumn("rejection", rejection).drop("_csrd", "_left", "_wrong", "_right", "_newer")
+
+
+def canonical_summary(canonical: DataFrame, families: str, members: str) -> DataFrame:
+    """One row: canonical documents, those of several families, duplicates folded into them, and the most in one."""
+    return canonical.agg(F.count(F.lit(1)).alias("documents"), F.count_if(F.size(families) > 1).alias("multi_family"), F.coalesce(F.sum(F.col(members) - 1), F.lit(0)).alias("folded"), F.max(members).alias("most"))
+
+
+def organized(rows: DataFrame, families: str, target: Column, expected: Column, found: Column) -> DataFrame:
+    """The plan of a corpus: a row for each (document, family) with its place and whether it is there already: to_copy,
+    present, or checksum_mismatch. Nothing is copied here."""
+    status = F.when(found.isNull(), F.lit("to_copy")).when(found == expected, F.lit("present")).otherwise(F.lit("checksum_mismatch"))
+    return rows.select("*", F.explode(families).alias("family")).select("*", target.alias("target"), status.alias("copy_status"))

@@ -93,6 +93,53 @@ def candidate_score(retrieval: Column, value_unit: Column, evidence: Column, con
     return F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.round(retrieval * 0.40 + extraction * 0.35 + context * 0.25 - penalty, 4)))
 
 
+def value_unit_coherence(value: Column, unit: Column, expected: Column, canonical: Column | None = None) -> Column:
+    """0.1 without a value; 1 for an expected unit, 0.9 for its canonical form, 0.3 for another; 0.6 for a unit where none is
+    expected, 0.4 without one."""
+    has = lambda c: F.coalesce(F.trim(c), F.lit("")) != ""
+    fits = lambda u: F.exists(expected, lambda e: F.lower(u).contains(F.lower(e)) | F.lower(e).contains(F.lower(u)))
+    asked = F.coalesce(F.size(expected), F.lit(0)) > 0
+    near = F.lit(False) if canonical is None else F.coalesce(has(canonical) & fits(canonical), F.lit(False))
+    known = F.when(fits(unit), 1.0).when(near, 0.9).otherwise(0.3)
+    return F.when(~has(value), 0.1).when(has(unit) & asked, known).when(has(unit), 0.6).otherwise(0.4)
+
+
+def evidence_quality(quote: Column, kind: Column, value: Column) -> Column:
+    """0.3 for a quote, 0.3 if the value stands in it, 0.3, 0.2 or 0.1 by what it was taken from, 0.1 from 30 characters on."""
+    one = lambda c, x: F.when(F.coalesce(c, F.lit(False)), F.lit(x)).otherwise(0.0)
+    of = F.when(kind == "table_cell_context", 0.3).when(kind.isin("paragraph", "evidence"), 0.2).when(kind == "section", 0.1).otherwise(0.0)
+    total = F.lit(0.3) + one((F.length(value) > 0) & quote.contains(value), 0.3) + of + one(F.length(quote) >= 30, 0.1)
+    return F.when(F.coalesce(quote, F.lit("")) == "", 0.0).otherwise(F.round(F.least(F.lit(1.0), total), 4))
+
+
+def context_score(quote: Column, terms: Column) -> Column:
+    """0.12 for each of a variable's terms in the quote, at most 1."""
+    found = F.size(F.filter(terms, lambda t: F.lower(quote).contains(F.lower(t))))
+    return F.when(F.coalesce(quote, F.lit("")) == "", 0.0).otherwise(F.round(F.least(F.lit(1.0), found * 0.12), 4))
+
+
+def hash_embedding(text: Column) -> Column:
+    """A unit vector of 64 numbers out of the SHA-256 of a text, whose 32 bytes are followed by zeros. For tests: equal texts, equal vectors."""
+    digest = F.sha2(F.coalesce(text, F.lit("")), 256)
+    raw = F.transform(F.sequence(F.lit(0), F.lit(31)), lambda i: F.conv(F.substring(digest, i * 2 + 1, F.lit(2)), 16, 10).cast("double") / 127.5 - 1.0)
+    norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda s, v: s + v * v))
+    return F.concat(F.transform(raw, lambda v: v / norm), F.array_repeat(F.lit(0.0), 32))
+
+
+def cell_context(cell: Column, column: Column, row: Column, title: Column, units: Sequence[str], iso: Column) -> Column:
+    """struct<unit, unit_source, unit_conflict, is_footnote, is_iso, is_section_number> of a cell of a table: the unit of the
+    cell, or of its column, its row, or the title; a conflict if column and row name different ones."""
+    pattern = r"(?i)(" + "|".join(sorted(units, key=lambda u: -len(u))) + ")"
+    first = lambda c: F.nullif(F.regexp_extract(F.coalesce(c, F.lit("")), pattern, 1), F.lit(""))
+    own, col, line, head = first(cell), first(column), first(row), first(title)
+    source = F.when(own.isNotNull(), F.lit("cell")).when(col.isNotNull(), F.lit("column_header")).when(line.isNotNull(), F.lit("row_header")).when(head.isNotNull(), F.lit("table_title"))
+    t = F.trim(F.coalesce(cell, F.lit("")))
+    return F.struct(
+        F.coalesce(own, col, line, head).alias("unit"), source.alias("unit_source"), F.coalesce((source == "column_header") & (F.lower(line) != F.lower(col)), F.lit(False)).alias("unit_conflict"),
+        t.rlike(r"^[(\[]?(\d|[a-zA-Z*])[)\]]?$").alias("is_footnote"), iso.alias("is_iso"), t.rlike(r"^\d{1,2}(\.\d{1,2})+$").alias("is_section_number"),
+    )
+
+
 def contained_labels(quotes: DataFrame, labels: DataFrame, quote: str, label: str) -> DataFrame:
     """Labels that stand in some quote. A substring can't be an equality, so the catalog of labels is broadcast to the
     quotes; each task reports a label once."""

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import company_matches, domain_matches, found_keywords, is_pdf_url, normalize, path_and_query, years
+from ..functions.text import company_matches, domain_matches, fold_accents, found_keywords, is_pdf_url, normalize, path_and_query, years
 
 
 @dataclass(frozen=True)
@@ -104,6 +104,57 @@ def score(candidates: DataFrame, family: Family, title: str = "title", url: str
     return out.withColumn("decision", decision).drop("_text", "_years")
 
 
+def classified(features: DataFrame, rules: Sequence[tuple[str, str]], unknown: str = "unknown") -> Column:
+    """The document class of a candidate: the first of the ordered (class, condition over feature columns) that holds."""
+    out = F.lit(unknown)
+    for name, condition in reversed(rules):
+        out = F.when(F.expr(condition), F.lit(name)).otherwise(out)
+    return out
+
+
+def class_decision(kind: Column, score: Column, is_pdf: Column, allowed: Sequence[str], blocked: Sequence[str], landing: Sequence[str] = (), accept: float = 80.0, review: float = 60.0) -> Column:
+    """By class first: blocked ones are rejected, or reviewed from ``review`` on; landing pages are to be resolved; allowed
+    ones are downloaded from ``accept`` on if they are a PDF."""
+    high, middling = score >= accept, score >= review
+    return (
+        F.when(kind.isin(list(blocked)), F.when(middling, F.lit("human_review_required")).otherwise(F.lit("reject")))
+        .when(kind.isin(list(landing)), F.when(middling, F.lit("pdf_resolution_required")).otherwise(F.lit("reject")))
+        .when(kind.isin(list(allowed)) & high, F.when(is_pdf, F.lit("auto_download")).otherwise(F.lit("pdf_resolution_required")))
+        .when(middling, F.when(is_pdf, F.lit("human_review_required")).otherwise(F.lit("pdf_resolution_required")))
+        .otherwise(F.lit("reject"))
+    )
+
+
+def document_validation(text: Column, technical: Column, company_name: Column, company_slug: Column, fiscal_year: Column, keywords: Sequence[str]) -> Column:
+    """struct<status, note>: whether a document is what it is filed as, by its text: the company's name, words of its kind, years.
+
+    unreadable files first; without words needs_review; in a longer text without the company, likely_wrong_company unless
+    words of the kind stand in it; with such words likely_valid, unless years are named and neither the fiscal year nor the
+    one before is among them.
+    """
+    low = F.trim(F.regexp_replace(fold_accents(F.coalesce(text, F.lit(""))), r"(?U)\s+", " "))
+    name = lambda c: F.trim(fold_accents(F.coalesce(c, F.lit(""))))
+    said = lambda c: (F.length(c) >= 3) & low.contains(c)
+    company = said(name(company_name)) | said(F.replace(name(company_slug), F.lit("-"), F.lit(" ")))
+    kind = F.exists(F.array(*map(F.lit, keywords)), lambda k: low.contains(k))
+    found = years(F.coalesce(text, F.lit("")))
+    far = fiscal_year.isNotNull() & (F.size(found) > 0) & ~F.arrays_overlap(found, F.array(fiscal_year.cast("string"), (fiscal_year - 1).cast("string")))
+    wrong = ~company & (F.length(low) > 500)
+    cases = [
+        (technical.isin("missing_file", "not_pdf", "unreadable_pdf"), "unreadable", "file"),
+        (low == "", "needs_review", "no_text"),
+        (wrong & kind, "needs_review", "company_not_found"),
+        (wrong, "likely_wrong_company", "company_not_found"),
+        (kind & F.coalesce(far, F.lit(False)), "needs_review", "other_years"),
+        (kind, "likely_valid", "none"),
+    ]
+    status, note = F.lit("needs_review"), F.lit("no_keyword")
+    for c, s, n in reversed(cases):
+        hit = F.coalesce(c, F.lit(False))
+        status, note = F.when(hit, F.lit(s)).otherwise(status), F.when(hit, F.lit(n)).otherwise(note)
+    return F.struct(status.alias("status"), note.alias("note"))
+
+
 def download_status(attempts: Column) -> Column:
     """From an array of attempts (struct<status_code, content_type>): ok, not_pdf, blocked, not_found or failed."""
     any_ = lambda cond: F.exists(attempts, cond)

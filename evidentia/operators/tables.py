@@ -53,6 +53,18 @@ def numeric_cells(cells: DataFrame, text: str, is_header: Column, unit: Column,
     return out.withColumns({"unit": F.coalesce(unit, context_unit), "year": F.coalesce(year, fiscal_year), "confidence": confidence})
 
 
+def row_texts(cells: DataFrame, table: str, row: str, column: str, text: str) -> DataFrame:
+    """The text of each row: its cells that say something, in order."""
+    said = F.filter(F.array_sort(F.collect_list(F.struct(column, F.col(text).alias("_t")))), lambda c: F.length(F.trim(c["_t"])) > 0)
+    return cells.groupBy(table, row).agg(F.array_join(F.transform(said, lambda c: c["_t"]), " ").alias("row_text"))
+
+
+def context_unit(cells: DataFrame, table: str, row: str, column: str, unit: str, is_header: str) -> DataFrame:
+    """A table's unit: that of the first cell of a header row with one, else of the first cell with one."""
+    place = F.struct((~F.col(is_header)).alias("h"), F.col(row).alias("r"), F.col(column).alias("c"))
+    return cells.filter(F.col(unit).isNotNull()).groupBy(table).agg(F.min_by(unit, place).alias("context_unit"))
+
+
 def cell_quality(cells: DataFrame, table: str, text: str) -> DataFrame:
     """Shares of empty, fragmented (up to two characters) and numeric cells."""
     t = F.trim(F.coalesce(text, F.lit("")))
