@@ -7,7 +7,7 @@ white space; of equal keywords the later one counts.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,6 +80,10 @@ def first_substring(line: Column, keywords: Sequence[str]) -> Column:
     return F.try_element_at(F.filter(F.array(*map(F.lit, keywords)), lambda k: line.contains(k)), F.lit(1))
 
 
+def _like(word: str) -> Callable[[Column], Column]:
+    return lambda w: F.levenshtein(w, F.lit(word)) * 5 <= len(word)
+
+
 def loose_keyword(line: Column, index: Mapping[str, tuple[str, str, str]]) -> Column:
     """struct<word, likeness> of the keyword most like a line, from LEAST_LIKENESS of 100 on; NULL if none.
 
@@ -98,7 +102,7 @@ def loose_keyword(line: Column, index: Mapping[str, tuple[str, str, str]]) -> Co
         own = sorted(anchors[metric])
         gate = F.size(F.array_intersect(words, F.array(*map(F.lit, own)))) >= min(LEAST_ANCHORS, len(own)) if own else F.lit(True)
         of = k.split()
-        near = [F.exists(words, lambda w, p=p: F.levenshtein(w, F.lit(p)) * 5 <= len(p)) for p in of]
+        near = [F.exists(words, _like(p)) for p in of]
         likeness = sum((F.when(x, 1).otherwise(0) for x in near), F.lit(0)) * (100.0 / len(of))
         made.append(F.when(gate & (likeness >= LEAST_LIKENESS), F.struct(likeness.alias("likeness"), F.lit(-i).alias("early"), F.lit(k).alias("word"))))
     best = F.array_max(F.array_compact(F.array(*made))) if made else F.lit(None)
@@ -167,7 +171,7 @@ def metric_candidates(lines: DataFrame, document: str, line: str, text: str, ent
     w = Window.partitionBy(document).orderBy(line)
     norm = metric_text(F.col(text))
     exact = longest_keyword(norm, list(index))
-    near = loose_keyword(norm, index) if loose else F.lit(None).cast("struct<word:string,likeness:double>")
+    near = loose_keyword(metric_text(F.col("_text")), index) if loose else F.lit(None).cast("struct<word:string,likeness:double>")
     years = F.transform(F.regexp_extract_all(text, F.lit(r"\b(19[0-9]{2}|20[0-9]{2})\b"), 1), lambda y: y.cast("int"))
     rows = lines.select(document, line, F.col(text).alias("_text"), exact.alias("_exact"), value_unit(F.col(text)).alias("_own"), F.array_max(years).alias("_year"))
     rows = rows.withColumns({"_next": F.lead("_own").over(w), "year_in_context": F.max("_year").over(w.rowsBetween(-3, 5))})

@@ -42,12 +42,12 @@ SHOWN = ["document_id", "page_number", "company", "validation_status", "indicato
 @query(f"""
     WITH {CANDIDATES}
     SELECT {', '.join(SHOWN)} FROM cand
-    WHERE validation_status = 'needs_review' AND indicator_family = 'energy' AND CAST(company AS VARCHAR) = '3' AND trim(raw_value) <> '' AND length(quote) >= 10 AND regexp_matches(quote, '(?i)part [0-9]*[13] OF')
+    WHERE validation_status = 'needs_review' AND indicator_family = 'energy' AND CAST(company AS VARCHAR) = '3' AND trim(raw_value) <> '' AND length(quote) >= 10 AND regexp_matches(quote, '(?i)part [0-9]*[24] OF')
 """)
 def candidate_filters(spark: SparkSession, d: str) -> DataFrame:
     """All filters together, one that is blank, and one on a column that isn't there."""
     out = S.filtered(
-        _candidates(spark, d), {"validation_status": "needs_review", "indicator_family": "energy", "company": "3", "source_engine": "", "risk_level": "high"}, {"quote": "part [0-9]*[13] OF", "label": "x"}, value=True, quote=True
+        _candidates(spark, d), {"validation_status": "needs_review", "indicator_family": "energy", "company": "3", "source_engine": "", "risk_level": "high"}, {"quote": "part [0-9]*[24] OF", "label": "x"}, value=True, quote=True
     )
     return out.select(*SHOWN)
 
