@@ -15,6 +15,12 @@ def tokens(docs: DataFrame, ident: str, text: str, pattern: str = "[^a-z0-9]+")
     return docs.select(ident, F.explode(words).alias("token")).groupBy(ident, "token").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def distinct_tokens(docs: DataFrame, ident: str, text: str, pattern: str = "[^a-z0-9]+") -> DataFrame:
+    """(ident, token): each document's tokens once, without a shuffle; enough to count the documents that have a token."""
+    words = F.array_distinct(F.filter(F.split(F.lower(text), pattern), lambda w: F.length(w) >= 2))
+    return docs.select(ident, F.explode(words).alias("token"))
+
+
 def vocabulary(terms: DataFrame, ident: str, documents: int, size: int = 512) -> DataFrame:
     """(token, df, idf): tokens in at least 0.1 % and at most half of the documents, the rarest first, at most ``size``;
     if they are fewer, more frequent ones fill up. idf = ln((1 + n) / (1 + df)) + 1."""

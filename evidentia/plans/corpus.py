@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import display, first_best, hash_id, marker_vote, normalize, slug
+from ..functions.text import display, domain, first_best, hash_id, marker_vote, normalize, slug
 from ..operators.corpus import (
     canonical_documents as canonical,
     dedup_summary as summary_of,
@@ -21,6 +21,7 @@ from ..operators.corpus import (
     worst_per_key,
 )
 from ..operators.documents import block_statistics as statistics_of, page_diagnostics as diagnostics_of, repeated_lines as lines_on_pages
+from ..operators.families import FAMILIES
 from ..operators.scoring import POINTS, Family, score
 from ..sources.links import page_links
 from .registry import query, table
@@ -238,21 +239,67 @@ def page_diagnostics(spark: SparkSession, d: str) -> DataFrame:
     return diagnostics_of(lines, ["doc_id"], "line", F.length("line") <= 90)
 
 
-#: Links and their titles, by one pattern in both engines.
+#: Links and their titles, by one pattern in both engines; each link is made whole by its page's address.
 @query(r"""
-    WITH l AS (SELECT page_id, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS href FROM pages),
-    h AS (SELECT DISTINCT page_id, href FROM l WHERE regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*://'))
-    SELECT regexp_replace(lower(regexp_extract(href, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\.', '') AS domain, count(*) AS links, count(DISTINCT page_id) AS pages FROM h GROUP BY 1
+    WITH l AS (SELECT page_id, url, unnest(regexp_extract_all(html, '(?is)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["''][^>]*>(.*?)</a>', 1)) AS href FROM pages),
+    h AS (
+        SELECT DISTINCT page_id, CASE WHEN regexp_matches(href, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN href WHEN starts_with(href, '//') THEN split_part(url, ':', 1) || ':' || href
+               WHEN starts_with(href, '/') THEN regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)', 1) || href ELSE 'elsewhere:' || href END AS link FROM l
+    )
+    SELECT regexp_replace(lower(regexp_extract(link, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)', 1)), '^www\.', '') AS domain, count(*) AS links, count(DISTINCT page_id) AS pages FROM h WHERE link <> '' GROUP BY 1
 """)
 def url_domain_counts(spark: SparkSession, d: str) -> DataFrame:
-    links = page_links(table(spark, d, "pages"), "page_id", "url", "html").filter(F.col("href").rlike("^[A-Za-z][A-Za-z0-9+.-]*://"))
+    links = page_links(table(spark, d, "pages"), "page_id", "url", "html")
     return links.groupBy("domain").agg(F.count(F.lit(1)).alias("links"), F.count_distinct("page_id").alias("pages"))
 
 
-@query()
+HITS = [
+    "Annual Report 2024", "Universal registration document of {c} 2023", "{c} climate report 2024", "Notice of meeting 2024 report", "Half year report", "{c} carbon news 2019 and 2024", "sbti targets of {c}", "presentation", "{c} integrated report 2024", "weather",
+]
+FOLDERS = ["http://example.com/annual-report.pdf", "https://www.{c}.com/docs/report_2024.pdf?x=1", "https://{c}.com/investors", "http://scribd.com/doc/annual report.pdf", "https://cdn.other.org/climate-report-2024.pdf"]
+
+#: Rules of one family of each kind, small enough to be written out in SQL.
+SCORED = Family("annual", strong=["annual report", "universal registration document"], secondary=["integrated report"], weak=["report"], points=POINTS["annual"], penalties={"notice": (["notice of meeting"], -50, 55)}, low_trust=["scribd.com"])
+
+
+def _search_hits(spark: SparkSession, d: str) -> DataFrame:
+    """Search hits for each customer's company: a title and an address by the order's number."""
+    pick = lambda items, by: F.element_at(F.array(*map(F.lit, items)), (by % len(items) + 1).cast("int"))
+    company = F.concat(F.lit("firm"), (F.col("o_custkey") % 50).cast("string"))
+    named = lambda c: F.replace(c, F.lit("{c}"), company)
+    rows = table(spark, d, "orders").select("o_orderkey", company.alias("company"), named(pick(HITS, F.col("o_orderkey"))).alias("title"), named(pick(FOLDERS, F.col("o_custkey") + F.col("o_orderkey"))).alias("url"))
+    return rows.withColumns({"snippet": F.lit(""), "domain": domain(F.col("url")), "official_domain": F.concat("company", F.lit(".com")), "fiscal_year": F.lit(2024)})
+
+
+@query(rf"""
+    WITH h AS (
+        SELECT o_orderkey, 'firm' || (o_custkey % 50) AS c, replace([{', '.join("'" + x + "'" for x in HITS)}][o_orderkey % {len(HITS)} + 1], '{{c}}', 'firm' || (o_custkey % 50)) AS title,
+               replace([{', '.join("'" + x + "'" for x in FOLDERS)}][(o_custkey + o_orderkey) % {len(FOLDERS)} + 1], '{{c}}', 'firm' || (o_custkey % 50)) AS url FROM orders
+    ),
+    f AS (
+        SELECT *, ' ' || trim(regexp_replace(lower(title || ' ' || regexp_extract(url, '^[a-z]+://[^/?#]*([^#]*)', 1)), '[^a-z0-9]+', ' ', 'g')) || ' ' AS t, regexp_replace(regexp_extract(url, '^[a-z]+://([^/?#]*)', 1), '^www\.', '') AS dom,
+               contains(title || ' ' || url, c) AS company, contains(title || url, '2024') AS y24, regexp_matches(title || ' ' || url, '\b(19|20)[0-9][0-9]\b') AS dated, contains(lower(url), '.pdf') AS pdf FROM h
+    ),
+    k AS (
+        SELECT *, contains(t, ' annual report ') OR contains(t, ' universal registration document ') AS strong, contains(t, ' integrated report ') AS second, contains(t, ' report ') AS weak0, contains(t, ' notice of meeting ') AS notice,
+               dom = c || '.com' AS official, regexp_matches(title || ' ' || url, '\b2024\b') AS wanted, pdf AND (contains(url, 'annual-report.pdf') OR contains(url, 'annual report.pdf')) AS named FROM f
+    ),
+    s AS (
+        SELECT *, weak0 AND NOT strong AS weak, wanted::INT * 30 + (NOT wanted AND dated)::INT * -35 + (NOT dated)::INT * -5 + strong::INT * 30 + (weak0 AND NOT strong)::INT * 15 + (NOT strong AND NOT second AND NOT weak0)::INT * -20
+               + company::INT * 20 + (NOT company)::INT * -30 + official::INT * 20 + pdf::INT * 12 + (NOT pdf)::INT * -8 + named::INT * 15 + (dom = 'scribd.com')::INT * -45 + notice::INT * -50 AS total FROM k
+    ),
+    z AS (SELECT *, greatest(0, least(total, CASE WHEN notice THEN 55 ELSE 100 END, CASE WHEN NOT strong AND NOT second AND NOT weak THEN 59 ELSE 100 END)) AS score FROM s)
+    SELECT o_orderkey, CAST(score AS DOUBLE) AS score, CASE WHEN NOT (strong OR second) OR score < 60 THEN 'reject' WHEN NOT pdf THEN 'pdf_resolution_required' WHEN score >= 80 THEN 'auto_download' ELSE 'human_review_required' END AS decision FROM z
+""")
 def candidate_score(spark: SparkSession, d: str) -> DataFrame:
-    pages = table(spark, d, "pages")
-    hits = pages.select("page_id", "url", F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1).alias("title"), F.lit("").alias("snippet"))
-    hits = hits.withColumns({"domain": F.lower(F.regexp_extract("url", "^[a-z]+://([^/?#]*)", 1)), "company": F.lit("Example"), "official_domain": F.lit("example.com"), "fiscal_year": F.lit(2024)})
-    family = Family("annual", strong=["annual report", "universal registration document"], secondary=["integrated report"], weak=["report"], points=POINTS["annual"], penalties={"notice": (["notice of meeting"], -50, 55)})
-    return score(hits, family).select("page_id", "score", "decision", F.array_join("positive_signals", ",").alias("positive"), F.array_join("negative_signals", ",").alias("negative"))
+    return score(_search_hits(spark, d), SCORED).select("o_orderkey", "score", "decision")
+
+
+@query()
+def candidate_score_families(spark: SparkSession, d: str) -> DataFrame:
+    """Every family with its own lists over the same hits: tested against a plain loop."""
+    out = None
+    for name, family in FAMILIES.items():
+        one = score(_search_hits(spark, d), family).select(F.lit(name).alias("family"), "o_orderkey", "score", "decision")
+        out = one if out is None else out.unionByName(one)
+    return out

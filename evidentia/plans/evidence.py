@@ -9,7 +9,7 @@ from ..functions.numbers import first_metric
 from ..operators import evidence as E
 from .registry import query, table
 
-TYPES = {"licence": ["rights reserved"], "contact": ["@", "call"], "insult": ["idiot", "stupid"]}
+TYPES = {"licence": ["rights reserved"], "contact": ["@", "call"], "insult": ["idiot", "stupid"], "question": ["que", "tion"], "person": ["ich", "sch"]}
 
 
 def _evidence(spark: SparkSession, d: str) -> DataFrame:
@@ -27,13 +27,16 @@ EVIDENCE = "evidence AS (SELECT *, CASE WHEN length(text) < 20 THEN 'exclude' WH
         SELECT conv_id, turn, 'licence' AS information_type FROM e WHERE contains(lower(text), 'rights reserved')
         UNION ALL SELECT conv_id, turn, 'contact' FROM e WHERE contains(lower(text), '@') OR contains(lower(text), 'call')
         UNION ALL SELECT conv_id, turn, 'insult' FROM e WHERE contains(lower(text), 'idiot') OR contains(lower(text), 'stupid')
+        UNION ALL SELECT conv_id, turn, 'question' FROM e WHERE contains(lower(text), 'que') OR contains(lower(text), 'tion')
+        UNION ALL SELECT conv_id, turn, 'person' FROM e WHERE contains(lower(text), 'ich') OR contains(lower(text), 'sch')
+        UNION ALL SELECT conv_id, turn, 'metric' FROM e WHERE regexp_matches(text, '(^|[^0-9])([1-9][1-9]|[1-9][0-9]{{2}})([^0-9,.]|$)')
     )
-    SELECT information_type, count(*) AS n FROM c GROUP BY 1
+    SELECT conv_id, turn, information_type FROM c
 """)
 def typed_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each type in each turn."""
     rows = E.eligible(_evidence(spark, d), "policy", "text")
-    out = E.typed_candidates(rows, "text", TYPES, first_metric(F.col("text")), ["conv_id", "turn"])
-    return out.filter("information_type <> 'metric'").groupBy("information_type").agg(F.count(F.lit(1)).alias("n"))
+    return E.typed_candidates(rows, "text", TYPES, first_metric(F.col("text")), ["conv_id", "turn"]).select("conv_id", "turn", "information_type")
 
 
 @query()

@@ -118,16 +118,6 @@ def role_samples(spark: SparkSession, d: str) -> DataFrame:
     return D.samples(table(spark, d, "conversations"), ["role"], ["conv_id", "turn"], 5).select("role", "conv_id", "turn", "sample")
 
 
-@query("""
-    WITH t AS (SELECT conv_id, turn, lower(substr(text, 1, 40)) AS title FROM conversations)
-    SELECT conv_id, turn, CASE WHEN regexp_matches(title, 'the|and') THEN 'english' WHEN regexp_matches(title, 'der|und') THEN 'german' ELSE 'unknown' END AS section_type,
-           CAST(CASE WHEN regexp_matches(title, 'the|and|der|und') THEN 0.75 ELSE 0.25 END AS DOUBLE) AS confidence FROM t
-""")
-def section_types(spark: SparkSession, d: str) -> DataFrame:
-    kind = D.section_type(F.lower(F.substring("text", 1, 40)), {"english": "the|and", "german": "der|und"})
-    return table(spark, d, "conversations").select("conv_id", "turn", kind.alias("k")).select("conv_id", "turn", F.col("k.type").alias("section_type"), F.col("k.confidence").alias("confidence"))
-
-
 @query("""
     WITH t AS (SELECT conv_id, turn, lower(text) AS title FROM conversations)
     SELECT conv_id, turn, CASE WHEN regexp_matches(title, 'the|and') THEN 'english' WHEN regexp_matches(title, 'der|und') THEN 'german' ELSE 'unknown' END AS section_type,
@@ -224,33 +214,25 @@ TERMS = """
 @query(f"WITH {TERMS} SELECT token, df, round(idf, 6) AS idf FROM vocab")
 def idf_table(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents")
-    return R.vocabulary(R.tokens(docs, "doc_id", "text"), "doc_id", docs.count()).withColumn("idf", F.round("idf", 6))
-
+    return R.vocabulary(R.distinct_tokens(docs, "doc_id", "text"), "doc_id", docs.count()).withColumn("idf", F.round("idf", 6))
 
-def _queries(spark: SparkSession) -> DataFrame:
-    """Fixed queries of frequent words; words outside the vocabulary give nothing."""
-    return spark.createDataFrame([("q1", "the", 0.5), ("q1", "and", 0.5), ("q2", "der", 0.7), ("q2", "die", 0.3), ("q3", "que", 1.0)], "query string, token string, weight double")
 
-
-@query("""
-    WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^a-z0-9]+')) AS token FROM documents),
-    terms AS (SELECT doc_id, token, count(*) AS tf FROM w WHERE length(token) >= 2 GROUP BY 1, 2),
-    n AS (SELECT count(*) AS n FROM documents), len AS (SELECT doc_id, sum(tf) AS l FROM terms GROUP BY 1), df AS (SELECT token, count(*) AS df FROM terms GROUP BY 1),
-    vocab AS (SELECT token, ln((n + 1.0) / (df + 1.0)) + 1.0 AS idf FROM df, n WHERE token IN ('the', 'and', 'der', 'die', 'que', 'of', 'en')),
+@query(f"""
+    WITH {TERMS}, len AS (SELECT doc_id, sum(tf) AS l FROM terms GROUP BY 1),
     x AS (SELECT doc_id, token, tf / l * idf AS w FROM terms JOIN vocab USING (token) JOIN len USING (doc_id)),
     y AS (SELECT doc_id, token, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM x),
-    q(query, token, qw) AS (VALUES ('q1', 'the', 0.5), ('q1', 'and', 0.5), ('q2', 'der', 0.7), ('q2', 'die', 0.3), ('q3', 'que', 1.0)),
-    s AS (SELECT query, doc_id, round(sum(weight * CAST(qw AS DOUBLE)), 6) AS score FROM y JOIN q USING (token) GROUP BY 1, 2),
+    q AS (SELECT CAST(doc_id AS VARCHAR) AS query, token, weight AS qw FROM y WHERE doc_id % 20 = 0),
+    s AS (SELECT query, doc_id, round(sum(weight * qw), 6) AS score FROM y JOIN q USING (token) GROUP BY 1, 2),
     r AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id) AS rank FROM s)
     SELECT query, doc_id, score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 20
 """)
 def lexical_topk(spark: SparkSession, d: str) -> DataFrame:
+    """The whole vocabulary over whole texts. A stated query set, the documents whose id is divisible by 20, against all."""
     docs = table(spark, d, "documents")
     terms = R.tokens(docs, "doc_id", "text")
-    n = docs.count()
-    df = terms.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter(F.col("token").isin("the", "and", "der", "die", "que", "of", "en"))
-    vocab = df.withColumn("idf", F.log((F.lit(n) + 1.0) / (F.col("df") + 1.0)) + 1.0)
-    return R.sparse_topk(R.tfidf(terms, vocab, "doc_id"), _queries(spark), "doc_id", "query", 20)
+    weights = R.tfidf(terms, R.vocabulary(terms, "doc_id", docs.count()), "doc_id")
+    queries = weights.filter("doc_id % 20 = 0").select(F.col("doc_id").cast("string").alias("query"), "token", "weight")
+    return R.sparse_topk(weights, queries, "doc_id", "query", 20)
 
 
 @query("""
@@ -270,23 +252,6 @@ def dense_cosine_topk(spark: SparkSession, d: str) -> DataFrame:
 HYBRID_TERMS = {"v1": ["the", "and", "of"], "v2": ["der", "und", "die"], "v3": ["que", "los", "las"]}
 
 
-@query("""
-    WITH v(variable, terms) AS (VALUES ('v1', ['the', 'and', 'of']), ('v2', ['der', 'und', 'die']), ('v3', ['que', 'los', 'las'])),
-    s AS (
-        SELECT variable, doc_id, round(least(1.0, list_sum(list_transform(terms, lambda t: CASE WHEN contains(lower(text), t) THEN least(0.15, 0.05 + length(t) * 0.005) ELSE 0.0 END))) * 0.25
-               + least(1.0, CASE WHEN contains(lower(text), 'token') THEN 0.35 ELSE 0 END) * 0.10 - CASE WHEN regexp_matches(text, 'rights reserved') THEN 0.2 ELSE 0 END, 4) AS score
-        FROM v CROSS JOIN documents
-    ), r AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY score DESC, doc_id) AS rank FROM s)
-    SELECT variable, doc_id, CAST(score AS DOUBLE) AS score, CAST(rank AS INT) AS rank FROM r WHERE rank <= 20
-""")
-def hybrid_retrieval_topk(spark: SparkSession, d: str) -> DataFrame:
-    catalog = spark.createDataFrame(list(HYBRID_TERMS.items()), "variable string, terms array<string>")
-    pairs = table(spark, d, "documents").select("doc_id", F.lower("text").alias("low"), "text").crossJoin(F.broadcast(catalog))
-    zero = F.lit(0.0)
-    score = R.hybrid(zero, R.keyword_score(F.col("low"), F.col("terms")), R.unit_score(F.col("low"), F.array(F.lit("token"))), zero, R.structural_penalty(F.col("text"), ["rights reserved"]))
-    return R.top(pairs.select("variable", "doc_id", score.alias("score")), ["variable"], [F.desc("score"), "doc_id"], 20)
-
-
 def document_catalog(spark: SparkSession, d: str) -> DataFrame:
     """The fixed variables, and two of the vocabulary's first tokens: fixed words may be outside the vocabulary."""
     docs = table(spark, d, "documents")

@@ -88,9 +88,10 @@ def lineage_long(spark: SparkSession, d: str) -> DataFrame:
     return V.lineage(_selected(spark, d), evidence, "o_orderkey").select("company", "year", "variable_name", "value", "ident", "evidence_status", "trace_complete")
 
 
-@query(f"WITH {FACTS} SELECT company, year, variable_name, value, unit, value_status, candidates, quote, ident FROM selected WHERE false")
+@query(f"WITH {FACTS} SELECT company, year, variable_name, value, unit, value_status, candidates, quote, ident FROM selected WHERE value_status = 'found' AND ident NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R')")
 def untraced_values(spark: SparkSession, d: str) -> DataFrame:
-    out = V.untraced(_selected(spark, d), table(spark, d, "orders"), "o_orderkey")
+    """Orders with a returned line are those with evidence."""
+    out = V.untraced(_selected(spark, d), table(spark, d, "lineitem").filter("l_returnflag = 'R'").select("l_orderkey").distinct(), "l_orderkey")
     return out.select("company", "year", "variable_name", "value", "unit", "value_status", "candidates", "quote", "ident")
 
 
@@ -101,7 +102,7 @@ def completion(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
     WITH {FACTS}
-    SELECT 'duplicate_cell' AS finding, CAST(0 AS BIGINT) AS n UNION ALL SELECT 'found_without_value', count(*) FROM selected WHERE value_status = 'found' AND value IS NULL
+    SELECT 'duplicate_cell' AS finding, (SELECT count(*) FROM (SELECT count(*) OVER (PARTITION BY company, year, variable_name) AS k FROM selected) WHERE k > 1) AS n UNION ALL SELECT 'found_without_value', count(*) FROM selected WHERE value_status = 'found' AND value IS NULL
     UNION ALL SELECT 'value_without_found', count(*) FROM selected WHERE value_status <> 'found' AND value IS NOT NULL UNION ALL SELECT 'found_without_quote', count(*) FROM selected WHERE value_status = 'found' AND quote IS NULL
     UNION ALL SELECT 'conflicting_values', count(*) FROM selected WHERE value_status = 'conflicting_values' UNION ALL SELECT 'missing_from_corpus', count(*) FROM selected WHERE value_status = 'missing_from_corpus'
 """)
@@ -176,20 +177,20 @@ ENGINES = """
     WITH {ENGINES},
     g AS (SELECT key, count(*) AS group_size, count(DISTINCT source_engine) AS engines, arg_min(ident, (prio, -confidence, length(quote), ident)) AS best FROM keyed GROUP BY 1),
     m AS (SELECT source_engine, ident, group_size, engines, confidence, CASE WHEN group_size = 1 THEN 'unique_candidate' WHEN ident = best THEN 'canonical' ELSE 'duplicate' END AS deduplication_status FROM keyed JOIN g USING (key))
-    SELECT source_engine, deduplication_status, count(*) AS n,
-           CAST(round(sum(CASE WHEN deduplication_status = 'canonical' AND engines > 1 THEN greatest(round(least(confidence + 0.05 * (group_size - 1), CASE source_engine WHEN 'visual' THEN 0.5 ELSE 0.6 END), 3), confidence) ELSE confidence END), 4) AS DOUBLE) AS confidence
-    FROM m GROUP BY 1, 2
+    SELECT source_engine, ident, deduplication_status,
+           CAST(round(CASE WHEN deduplication_status = 'canonical' AND engines > 1 THEN greatest(round(least(confidence + 0.05 * (group_size - 1), CASE source_engine WHEN 'visual' THEN 0.5 ELSE 0.6 END), 3), confidence) ELSE confidence END, 4) AS DOUBLE) AS confidence
+    FROM m
 """)
 def candidate_consolidation(spark: SparkSession, d: str) -> DataFrame:
     order = [C.engine_rank(F.col("source_engine")), -F.col("confidence"), F.length("quote")]
     marked = C.consensus_boost(C.mark_duplicates(_engines(spark, d), "key", order, "ident", "ident"))
-    return marked.groupBy("source_engine", "deduplication_status").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("confidence"), 4).alias("confidence"))
+    return marked.select("source_engine", "ident", "deduplication_status", F.round("confidence", 4).alias("confidence"))
 
 
 @query(f"""
     WITH {ENGINES},
     s AS (SELECT *, CASE WHEN flag = 'A' AND sup % 2 = 0 THEN 'needs_review' ELSE 'possible_indicator' END AS s0, row_number() OVER (PARTITION BY document_id, page, value, quote ORDER BY prio, -confidence, ident) > 1 AS is_duplicate FROM keyed)
-    SELECT CASE WHEN is_duplicate THEN 'reject_candidate' WHEN s0 = 'needs_review' AND confidence >= 0.36 THEN 'possible_indicator' ELSE s0 END AS validation_status, is_duplicate, count(*) AS n FROM s GROUP BY 1, 2
+    SELECT ident, CASE WHEN is_duplicate THEN 'reject_candidate' WHEN s0 = 'needs_review' AND confidence >= 0.36 THEN 'possible_indicator' ELSE s0 END AS validation_status, is_duplicate FROM s
 """)
 def candidate_validation(spark: SparkSession, d: str) -> DataFrame:
     rows = _engines(spark, d)
@@ -197,7 +198,7 @@ def candidate_validation(spark: SparkSession, d: str) -> DataFrame:
     status = C.validation_status(C.forbidden_signal([F.col("quote")]), F.lit(False), F.lit("ok"), F.col("quote"), traced, F.col("page"), F.col("value"))
     rows = rows.withColumn("validation_status", C.by_confidence(status, F.col("confidence"), accept=0.36))
     rows = C.reject_duplicates(rows, ["document_id", "page", "value", "quote"], [C.engine_rank(F.col("source_engine")), -F.col("confidence"), "ident"], "validation_status")
-    return rows.groupBy("validation_status", "is_duplicate").agg(F.count(F.lit(1)).alias("n"))
+    return rows.select("ident", "validation_status", "is_duplicate")
 
 
 @query("""

@@ -14,8 +14,10 @@ def guard(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.unionOutputPartitioning", "false")
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        # a cluster names a shared folder; a folder of our own serves only where none is named, as in tests
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="evidentia-"))
+        # a cluster names a shared folder; a folder of our own serves only on one machine, as in tests
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named or context.master.startswith("local"):
+            context.setCheckpointDir(named or tempfile.mkdtemp(prefix="evidentia-"))
     return spark
 
 
