@@ -8,11 +8,13 @@ give points without being split to the bottom, and documents with different weig
 cover. The share of equal components estimates sum(min) / sum(max) of the weights without bias.
 
 Documents with equal multisets are one class from the start, so copies never meet in pairs. Classes that share a band
-are compared with the smallest class of that bucket. What stays apart from a bucket's main component then meets, in a
-small bucket, every member outside its own component, and in a large one a few hubs of the main component; what is still
-apart there is joined, on the rare shingles that any link must share, with all members of such buckets. So every two
-classes that share a band are in one component, or have been compared in full, or are ruled out by an exact bound, and
-a large group never meets in pairs. Components grow by minimum labels with pointer jumping over DataFrames.
+meet in rounds, each of which leaves out what the rounds before have joined or compared: a class is first compared with
+the smallest class of its largest bucket alone. What stays apart from a bucket's main component then meets, in a small
+bucket, every member outside its own component, and in a large one a few hubs of the main component, which are the same
+in all buckets; what is still apart there is joined, on the rare shingles that any link must share, with all members of
+such buckets, a small part of the pairs first and only of what hasn't come together meanwhile. So every two classes that share a band are in one component, or have been compared in full, or are ruled
+out by an exact bound, and a large group never meets in pairs. Components grow by minimum labels with pointer jumping
+over DataFrames.
 
 Defined cases: null text counts as empty; all documents without words are one class; a text of fewer than five words is
 one shingle; of rows that repeat one is kept; null doc_ids come last in their class; an empty table gives an empty
@@ -27,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -44,6 +46,9 @@ SIMILARITY = 0.8
 #: are compared with so many hubs, and what is left is joined on rare shingles.
 SMALL_BUCKET, HUBS = 16, 4
 
+#: Pairs for each class, about, that are compared first of those that share a rare token; how many times more each turn.
+ASKED, FEWER = 2, 4
+
 #: Shingles whose processes run together in numpy.
 BLOCK = 100_000
 
@@ -178,6 +183,19 @@ def components(scratch: Scratch, links: DataFrame, name: str) -> DataFrame:
     return labels
 
 
+def grown(scratch: Scratch, labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
+    """Labels after more links: the components of the components that the links join, so that settled links aren't walked again."""
+    n, ends = labels.count(), links.select("a", "b")
+    for side in ("a", "b"):
+        to = labels.select(F.col("v").alias(f"_{side}"), F.col("label").alias(f"of_{side}"))
+        ends = ends.join(sized(to, n), F.col(side) == F.col(f"_{side}"), "left").withColumn(side, F.coalesce(f"of_{side}", side)).drop(f"_{side}", f"of_{side}")
+    joined = components(scratch, ends.filter("a <> b"), name)
+    new = joined.join(labels.select("v"), "v", "left_anti").select("v", F.col("v").alias("label"))
+    moved, n_moved = joined.select(F.col("v").alias("_v"), F.col("label").alias("_to")), joined.count()
+    out = labels.unionByName(new).join(sized(moved, n_moved), F.col("label") == F.col("_v"), "left")
+    return scratch.keep(out.select("v", F.coalesce("_to", "label").alias("label")), f"{name}_grown")
+
+
 def _tokens(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """same, n and one row for each member of the multiset: repeats of a shingle are told apart by their number."""
     known = WordHashes()
@@ -190,12 +208,12 @@ def _tokens(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Record
             yield pa.RecordBatch.from_arrays([pa.array([same] * n, pa.binary()), pa.array([n] * n, pa.int64()), pa.array(token)], ["same", "n", "token"])
 
 
-def _share_rare(scratch: Scratch, groups: DataFrame, n_groups: int, bodies: DataFrame, similarity: float, width: int) -> DataFrame:
-    """(same, x): pairs of an apart class and one of another label that share a token early enough for a link.
+def _rare_tokens(scratch: Scratch, groups: DataFrame, n_groups: int, bodies: DataFrame, similarity: float, width: int) -> tuple[DataFrame, int]:
+    """(tokens, parts): (token, same, n, at, is_apart), each class's tokens, rarest first, that may be the first which a link
+    shares; and into how many parts their pairs are to be cut so that one holds about ASKED for each class, a power of FEWER.
 
-    Each class's tokens are ordered by how many classes have them, rarest first. Classes of n and m tokens with the least
-    similarity s share at least s / (1 + s) * (n + m) tokens, so their first common token must leave that many in both
-    orders. This is exact: no linked pair is left out.
+    Classes of n and m tokens with the least similarity s share at least s / (1 + s) * (n + m) tokens, so their first
+    common token must leave that many in both orders. This is exact: no linked pair is left out.
     """
     tokens = bodies.join(sized(groups, n_groups), "same").select("same", "text").mapInArrow(lambda it: _tokens(it, width), "same binary, n long, token long")
     tokens = scratch.keep(tokens, "tokens")
@@ -204,11 +222,27 @@ def _share_rare(scratch: Scratch, groups: DataFrame, n_groups: int, bodies: Data
     own = Window.partitionBy("same")
     at = F.col("n") - F.count(F.lit(1)).over(own) + F.row_number().over(own.orderBy("df", "token")) - 1
     early = ranked.withColumn("at", at).filter(F.col("n") - F.col("at") >= F.col("n") * (similarity - 1e-9))
-    early = scratch.keep(early.join(sized(groups, n_groups), "same").select("token", "same", "n", "at", "label", "is_apart"), "early")
-    x = early.filter("is_apart").select("token", F.col("same").alias("x"), F.col("n").alias("n_x"), F.col("at").alias("at_x"), F.col("label").alias("label_x"))
+    early = scratch.keep(early.join(sized(groups, n_groups), "same").select("token", "same", "n", "at", "is_apart"), "early")
+    rows, met = early.groupBy("token").agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.sum(F.col("n").cast("double") * F.col("n"))).first()
+    parts, most = 1, (met or 0) / max(rows or 0, 1) / ASKED
+    while parts < most:
+        parts *= FEWER
+    return early, parts
+
+
+def _share(tokens: DataFrame, similarity: float, parts: int) -> DataFrame:
+    """(same, n, x, n_x): pairs of an apart class and one of another label that share a token early enough for a link; of
+    ``parts`` parts of all pairs one, so that a token of many classes is dealt out and doesn't meet itself in full."""
+    if parts == 1:
+        mixed = tokens.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("token")
+        tokens = tokens.join(mixed, "token", "left_semi")
+    tokens = tokens.withColumn("part", F.pmod(F.xxhash64("same"), F.lit(parts)))
+    x = tokens.filter("is_apart").select("token", F.pmod(F.lit(parts) - F.col("part"), F.lit(parts)).alias("part"), *(F.col(c).alias(f"{c}_x") for c in ("same", "n", "at", "label")))
     least = (F.col("n") + F.col("n_x")) * (similarity / (1 + similarity) - 1e-9)
-    met = early.join(x, "token").filter((F.col("label") != F.col("label_x")) & (F.least(F.col("n") - F.col("at"), F.col("n_x") - F.col("at_x")) >= least))
-    return met.select("same", "x").distinct()
+    # of two classes that are both apart, one asks the other
+    asks = (F.col("label") != F.col("label_x")) & (~F.col("is_apart") | (F.col("same") < F.col("same_x")))
+    met = tokens.join(x, ["token", "part"]).filter(asks & (F.least(F.col("n") - F.col("at"), F.col("n_x") - F.col("at_x")) >= least))
+    return met.select("same", "n", F.col("same_x").alias("x"), "n_x").distinct()
 
 
 def near_classes(scratch: Scratch, docs: DataFrame, bands: int = BANDS, rows: int = ROWS, similarity: float = SIMILARITY, width: int = WIDTH) -> tuple[DataFrame, DataFrame]:
@@ -223,11 +257,11 @@ def near_classes(scratch: Scratch, docs: DataFrame, bands: int = BANDS, rows: in
     owners = scratch.keep(signed.groupBy("same").agg(F.min("rid").alias("one"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "owners")
 
     # buckets of two or more classes, each with its smallest class
-    members = scratch.keep(signed.filter("n > 0").select("same", F.explode("bands").alias("bucket")).distinct(), "members")
-    shared = members.groupBy("bucket").agg(F.min("same").alias("pivot"), F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
+    members = scratch.keep(signed.filter("n > 0").select("same", "n", F.explode("bands").alias("bucket")).distinct(), "members")
+    shared = members.groupBy("bucket").agg(F.min(F.struct("same", "n")).alias("pivot"), F.count(F.lit(1)).alias("in_bucket")).filter("in_bucket > 1")
     shared = scratch.keep(shared, "shared")
     together = scratch.keep(members.join(sized(shared, shared.count()), "bucket"), "together")
-    wanted = scratch.keep(together.select("same").distinct().join(owners, "same").select("same", F.col("one").alias("rid"), "n"), "wanted")
+    wanted = scratch.keep(together.select("same").distinct().join(owners, "same").select("same", F.col("one").alias("rid")), "wanted")
     bodies = scratch.keep(texts.join(sized(wanted, wanted.count()), "rid").select("same", "text"), "bodies")
 
     def compared(pairs: DataFrame, name: str) -> DataFrame:
@@ -236,57 +270,65 @@ def near_classes(scratch: Scratch, docs: DataFrame, bands: int = BANDS, rows: in
         both = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
         return scratch.keep(both.mapInArrow(lambda it: _verify(it, similarity, width), "a binary, b binary, good boolean"), name)
 
-    pairs = together.filter("same <> pivot").select(F.col("same").alias("a"), F.col("pivot").alias("b")).distinct()
-    sizes = wanted.select("same", "n")
-
-    def comparable(pairs: DataFrame) -> DataFrame:
-        """Without pairs whose sizes alone keep the similarity below the least."""
-        x, y = sizes.select(F.col("same").alias("a"), F.col("n").alias("n_a")), sizes.select(F.col("same").alias("b"), F.col("n").alias("n_b"))
-        out = pairs.join(x, "a").join(y, "b").filter(F.least("n_a", "n_b") >= F.greatest("n_a", "n_b") * (similarity - 1e-9))
-        return out.select("a", "b")
+    def comparable(n: str, n_x: str) -> Column:
+        """Whether the sizes alone allow the least similarity."""
+        return F.least(n, n_x) >= F.greatest(n, n_x) * (similarity - 1e-9)
 
-    seen = compared(comparable(pairs), "seen")
-    links = seen.filter("good")
-    labels = components(scratch, links, "first")
+    # each class with one pivot, that of its largest bucket
+    others = together.filter((F.col("same") != F.col("pivot.same")) & comparable("n", "pivot.n"))
+    pairs = others.groupBy(F.col("same").alias("a")).agg(F.max(F.struct("in_bucket", "pivot.same"))["same"].alias("b"))
+    seen = compared(scratch.keep(pairs, "pivots"), "seen")
+    labels = components(scratch, seen.filter("good"), "first")
 
     # members apart from their bucket's main component: in a small bucket they meet every member outside their own
     # component, in a large one a few hubs of the main component first
     def unsettled(labels: DataFrame, n_labels: int, name: str) -> tuple[DataFrame, DataFrame]:
         """(mixed, apart): members of buckets with several components, and those of them outside the main one."""
-        placed = together.join(sized(labels, n_labels), F.col("same") == F.col("v"), "left").select("bucket", "same", "in_bucket", F.coalesce("label", "same").alias("label"))
+        placed = together.join(sized(labels, n_labels), F.col("same") == F.col("v"), "left").select("bucket", "same", "n", "in_bucket", F.coalesce("label", "same").alias("label"))
         placed = scratch.keep(placed, f"placed_{name}")
-        sides = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-        main = sides.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("bucket", "main")
+        sides = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("side"))
+        main = sides.groupBy("bucket").agg(F.max_by("label", F.struct("side", "label")).alias("main"), F.count(F.lit(1)).alias("parts")).filter("parts > 1").select("bucket", "main")
         main = scratch.keep(main, f"main_{name}")
         mixed = scratch.keep(placed.join(sized(main, main.count()), "bucket"), f"mixed_{name}")
-        return mixed, mixed.filter("label <> main").select("bucket", F.col("same").alias("x"), F.col("label").alias("label_x"))
+        return mixed, mixed.filter("label <> main").select("bucket", F.col("same").alias("x"), F.col("n").alias("n_x"), F.col("label").alias("label_x"), "main")
 
     def fresh(pairs: DataFrame, done: DataFrame) -> DataFrame:
-        pairs = pairs.select(F.least("same", "x").alias("a"), F.greatest("same", "x").alias("b")).distinct()
+        """Pairs (same, n, x, n_x) that are worth a comparison and haven't had one."""
+        pairs = pairs.filter(comparable("n", "n_x")).select(F.least("same", "x").alias("a"), F.greatest("same", "x").alias("b")).distinct()
         done = done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        return comparable(pairs.join(done, ["a", "b"], "left_anti"))
+        return pairs.join(done, ["a", "b"], "left_anti")
 
+    large = F.col("in_bucket") > SMALL_BUCKET
     mixed, apart = unsettled(labels, labels.count(), "first")
-    few = mixed.filter(F.col("in_bucket") <= SMALL_BUCKET).join(apart, "bucket").filter("label <> label_x").select("same", "x")
-    hub = [F.min_by("same", F.xxhash64("same", F.lit(i))).alias(f"hub_{i}") for i in range(HUBS)]
-    hubs = mixed.filter((F.col("in_bucket") > SMALL_BUCKET) & (F.col("label") == F.col("main"))).groupBy("bucket").agg(*hub)
-    hubs = scratch.keep(hubs.select("bucket", F.explode(F.array_distinct(F.array(*(f"hub_{i}" for i in range(HUBS))))).alias("same")), "hubs")
-    tries = apart.join(sized(hubs, hubs.count()), "bucket").select("same", "x")
+    few = mixed.filter(~large).drop("main").join(apart, "bucket").filter("label <> label_x").select("same", "n", "x", "n_x")
+    # the hubs of a component are the same wherever it is the main one, so a class tries no more than these of each
+    hub = [F.min_by(F.struct("same", "n"), F.xxhash64("same", F.lit(i))).alias(f"hub_{i}") for i in range(HUBS)]
+    hubs = mixed.filter(large & (F.col("label") == F.col("main"))).groupBy("main").agg(*hub)
+    hubs = hubs.select("main", F.explode(F.array_distinct(F.array(*(f"hub_{i}" for i in range(HUBS))))).alias("hub"))
+    hubs = scratch.keep(hubs.select("main", "hub.same", "hub.n"), "hubs")
+    lone = mixed.filter(large & (F.col("label") != F.col("main"))).select("main", F.col("same").alias("x"), F.col("n").alias("n_x")).distinct()
+    tries = lone.join(sized(hubs, hubs.count()), "main").select("same", "n", "x", "n_x")
     more = compared(scratch.keep(fresh(few.unionByName(tries), seen), "tries"), "more")
     seen = seen.unionByName(more)
-    links = scratch.keep(seen.filter("good"), "links_2")
-    labels = components(scratch, links, "second")
-
-    # what is still apart in large buckets is joined on the rare shingles that a link must share
-    mixed, apart = unsettled(labels, labels.count(), "second")
-    large = F.col("in_bucket") > SMALL_BUCKET
-    groups = scratch.keep(mixed.filter(large).groupBy("same").agg(F.min("label").alias("label"), F.max(F.col("label") != F.col("main")).alias("is_apart")), "groups")
+    labels = grown(scratch, labels, more.filter("good"), "second")
+
+    # what is still apart in large buckets shares a rare token with whatever it is linked to. A small part of such pairs is
+    # compared first, then four times as many each turn, and only of classes that haven't come together meanwhile: so a
+    # group that is one component in the end is one after few comparisons. The last turn takes all pairs, so every pair is
+    # in one component or compared
+    mixed, _ = unsettled(labels, labels.count(), "second")
+    groups = scratch.keep(mixed.filter(large).groupBy("same").agg(F.max(F.col("label") != F.col("main")).alias("is_apart")), "groups")
     n_groups = groups.count()
     if n_groups:
-        shared = _share_rare(scratch, groups, n_groups, bodies, similarity, width)
-        late = compared(scratch.keep(fresh(shared, seen), "rare"), "late")
-        links = scratch.keep(links.unionByName(late.filter("good")), "links_3")
-        labels = components(scratch, links, "third")
+        early, parts = _rare_tokens(scratch, groups, n_groups, bodies, similarity, width)
+        while parts:
+            placed = early.join(sized(labels, labels.count()), F.col("same") == F.col("v"), "left").withColumn("label", F.coalesce("label", "same")).drop("v")
+            met = _share(scratch.keep(placed, f"placed_late_{parts}"), similarity, parts)
+            found = compared(scratch.keep(fresh(met, seen), f"rare_{parts}"), f"late_{parts}")
+            seen = seen.unionByName(found)
+            if found.filter("good").limit(1).count():
+                labels = grown(scratch, labels, found.filter("good"), f"late_{parts}")
+            parts //= FEWER
     n_labels = labels.count()
 
     whole = owners.join(sized(labels, n_labels), F.col("same") == F.col("v"), "left").select("same", F.coalesce("label", "same").alias("label"), "copies")

@@ -40,6 +40,27 @@ def test_long_equal_texts_are_compared_to_the_end(spark):
     assert got == {1: (5, 3), 2: (5, 3), 5: (5, 3), 3: (3, 1), 4: (4, 1)}
 
 
+def test_extreme_doc_ids(spark):
+    low, high = -(2**63), 2**63 - 1
+    rows = [(low, "a b"), (high, "ab"), (0, "a  b"), (None, "ab"), (low, "x"), (high, "x "), (None, "y"), (None, "y")]
+    got = sorted(map(tuple, exact_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string")).select("doc_id", "keep_id", "group_size", "kept").collect()), key=repr)
+    want = [(low, 0, 4, False), (high, 0, 4, False), (0, 0, 4, True), (None, 0, 4, False), (low, high, 2, False), (high, high, 2, True), (None, None, 2, True), (None, None, 2, False)]
+    assert got == sorted(want, key=repr)
+
+
+def test_components_grow_as_if_all_links_were_there(spark):
+    from evidentia.llm.scratch import Scratch
+
+    r, scratch = random.Random(6), Scratch(spark, "grown")
+    pairs = [tuple(r.sample(range(60), 2)) for _ in range(45)]
+    of = lambda x: spark.createDataFrame(x, "a long, b long")
+    labels = B.components(scratch, of(pairs[:15]), "one")
+    for i in (15, 30):
+        labels = B.grown(scratch, labels, of(pairs[i : i + 15]), f"more_{i}")
+    whole = B.components(scratch, of(pairs), "all")
+    assert sorted(map(tuple, labels.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_distinct_rows_keep_all_columns(spark):
     docs = frame(spark)
     out = distinct_rows(spark, docs)
