@@ -1,8 +1,10 @@
 """Hilbert-curve sharding: equal-count runs of documents that are close in several metadata dimensions.
 
-Native: DataFrame functions only. Every row gets a cell on an integer grid (language, source and size, ``BITS`` bits
+Native: DataFrame functions only. Every row gets a cell on an integer grid (size, language and source, ``BITS`` bits
 each), cells are numbered along the Hilbert curve, and the curve is cut into runs whose row counts differ by one at most
-(law ``rows``). Files written in this order hold narrow ranges of every dimension, so that footers prune on any of them.
+(law ``rows``). A dimension is cut at its quantiles, in the order of its values (of texts, by their first seven bytes),
+so neighbours on the grid are neighbours in value, and files written in this order hold narrower ranges of each dimension
+than files in any order by other columns: footers prune on all three.
 
 Defined cases: null language or source is a category of its own; null text has size 1 and the CRC of no bytes; rows that
 repeat are placed one by one; an empty table gives an empty result; other columns are ignored.
@@ -10,7 +12,7 @@ repeat are placed one by one; an empty table gives an empty result; other column
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,10 +63,26 @@ def hilbert_index(dims: Sequence[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda s: s["h"])
 
 
-def document_cell(bits: int = BITS) -> list[Column]:
-    """The three quantised dimensions of a document: hashed language and source, and the binary order of its size."""
-    hashed = lambda c: F.when(F.col(c).isNull(), 0).otherwise(1 + F.pmod(F.xxhash64(c), F.lit((1 << bits) - 1)))
-    return [F.least(F.length(F.bin("size")) - 1, F.lit((1 << bits) - 1)), hashed("lang"), hashed("source")]
+def text_place(c: str) -> Column:
+    """A number in the order of the first seven bytes of a text; -1 for none."""
+    head = F.rpad(F.hex(F.substring(F.col(c).cast("binary"), 1, 7)), 14, "0")
+    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1).cast("long"))
+
+
+def _below(c: str) -> Callable[[Column], Column]:
+    return lambda x: x < F.col(c)
+
+
+def grid_cell(rows: DataFrame, places: Sequence[str], bits: int = BITS) -> DataFrame:
+    """Adds ``cell``: the place on the curve of the quantiles of these whole numbers. One aggregation finds the cuts. Equal
+    cuts all count, so a dimension of few values is spread over the whole grid, and its halves part at the first bit."""
+    steps = 1 << bits
+    cuts = rows.agg(*(F.percentile_approx(c, [i / steps for i in range(1, steps)], 1_000).alias(c) for c in places)).first()
+    dims = []
+    for c in places:
+        found = F.array(*(F.lit(x).cast("long") for x in cuts[c] or []))
+        dims.append(F.size(F.filter(found, _below(c))) if cuts[c] else F.lit(0))
+    return rows.withColumn("cell", hilbert_index(dims, bits))
 
 
 def hilbert_shards(spark: SparkSession, docs: DataFrame, shards: int = 16, bits: int = BITS) -> DataFrame:
@@ -74,10 +92,11 @@ def hilbert_shards(spark: SparkSession, docs: DataFrame, shards: int = 16, bits:
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-        "lang",
-        "source",
+        text_place("lang").alias("lang_place"),
+        text_place("source").alias("source_place"),
     )
-    slim = slim.withColumn("cell", hilbert_index(document_cell(bits), bits)).drop("lang", "source")
+    slim = scratch.keep(slim, "places")
+    slim = grid_cell(slim, ["size", "lang_place", "source_place"], bits).drop("lang_place", "source_place")
     slim = scratch.keep(slim, "slim")
     spread = F.xxhash64("doc_id", "text_crc32")
     placed, totals = ranked(scratch, slim, "cell", 1 << (3 * bits), spread, ["doc_id", "text_crc32"])

@@ -40,9 +40,6 @@ WORDS, LEAST_DOCUMENTS = 256, 5
 DOMAINS = ((0, 0), (0, 1), (1, 0), (1, 1))
 TARGETS = (0.04, 0.01, 0.91, 0.04)
 
-#: The bound of ``attainable``; the fit itself has no upper bound.
-MOST_RATE = 4.0
-
 #: Sums over the table at most, and the greatest distance from the targets, or from the least distance that any rates can
 #: have, as a share of all tokens, at which they end.
 ITERATIONS, CLOSE = 40, 1e-6
@@ -155,17 +152,6 @@ def _dot(v: np.ndarray) -> Column:
     return out
 
 
-def attainable(goal: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Shares nearest to ``goal`` in which no domain has more than MOST_RATE times its present share. The fit doesn't use it."""
-    top, out = MOST_RATE * share, goal.copy()
-    for _ in goal:
-        over = out > top
-        if not over.any() or out[~over].sum() <= 0:
-            break
-        out = np.where(over, top, out * (1 - top[over].sum()) / out[~over].sum())
-    return out
-
-
 def solve(sums: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, float]], goal: np.ndarray, iterations: int, close: float) -> tuple[np.ndarray, np.ndarray]:
     """The multipliers m of the rates max(0, 1 - p . m), and the domains' distances from the goal.
 
@@ -227,18 +213,20 @@ def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None =
 
 
 def with_rates(found: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
-    """Adds ``rate`` and ``copies``."""
-    steps, _ = fit_rates(found, targets)
+    """Adds ``rate``, ``copies`` and ``off_target``: how far the fitted rates' expected tokens are from the targets at the
+    most, as a share of all tokens; above CLOSE where no rates reach them."""
+    steps, off = fit_rates(found, targets)
     chance = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     out = found.withColumn("rate", F.round(rate_of(steps, 1.0), 9))
+    out = out.withColumn("off_target", F.lit(off))
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
-    """doc_id, n_tokens, a posterior for each domain, rate and copies for every row."""
+    """doc_id, n_tokens, a posterior for each domain, rate, copies and off_target for every row."""
     found = with_rates(members(Scratch(spark, "mixing"), docs, labels, ["doc_id"]), targets)
     named = [F.element_at("p", i + 1).alias(f"p_quality{q}_toxic{t}") for i, (q, t) in enumerate(DOMAINS)]
-    return found.select("doc_id", "n_tokens", *named, "rate", "copies")
+    return found.select("doc_id", "n_tokens", *named, "rate", "copies", "off_target")
 
 
 def mixed_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:

@@ -7,7 +7,9 @@ multiplied with all of them, block by block, and its ``NEIGHBOURS`` nearest vote
 
 Defined cases: a null or empty text, or one without any feature, gets the share of label 1 in the sample; without usable
 labels every score is 0.5; null labels and null doc_ids in ``labels`` are ignored, and of repeated labels the largest
-counts; rows that repeat are scored one by one; an empty table gives an empty result; other columns are ignored.
+counts; of several texts with one doc_id the smallest is learnt from; labelled vectors stand in the order of doc_id, and
+of equal cosines the earlier vector is nearer; rows that repeat are scored one by one; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -70,6 +72,16 @@ def fit(raw: np.ndarray, labels: np.ndarray) -> dict:
     return {"idf": idf, "top": top.astype(np.float32), "vectors": unit(weighted @ top.T).astype(np.float32), "labels": labels.astype(np.float32)}
 
 
+def nearest_of(cosine: np.ndarray, k: int) -> np.ndarray:
+    """The columns of each row's k greatest values; of equal ones the first."""
+    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+    least = np.take_along_axis(cosine, near, axis=1).min(axis=1)
+    # only where more than k reach the least is the choice not settled
+    for i in np.flatnonzero((cosine >= least[:, None]).sum(axis=1) > k):
+        near[i] = np.argsort(-cosine[i], kind="stable")[:k]
+    return near
+
+
 def score(model: dict, texts: list[str]) -> np.ndarray:
     """Weighted share of label 1 among the nearest labelled vectors; exact cosines against all of them."""
     labels = model["labels"]
@@ -78,7 +90,7 @@ def score(model: dict, texts: list[str]) -> np.ndarray:
     latent = unit(raw_features(texts) * model["idf"]) @ model["top"].T
     cosine = unit(latent) @ model["vectors"].T
     k = min(NEIGHBOURS, len(labels))
-    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
+    near = nearest_of(cosine, k)
     weight = np.take_along_axis(cosine, near, axis=1).clip(0).astype(np.float64) ** POWER
     whole = weight.sum(axis=1)
     return np.where(whole > 0, (weight * labels[near]).sum(axis=1) / np.where(whole > 0, whole, 1), labels.mean())
@@ -91,7 +103,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, columns: dict[str, str],
     order = F.xxhash64(F.col("doc_id"), F.lit(7))
     known = known.orderBy(order, "doc_id").limit(sample)
     texts = has_columns(docs, doc_id="long", text="string").select("doc_id", text_of().alias("text"))
-    return texts.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"])
+    found = texts.join(F.broadcast(known), "doc_id")
+    return found.groupBy("doc_id", *columns).agg(F.min("text").alias("text")).select("doc_id", "text", *columns)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
@@ -100,10 +113,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
             texts = batch.column(0).to_pylist()
             for i in range(0, len(texts), BLOCK):
                 raw = raw_features(texts[i : i + BLOCK]).astype(np.float16)
-                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in raw], pa.binary()), batch.column(1)[i : i + BLOCK]], ["raw", "label"])
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes() for x in raw], pa.binary()), batch.column(1)[i : i + BLOCK], batch.column(2)[i : i + BLOCK]], ["raw", "label", "doc_id"])
 
-    rows = labelled_sample(docs, labels, {"quality": "int"}, sample).select("text", "quality")
-    got = rows.mapInArrow(features, "raw binary, label int").toPandas()
+    rows = labelled_sample(docs, labels, {"quality": "int"}, sample).select("text", "quality", "doc_id")
+    got = rows.mapInArrow(features, "raw binary, label int, doc_id long").toPandas().sort_values("doc_id")
     if not len(got):
         return {"labels": np.empty(0, np.float32)}
     raw = np.frombuffer(b"".join(got["raw"]), np.float16).reshape(len(got), FEATURES).astype(np.float32)

@@ -77,9 +77,10 @@ def decided(scratch: Scratch, slim: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts the row with most code points, then the smallest doc_id stays."""
     every, groups = equal_groups(scratch, slim)
     members = scratch.keep(every.join(groups, "rid"), "members")
-    order = F.struct("n_points", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("low"), (-F.col("rid")).alias("one"))
-    best = members.groupBy("gid").agg(F.max(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
-    best = scratch.keep(best.select("gid", "group_size", (-F.col("best.low")).alias("keep_id"), (-F.col("best.one")).alias("keep_rid")), "best")
+    # lengths are turned round, as the smallest long has no opposite
+    order = F.struct((-F.col("n_points")).alias("short"), F.col("doc_id").isNull().alias("unknown"), "doc_id", "rid")
+    best = members.groupBy("gid").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
+    best = scratch.keep(best.select("gid", "group_size", F.col("best.doc_id").alias("keep_id"), F.col("best.rid").alias("keep_rid")), "best")
     return every, members.join(sized(best, best.count()), "gid")
 
 

@@ -23,6 +23,9 @@ BROADCAST_ROWS = 500_000
 #: Rows that cross to Python in one Arrow batch; with texts of a few KB this keeps a batch to a few MB.
 BATCH_ROWS = 1_000
 
+#: Rows of a hot group that one task sorts, about.
+FAN_ROWS = 5_000_000
+
 _own: dict[str, str] = {}
 
 
@@ -31,6 +34,8 @@ def shared_folder(spark: SparkSession) -> str:
     found = spark.conf.get("spark.checkpoint.dir", None)
     if found:
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     key = spark.sparkContext.applicationId
     if key not in _own:
         _own[key] = "file://" + tempfile.mkdtemp(prefix="evidentia-")
@@ -40,9 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
 class Scratch:
     """Tables of one run, under a folder of its own."""
 
+    #: The folders of all runs of this process that haven't been dropped.
+    made: list[str] = []
+
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        Scratch.made.append(self.root)
         bound_batches(guard(spark))
 
     def path(self, name: str) -> str:
@@ -56,8 +65,19 @@ class Scratch:
 
     def drop(self, name: str) -> None:
         """Removes a table that no later plan reads."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
-        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        _remove(self.spark, self.path(name))
+
+    @classmethod
+    def drop_since(cls, spark: SparkSession, mark: int) -> None:
+        """Removes the folders of all runs begun since ``len(Scratch.made)`` was ``mark``, when what they gave has been written elsewhere."""
+        for root in cls.made[mark:]:
+            _remove(spark, root)
+        del cls.made[mark:]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
@@ -83,8 +103,10 @@ def ranked(scratch: Scratch, df: DataFrame, group: str, groups: int, spread: Col
 
     ``group`` is an integer column with at most ``groups`` values. Each group is fanned out by ``spread`` into ``fans``
     parts, so that a hot group is sorted by many tasks; parts are put one after the other by prefix sums over at most
-    ``groups * fans`` counts. ``df`` is scanned twice and should be a written table of a few narrow columns.
+    ``groups * fans`` counts. ``df`` is scanned twice and should be a written table of a few narrow columns. There are as
+    many more fans as keep a group that holds all rows at ``FAN_ROWS`` a fan.
     """
+    fans = max(fans, -(-df.count() // FAN_ROWS))
     fanned = df.withColumn("fan", F.pmod(spread, F.lit(fans)).cast("int"))
     counts = scratch.keep(fanned.groupBy(group, "fan").agg(F.count(F.lit(1)).alias("n")), f"counts_{group}")
     totals = counts.groupBy(group).agg(F.sum("n").alias("in_group"))

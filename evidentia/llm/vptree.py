@@ -31,7 +31,7 @@ from .scratch import Scratch
 NEIGHBOURS = 20
 
 #: Rows of a shard, about; queries of a block; points of a leaf.
-SHARD_ROWS, BLOCK_ROWS, LEAF = 4_096, 1_024, 256
+SHARD_ROWS, BLOCK_ROWS, LEAF = 4_096, 8_192, 256
 
 #: How much the triangle inequality's bound is stretched; 1 is exact.
 FACTOR = 2.0
@@ -183,8 +183,9 @@ def nearest(spark: SparkSession, vectors: DataFrame, k: int = NEIGHBOURS, factor
                 yield pa.RecordBatch.from_arrays([pa.array(np.repeat(ids, real.sum(axis=1))), pa.array(found[real]), pa.array(scores[real])], ["query_id", "vec_id", "score"])
 
     # a row holds a tree and a block, some MB
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
     found = scratch.keep(both.repartition(max(1, min(2_000, shards * blocks))).mapInArrow(answer, "query_id long, vec_id long, score double"), "found")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

@@ -97,3 +97,20 @@ def test_recall_falls_and_work_shrinks_with_the_factor():
     _, loose, less = tree.search(ids, q, 20, 4.0)
     recall = np.mean([len(set(a) & set(b)) / 20 for a, b in zip(found, loose, strict=True)])
     assert less < work and 0.5 < recall <= 1
+
+
+def test_recall_at_the_production_factor(spark):
+    """Every query of the registered table against brute force in double precision."""
+    rows = [(r.vec_id, np.array(r.embedding, float)) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
+    ids, x = np.array([i for i, _ in rows]), np.stack([v for _, v in rows])
+    got = {}
+    for r in nearest(spark, spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")).collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    assert sorted(got) == sorted(ids[ids % 20 == 0].tolist())
+    hits = 0
+    for q, found in got.items():
+        scores = x @ x[ids == q][0]
+        best = sorted((-s, i) for s, i in zip(scores.tolist(), ids.tolist(), strict=True) if i != q)[:20]
+        hits += len({i for _, i in best} & found.keys())
+        assert len(found) == 20 and all(s == pytest.approx(float(scores[ids == i][0])) for i, s in found.items())
+    assert hits / (20 * len(got)) >= 0.9

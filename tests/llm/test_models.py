@@ -1,12 +1,13 @@
+import math
 import zlib
 
 import numpy as np
 import pytest
 
-from evidentia.llm import mixing as M
+from evidentia.llm import mixing as M, quality_knn as Q
 from evidentia.llm.quality_knn import good_rows, quality_scores
 
-from .fixtures import SCHEMA, documents, frame, labels
+from .fixtures import SCHEMA, documents, frame, labels, prose
 
 DATA = "/root/testdata/sf0.01"
 
@@ -33,33 +34,90 @@ def test_quality_without_labels_or_rows(spark):
     assert quality_scores(spark, spark.createDataFrame([], SCHEMA), labels(spark)).count() == 0
 
 
-def test_rates_meet_targets(spark):
-    rng = np.random.default_rng(2)
-    p = rng.dirichlet([0.4, 0.4, 0.4], 400)
-    n = rng.integers(1, 100, 400)
-    found = spark.createDataFrame([(i, int(k), [float(x) for x in q]) for i, (k, q) in enumerate(zip(n, p, strict=True))], "doc_id long, n_tokens long, p array<double>")
-    targets = (0.6, 0.3, 0.1)
-    steps, off = M.fit_rates(found, targets)
-    rate = np.array([r.rate for r in found.withColumn("rate", M.rate_of(steps, 1.0)).orderBy("doc_id").collect()])
-    assert off < 2e-3 and (rate >= 0).all() and (rate <= M.MOST_RATE).all()
-    assert np.abs((p * (n * rate)[:, None]).sum(axis=0) / n.sum() - targets).max() == pytest.approx(off, abs=1e-9)
-    # the same by a plain loop
-    plain = np.ones(400)
-    for s in steps:
-        plain = np.clip(plain - p @ s, 0, M.MOST_RATE)
-    assert np.allclose(plain, rate)
+def plain_vote(model, vectors, labels, latent):
+    """Every labelled vector against one document, by plain Python."""
+    near = sorted(((-float(np.dot(latent, v)), i) for i, v in enumerate(vectors)))[: Q.NEIGHBOURS]
+    weights = [max(-c, 0.0) ** Q.POWER for c, _ in near]
+    if sum(weights) <= 0:
+        return float(np.mean(labels))
+    return sum(w * labels[i] for w, (_, i) in zip(weights, near, strict=True)) / sum(weights)
+
+
+def test_vote_equals_a_plain_loop_over_all_labelled_vectors():
+    texts = [prose(i, 30 + i) for i in range(60)] + ["WORD!! " * 20, "again again " * 9, "", "x"]
+    labels = np.array([i % 3 == 0 for i in range(60)], np.float32)
+    # the second half repeats the first, so that cosines tie in pairs at every rank
+    raw = Q.raw_features(texts[:30] * 2)
+    model = Q.fit(raw, labels)
+    got = Q.score(model, texts)
+    for text, s in zip(texts, got, strict=True):
+        latent = Q.unit(Q.unit(Q.raw_features([text]) * model["idf"]) @ model["top"].T)[0]
+        assert s == pytest.approx(plain_vote(model, model["vectors"], model["labels"], latent), abs=2e-3)
+
 
+def test_ties_go_to_the_first_vectors():
+    cosine = np.array([[0.5, 0.9, 0.5, 0.5, 0.1, 0.5], [0.2, 0.2, 0.2, 0.2, 0.2, 0.2], [0.6, 0.1, 0.5, 0.4, 0.3, 0.2]], np.float32)
+    assert [sorted(r) for r in Q.nearest_of(cosine, 3).tolist()] == [[0, 1, 2], [0, 1, 2], [0, 2, 3]]
 
-def test_targets_that_cannot_be_had_are_cut():
-    out = M.attainable(np.array([0.5, 0.3, 0.2]), np.array([0.01, 0.6, 0.39]))
-    assert out[0] == pytest.approx(0.04) and out.sum() == pytest.approx(1)
+
+def test_a_repeated_doc_id_is_learnt_by_a_rule(spark):
+    rows = [(1, "bbb"), (1, "aaa"), (2, "ccc"), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    known = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    got = {r.doc_id: (r.text, r.quality) for r in Q.labelled_sample(docs, known, {"quality": "int"}, 9).collect()}
+    assert got == {d: v for d, v in {1: ("aaa", 1), 2: ("", 0)}.items() if zlib.crc32(str(d).encode()) % 5}
+
+
+def table_of(spark, n, p):
+    return spark.createDataFrame([(i, int(k), [float(x) for x in q]) for i, (k, q) in enumerate(zip(n, p, strict=True))], "doc_id long, n_tokens long, p array<double>")
+
+
+def test_rates_are_those_of_plain_projected_gradient(spark):
+    """The least change of rates >= 0 that meets the targets, found by many small steps of a loop of its own."""
+    rng = np.random.default_rng(2)
+    p, n = rng.dirichlet([0.4, 0.4, 0.4], 200), rng.integers(1, 100, 200)
+    targets = np.array([0.6, 0.3, 0.1])
+    steps, off = M.fit_rates(table_of(spark, n, p), targets)
+    rate = np.array([r.rate for r in table_of(spark, n, p).withColumn("rate", M.rate_of(steps, 1.0)).orderBy("doc_id").collect()])
+    a, m = p * (n / n.sum())[:, None], np.zeros(3)
+    for _ in range(200_000):
+        off_by = np.maximum(0, 1 - p @ m) @ a - targets
+        if np.abs(off_by).max() < 1e-9:
+            break
+        m = m + off_by
+    assert off <= 1e-6 and (rate >= 0).all()
+    assert np.abs(rate @ a - targets).max() == pytest.approx(off, abs=1e-9)
+    assert np.allclose(rate, np.maximum(0, 1 - p @ m), atol=1e-3)
+
+
+def test_posteriors_equal_a_plain_softmax():
+    texts, words = ["Good words here, yes", "!!! bad bad", "", "x" * 50], {"bad": 0, "good": 1, "yes": 2}
+    x = M.features(texts, words)
+    weights = np.random.default_rng(3).standard_normal((x.shape[1], 4))
+    got = M.posteriors({"words": words, "weights": weights}, texts)
+    for row, q in zip(x, got, strict=True):
+        e = [math.exp(sum(float(a) * float(b) for a, b in zip(row, w, strict=True))) for w in weights.T]
+        assert q.tolist() == pytest.approx([v / sum(e) for v in e])
+    assert x[1, -3:].tolist() == [1, 0, 0] and x[0, -3:].tolist() == [0, 1, 1]
+
+
+def test_softmax_fits_separable_domains():
+    rng = np.random.default_rng(5)
+    y = rng.integers(0, 3, 300)
+    x = np.c_[np.ones(300), np.eye(3)[y] + rng.normal(0, 0.1, (300, 3))]
+    p = M.softmax(x @ M.fit_softmax(x, y, 3))
+    assert (p.argmax(axis=1) == y).mean() > 0.99 and p[np.arange(300), y].mean() > 0.9
 
 
 def test_mixing_of_odd_rows(spark):
     docs = frame(spark)
     got = M.mix(spark, docs, labels(spark)).collect()
-    assert len(got) == len(documents()) and all(0 <= r.rate <= M.MOST_RATE and r.copies in (int(r.rate), int(r.rate) + 1) for r in got)
+    assert len(got) == len(documents()) and all(r.rate >= 0 and r.copies in (int(r.rate), int(r.rate) + 1) for r in got)
     assert all(sum(r[f"p_quality{q}_toxic{t}"] for q, t in M.DOMAINS) == pytest.approx(1) for r in got)
+    # the distance that is told is the one that the rates have
+    tokens = np.array([r.n_tokens for r in got], float)
+    share = [sum(r.rate * r.n_tokens * r[f"p_quality{q}_toxic{t}"] for r in got) / tokens.sum() for q, t in M.DOMAINS]
+    assert np.abs(np.array(share) - M.TARGETS).max() == pytest.approx(got[0].off_target, abs=1e-6)
     out = M.mixed_rows(spark, docs, labels(spark))
     assert out.columns == docs.columns and out.count() == sum(r.copies for r in got)
 

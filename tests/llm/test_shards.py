@@ -1,5 +1,6 @@
 import hashlib
 import itertools
+import random
 import re
 import zlib
 
@@ -61,3 +62,24 @@ def test_only_unseen_blobs_are_scanned(spark):
     other = (("assign", RULES[0][1], RULES[0][2], 2, 7), *RULES[1:])
     changed = scan_versions(spark, frame(spark), ledger, other)[0].collect()
     assert "from the ledger" not in {r.spans for r in changed}
+
+
+def test_shards_prune_on_each_dimension(spark):
+    """Bytes that a footer's least and greatest value let a filter skip, against files in doc_id order."""
+    rng, rows = random.Random(4), []
+    for i in range(4_000):
+        rows.append((i, "x" * int(10 ** rng.uniform(0, 3.5)), rng.choice(["de", "en", "en", "es", "fr"]), f"src{rng.randrange(20)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4)
+    got = {r.doc_id: (r.shard, r.size) for r in hilbert_shards(spark, docs).collect()}
+
+    def skipped(shard_of, value, wanted):
+        """The share of bytes in shards whose range of a value doesn't meet the wanted one."""
+        held = {}
+        for i, text, *rest in rows:
+            held.setdefault(shard_of(i), []).append((value(i, text, *rest), len(text) + 1))
+        away = sum(n for x in held.values() if min(v for v, _ in x) > wanted[1] or max(v for v, _ in x) < wanted[0] for _, n in x)
+        return away / sum(len(t) + 1 for _, t, *_ in rows)
+
+    ours, plain = lambda i: got[i][0], lambda i: i * 16 // len(rows)
+    for value, wanted in ((lambda i, t, l, s: len(t) + 1, (1, 20)), (lambda i, t, l, s: l, ("de", "de")), (lambda i, t, l, s: s, ("src3", "src3"))):
+        assert skipped(plain, value, wanted) == 0 and skipped(ours, value, wanted) > 0.25
