@@ -48,9 +48,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``."""
-    scratch = Scratch(spark, "pipeline")
+    """All stages over ``documents``. A stage's scratch tables and its input go when its output is written."""
+    scratch, before = Scratch(spark, "pipeline"), None
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
+        mark = len(Scratch.made)
         docs = scratch.keep(stage(spark, docs, sf_dir), name)
+        Scratch.drop_since(spark, mark)
+        if before:
+            scratch.drop(before)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
