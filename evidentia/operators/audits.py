@@ -27,8 +27,8 @@ def filled(name: str) -> Column:
 
 
 def isnt(name: str, value: str) -> Column:
-    """Another value, or none."""
-    return ~F.col(name).cast("string").eqNullSafe(F.lit(value))
+    """Another value, or none; case doesn't matter, so that a flag may be a boolean or a text."""
+    return ~F.lower(F.col(name).cast("string")).eqNullSafe(F.lit(value.lower()))
 
 
 def repeated(*names: str) -> Column:

@@ -40,6 +40,11 @@ def exact_duplicate_groups(docs: DataFrame, key: str = "sha256", ident: str = "d
     return numbered(groups.filter("duplicate_count > 1"), "duplicate_group_id", key, "exact_dup_%04d")
 
 
+def duplicate_members(docs: DataFrame, groups: DataFrame, key: str = "sha256", ident: str = "document_id") -> DataFrame:
+    """(duplicate_group_id, member) in long form: what groups hold, without a list of them in any row."""
+    return docs.select(key, F.col(ident).alias("member")).join(groups.select(key, "duplicate_group_id"), key).select("duplicate_group_id", "member")
+
+
 def dedup_summary(docs: DataFrame, key: str = "sha256") -> DataFrame:
     """One row: documents, with a key, distinct keys, groups of duplicates, documents in them. One aggregation per key first."""
     per_key = docs.groupBy(missing(F.col(key)).alias("k")).agg(F.count(F.lit(1)).alias("n"))
@@ -71,11 +76,16 @@ def scope(df: DataFrame, slugs: Sequence[str] | None = None, years: Sequence[int
 
 
 def with_reasons(df: DataFrame, cases: Sequence[tuple[Column, str]], order: Sequence[Column | str], at_most: int | None = None) -> DataFrame:
-    """Adds ``skip_reason`` (NULL: selected), all reasons that hold; beyond ``at_most`` selected rows, max_documents."""
+    """Adds ``skip_reason`` (NULL: selected), all reasons that hold; beyond ``at_most`` selected rows, max_documents. ``order``
+    is ascending and must tell all rows apart."""
     out = df.withColumn("skip_reason", reasons(*cases))
     if at_most is not None:
-        place = F.row_number().over(Window.partitionBy(F.col("skip_reason").isNull()).orderBy(*order))
-        out = out.withColumn("skip_reason", F.coalesce("skip_reason", F.when(place > at_most, F.lit("max_documents"))))
+        # the last place still taken comes from a top-n, of which each task keeps its own n; then rows are only compared
+        key = F.struct(*(F.col(c) if isinstance(c, str) else c for c in order))
+        first = out.filter("skip_reason IS NULL").select(key.alias("_key")).orderBy("_key").limit(at_most)
+        last = first.agg(F.max("_key").alias("_last"), F.count(F.lit(1)).alias("_taken"))
+        out = out.join(F.broadcast(last)).withColumn("_beyond", (F.col("_taken") >= at_most) & F.coalesce(key > F.col("_last"), F.lit(at_most == 0)))
+        out = out.withColumn("skip_reason", F.coalesce("skip_reason", F.when(F.col("_beyond"), F.lit("max_documents")))).drop("_last", "_taken", "_beyond")
     return out
 
 

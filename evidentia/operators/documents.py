@@ -98,7 +98,7 @@ def or_next(rows: DataFrame, by: Sequence[str], order: Sequence[str], column: st
 
 
 def nearest(left: DataFrame, right: DataFrame, on: Sequence[str], ident: str, at: str, other: str, other_at: str, within: float, bucket: float | None = None) -> DataFrame:
-    """The nearest right row of the same key at a distance of at most ``within``; the smaller ``other`` on a tie.
+    """The nearest right row of the same key at a distance of at most ``within``, or NULL; the smaller ``other`` on a tie.
 
     Positions are cut into buckets as wide as the bound, and a row looks in its own and the two beside it, so a hot key
     doesn't meet itself in full.
@@ -112,7 +112,7 @@ def nearest(left: DataFrame, right: DataFrame, on: Sequence[str], ident: str, at
     distance = F.abs(F.col(at) - F.col(other_at))
     met = lefts.join(rights, keys).withColumn("distance", distance).filter(F.col("distance") <= within)
     best = met.groupBy(ident).agg(F.min(F.struct("distance", other)).alias("_best"))
-    return left.join(best.select(ident, F.col(f"_best.{other}").alias(other), F.col("_best.distance").alias("distance")), ident)
+    return left.join(best.select(ident, F.col(f"_best.{other}").alias(other), F.col("_best.distance").alias("distance")), ident, "left")
 
 
 def block_statistics(blocks: DataFrame, kind: str, text: str) -> DataFrame:

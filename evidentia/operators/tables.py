@@ -14,9 +14,15 @@ from .corpus import first_of
 def matrix(cells: DataFrame, table: str, row: str, column: str, text: str, position: str) -> DataFrame:
     """rows, columns, filled cells, and the grid as an array of rows; of several texts for a cell the last stands."""
     last = first_of(cells, [table, row, column], [F.desc(position)])
-    size = last.groupBy(table).agg((F.max(row) + 1).alias("row_count"), (F.max(column) + 1).alias("column_count"), F.count_if(F.length(F.trim(text)) > 0).alias("cell_count"), F.map_from_entries(F.collect_list(F.struct(F.struct(F.col(row).cast("int").alias("r"), F.col(column).cast("int").alias("c")), F.col(text)))).alias("_cells"))
-    at = lambda r, c: F.coalesce(F.element_at("_cells", F.struct(r.alias("r"), c.alias("c"))), F.lit(""))
-    grid = F.transform(F.sequence(F.lit(0), (F.col("row_count") - 1).cast("int")), lambda r: F.transform(F.sequence(F.lit(0), (F.col("column_count") - 1).cast("int")), lambda c: at(r, c)))
+    # a row's cells meet first, then a table's rows, so that no cell is looked for among all others of its table
+    of_row = F.map_from_entries(F.collect_list(F.struct(F.col(column).cast("int").alias("c"), F.col(text).alias("t"))))
+    rows = last.groupBy(table, row).agg(of_row.alias("_cells"), F.max(column).alias("_last"), F.count_if(F.length(F.trim(text)) > 0).alias("_filled"))
+    size = rows.groupBy(table).agg(
+        (F.max(row) + 1).alias("row_count"), (F.max("_last") + 1).alias("column_count"), F.sum("_filled").alias("cell_count"), F.map_from_entries(F.collect_list(F.struct(F.col(row).cast("int").alias("r"), F.col("_cells").alias("m")))).alias("_rows")
+    )
+    none = F.create_map().cast("map<int,string>")
+    cell = lambda m: F.transform(F.sequence(F.lit(0), (F.col("column_count") - 1).cast("int")), lambda c: F.coalesce(F.element_at(m, c), F.lit("")))
+    grid = F.transform(F.sequence(F.lit(0), (F.col("row_count") - 1).cast("int")), lambda r: cell(F.coalesce(F.element_at("_rows", r), none)))
     status = F.when(F.col("cell_count") == 0, F.lit("empty")).otherwise(F.lit("reconstructed"))
     return size.select(table, "row_count", "column_count", "cell_count", status.alias("status"), grid.alias("grid"))
 

@@ -89,7 +89,7 @@ def block_in_section(spark: SparkSession, d: str) -> DataFrame:
         SELECT l.event_id, r.event_id AS other, abs(l.at - r.at) AS distance, row_number() OVER (PARTITION BY l.event_id ORDER BY abs(l.at - r.at), r.event_id) AS rn
         FROM e l JOIN e r ON l.user_id = r.user_id AND l.event_type = 'purchase' AND r.event_type <> 'purchase' AND abs(l.at - r.at) <= 3600000000
     )
-    SELECT event_id, other, distance FROM m WHERE rn = 1
+    SELECT e.event_id, other, distance FROM e LEFT JOIN (SELECT * FROM m WHERE rn = 1) n ON n.event_id = e.event_id WHERE event_type = 'purchase'
 """)
 def nearest_entity(spark: SparkSession, d: str) -> DataFrame:
     e = table(spark, d, "events").select("event_id", "user_id", "event_type", F.unix_micros(F.col("ts").cast("timestamp")).alias("at"))

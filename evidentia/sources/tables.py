@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -86,7 +87,7 @@ def write_jsonl(df: DataFrame, path: str, overwrite: bool = False) -> None:
 
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], overwrite: bool = False) -> None:
     """A store of artifacts by family, company and year. Rows of a partition are brought together first, and split where they are many."""
-    df.repartition(*by).write.mode("overwrite" if overwrite else "errorifexists").partitionBy(*by).parquet(path)
+    df.hint("rebalance", *by).write.mode("overwrite" if overwrite else "errorifexists").partitionBy(*by).parquet(path)
 
 
 def split_by(df: DataFrame, column: str, values: Sequence[str]) -> Mapping[str, DataFrame]:
@@ -98,6 +99,73 @@ def catalog(spark: SparkSession, entries: Mapping[str, Mapping], schema: str) ->
     return spark.createDataFrame([(i, k, *v.values()) for i, (k, v) in enumerate(entries.items())], schema)
 
 
+def read_catalog(spark: SparkSession, path: str) -> Mapping[str, Mapping]:
+    """A catalog file as nested mappings: JSON, or YAML where a parser for it is installed. A missing file is an empty
+    catalog. Catalogs are small; the file is read on the driver, through Spark's own file systems."""
+    if not exists(spark, path):
+        return {}
+    text = "\n".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+    if path.endswith(".json"):
+        return json.loads(text)
+    try:
+        import yaml
+    except ImportError as e:
+        raise ValueError("no parser for YAML is installed; write the catalog as JSON") from e
+    return yaml.safe_load(text) or {}
+
+
+def metric_entries(catalog: Mapping[str, Mapping[str, Mapping]]) -> list[tuple[str, str, str, str]]:
+    """(keyword, metric_id, label, unit) of a catalog of category, metric and its label_fr, label_en, unit_expected,
+    keywords_fr and keywords_en, in file order; what isn't a mapping is passed over."""
+    out = []
+    for metrics in catalog.values():
+        for metric, info in metrics.items() if isinstance(metrics, Mapping) else ():
+            if isinstance(info, Mapping):
+                label = info.get("label_fr") or info.get("label_en") or metric
+                out += [(k, metric, label, info.get("unit_expected", "")) for k in [*info.get("keywords_fr", []), *info.get("keywords_en", [])]]
+    return out
+
+
+def manifests_of(spark: SparkSession, roots: Mapping[str, tuple[str, str]], schema: T.StructType) -> DataFrame:
+    """The manifests of every family: ``roots`` has a folder and a name pattern for each. A family without a folder has none."""
+    out = None
+    for family, (root, pattern) in roots.items():
+        there = exists(spark, root)
+        read = spark.read.schema(schema).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+        one = (read.json(root) if there else spark.createDataFrame([], schema)).withColumn("retriever", F.lit(family))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def inferred_scope(path: Column, corpus: str) -> Column:
+    """struct<company, fiscal_year> from a path: the two folders below the corpus root; else a name and the year behind it;
+    else only what stands before the year. NULL parts where there is nothing."""
+    parts = F.split(path, "/")
+    at = F.array_position(parts, corpus)
+    below = lambda i: F.when(at > 0, F.try_element_at(parts, (at + i).cast("int")))
+    slug, year = (F.nullif(F.regexp_extract(path, r"([a-z0-9-]*[a-z0-9])[-_](20[0-9]{2})", i), F.lit("")) for i in (1, 2))
+    good = below(2).rlike(r"^20[0-9]{2}$")
+    return F.struct(F.when(good, below(1)).otherwise(slug).alias("company"), F.when(good, below(2)).otherwise(year).alias("fiscal_year"))
+
+
+def json_list(text: Column) -> Column:
+    """A list of texts written as JSON; an empty list where it doesn't parse or isn't one."""
+    return F.coalesce(F.from_json(F.when(F.trim(text).startswith("["), text), "array<string>"), F.array().cast("array<string>"))
+
+
+def markdown(rows: DataFrame, title: str, columns: Sequence[str], order: Sequence[str], n: int = 20) -> str:
+    """A report's table of the first n rows, which are all that reaches the driver."""
+    shown = rows.orderBy(*order).select(*(F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in columns)).limit(n).collect()
+    cell = lambda x: x.replace("|", "\\|").replace("\n", " ")
+    lines = [f"# {title}", "", "| " + " | ".join(columns) + " |", "|" + " --- |" * len(columns)]
+    return "\n".join(lines + ["| " + " | ".join(cell(r[c]) for c in columns) + " |" for r in shown]) + "\n"
+
+
+def template(spark: SparkSession, columns: Sequence[str]) -> DataFrame:
+    """An empty table of text columns, for people to fill in."""
+    return spark.createDataFrame([], strings(columns))
+
+
 def keyword_map(entries: DataFrame, keywords: str, value: str, order: str) -> DataFrame:
     """(keyword, value): each keyword once; the last entry that lists it owns it."""
     words = entries.select(F.col(value), F.col(order), F.posexplode(keywords).alias("_at", "_word"))

@@ -129,7 +129,7 @@ def test_long_chains_are_one_component(spark):
 def test_nearest_is_bounded(spark):
     left = spark.createDataFrame([(1, "a", 100.0), (2, "a", 500.0), (3, "b", 100.0)], "id int, k string, at double")
     right = spark.createDataFrame([(10, "a", 60.0), (11, "a", 140.0), (12, "a", 700.0), (13, "b", 181.0)], "other int, k string, other_at double")
-    assert [tuple(x) for x in D.nearest(left, right, ["k"], "id", "at", "other", "other_at", 80.0).select("id", "other", "distance").collect()] == [(1, 10, 40.0)]
+    assert [tuple(x) for x in D.nearest(left, right, ["k"], "id", "at", "other", "other_at", 80.0).select("id", "other", "distance").orderBy("id").collect()] == [(1, 10, 40.0), (2, None, None), (3, None, None)]
 
 
 def test_duplicates_and_consensus(spark):
