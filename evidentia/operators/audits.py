@@ -330,3 +330,27 @@ def generic_checks(least_characters: int = 50, least_confidence: float = 0.5) ->
         "missing_evidence": (blank("evidence_id"), "error"),
         "low_confidence": (F.coalesce("confidence", F.lit(0.0)) < least_confidence, "warning"),
     }
+
+
+#: Words of units that a family can't have, and of labels that are notes.
+UNLIKELY_UNITS = {"ghg_emissions": ["hours", " h", "year", "days", "eur", "usd", "m2"], "energy": ["year", "days", "tco2", "co2"], "water": ["mwh", "kwh", "gwh", "tco2", "eur", "usd"], "waste": ["mwh", "kwh", "gwh", "tco2", "eur", "usd"]}
+NOTE_LABELS = ["footnote", "refer to glossary", "see note", "see footnote", "refer to note", "note:", "page reference"]
+
+#: Words by which a reviewer agrees. An underscore is part of a word, so accept_candidate is none of them.
+AGREES = r"(?i)\b(?:accept|approve[ds]?|valid(?:at(?:e[ds]?|ion))?|confirm(?:e[ds]?|ation)?|oui|yes|ok)\b"
+
+
+def unit_mismatch(unit: Column, family: Column) -> Column:
+    """Whether a unit has a word that its family can't have."""
+    low, out = F.lower(F.trim(unit)), F.lit(False)
+    for name, words in UNLIKELY_UNITS.items():
+        out = F.when(family == name, F.exists(F.array(*map(F.lit, words)), lambda w: low.contains(w))).otherwise(out)
+    return F.coalesce(out, F.lit(False))
+
+
+def is_note_label(label: Column) -> Column:
+    return F.coalesce(F.exists(F.array(*map(F.lit, NOTE_LABELS)), lambda w: F.lower(label).contains(w)), F.lit(False))
+
+
+def agrees(text: Column) -> Column:
+    return F.coalesce(text.rlike(AGREES), F.lit(False))

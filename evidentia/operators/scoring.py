@@ -22,6 +22,12 @@ class Family:
     points: Mapping[str, float] = field(default_factory=dict)
     #: keyword class: (keywords, points, cap of the score)
     penalties: Mapping[str, tuple[Sequence[str], float, float]] = field(default_factory=dict)
+    #: penalties that count only where no keyword of the family is found
+    without_keyword: Sequence[str] = ()
+    #: keyword class: (keywords, points), for documents with any keyword of the family
+    bonuses: Mapping[str, tuple[Sequence[str], float]] = field(default_factory=dict)
+    #: domain class: (domains, points)
+    domains: Mapping[str, tuple[Sequence[str], float]] = field(default_factory=dict)
     platforms: Sequence[str] = ()
     low_trust: Sequence[str] = ()
     unknown_cap: float = 59.0
@@ -57,9 +63,8 @@ def score(candidates: DataFrame, family: Family, title: str = "title", url: str
     """
     p = lambda rule: float(family.points.get(rule, 0))
     text = normalize(F.concat_ws(" ", F.col(title), F.col(snippet), path_and_query(F.col(url))))
-    padded = F.concat(F.lit(" "), text, F.lit(" "))
-    df = candidates.withColumn("_text", padded).withColumn("_years", years(F.concat_ws(" ", F.col(title), F.col(url), F.col(snippet))))
-    hits = lambda words: F.size(found_keywords(F.col("_text"), [f" {w} " for w in words])) > 0 if words else F.lit(False)
+    df = candidates.withColumn("_text", text).withColumn("_years", years(F.concat_ws(" ", F.col(title), F.col(url), F.col(snippet))))
+    hits = lambda words: F.size(found_keywords(F.col("_text"), list(words))) > 0 if words else F.lit(False)
     wanted = F.array_contains("_years", F.col("fiscal_year").cast("string"))
     strong, second = hits(family.strong), hits(family.secondary)
     weak = hits(family.weak) & ~strong
@@ -67,7 +72,9 @@ def score(candidates: DataFrame, family: Family, title: str = "title", url: str
     official = F.coalesce(domain_matches(F.col("domain"), F.col("official_domain")), F.lit(False))
     pdf = F.coalesce(is_pdf_url(F.col(url)), F.lit(False))
     name = normalize(F.element_at(F.split(F.col(url), "/"), -1))
-    filename = F.size(found_keywords(F.concat(F.lit(" "), name, F.lit(" ")), [f" {w} " for w in family.strong])) > 0 if family.strong else F.lit(False)
+    filename = F.size(found_keywords(name, list(family.strong))) > 0 if family.strong else F.lit(False)
+    any_keyword = strong | second | weak
+    counts = lambda k, words: hits(words) & ~any_keyword if k in family.without_keyword else hits(words)
     rules: list[tuple[str, Column, float]] = [
         ("year", wanted, p("year")),
         ("other_year", ~wanted & (F.size("_years") > 0), p("other_year")),
@@ -84,13 +91,15 @@ def score(candidates: DataFrame, family: Family, title: str = "title", url: str
         ("no_pdf", ~pdf, p("no_pdf")),
         ("filename", filename & pdf, p("filename")),
         ("low_trust", F.col("domain").isin(list(family.low_trust)) if family.low_trust else F.lit(False), p("low_trust")),
-        *((k, hits(words), points) for k, (words, points, _) in family.penalties.items()),
+        *((k, hits(words) & any_keyword, points) for k, (words, points) in family.bonuses.items()),
+        *((k, F.col("domain").isin(list(domains)), points) for k, (domains, points) in family.domains.items()),
+        *((k, counts(k, words), points) for k, (words, points, _) in family.penalties.items()),
     ]
     rules = [r for r in rules if r[2]]
     total = sum((F.when(F.coalesce(c, F.lit(False)), F.lit(x)).otherwise(0.0) for _, c, x in rules), F.lit(0.0))
     cap = F.lit(100.0)
-    for words, _, most in family.penalties.values():
-        cap = F.when(hits(words), F.least(cap, F.lit(float(most)))).otherwise(cap)
+    for k, (words, _, most) in family.penalties.items():
+        cap = F.when(counts(k, words), F.least(cap, F.lit(float(most)))).otherwise(cap)
     cap = F.when(~strong & ~second & ~weak, F.least(cap, F.lit(family.unknown_cap))).otherwise(cap)
     signals = lambda keep: F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(False)), F.lit(k)) for k, c, x in rules if keep(x))))
     value = F.greatest(F.lit(0.0), F.least(total, cap))

@@ -281,7 +281,7 @@ def _search_hits(spark: SparkSession, d: str) -> DataFrame:
                contains(title || ' ' || url, c) AS company, contains(title || url, '2024') AS y24, regexp_matches(title || ' ' || url, '\b(19|20)[0-9][0-9]\b') AS dated, contains(lower(url), '.pdf') AS pdf FROM h
     ),
     k AS (
-        SELECT *, contains(t, ' annual report ') OR contains(t, ' universal registration document ') AS strong, contains(t, ' integrated report ') AS second, contains(t, ' report ') AS weak0, contains(t, ' notice of meeting ') AS notice,
+        SELECT *, contains(t, 'annual report') OR contains(t, 'universal registration document') AS strong, contains(t, 'integrated report') AS second, contains(t, 'report') AS weak0, contains(t, 'notice of meeting') AS notice,
                dom = c || '.com' AS official, regexp_matches(title || ' ' || url, '\b2024\b') AS wanted, pdf AND (contains(url, 'annual-report.pdf') OR contains(url, 'annual report.pdf')) AS named FROM f
     ),
     s AS (

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import MARKED, PLAIN
-from ..operators import artifacts as A, blocks as B, corpus as C, metrics as M, retrieval as R, scoring, statistics as T, tables
+from ..operators import artifacts as A, audits as Q, blocks as B, corpus as C, document_checks as K, metrics as M, retrieval as R, scoring, statistics as T, tables
 from .registry import query, table
 
 HEADINGS = [
@@ -417,3 +417,48 @@ def block_chunks(spark: SparkSession, d: str) -> DataFrame:
     kind = F.when(F.col("turn") == 0, F.lit("header")).when(F.col("role") == "system", F.lit("table_caption")).otherwise(F.lit("paragraph"))
     rows = table(spark, d, "conversations").select(F.col("conv_id").alias("document_id"), F.col("turn").alias("page_number"), F.lit("s").alias("section_id"), kind.alias("block_type"), F.col("turn").alias("text_block_id"), "text")
     return A.text_chunks(rows).select("document_id", "source_type", "chunk_id", "text")
+
+
+@query(r"""
+    WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM documents),
+    p AS (SELECT doc_id, sum(length(x)) AS n, count(*) AS blocks, count(*) FILTER (length(x) <= 90) AS titles, count(*) FILTER (length(x) <= 90 AND regexp_matches(x, '[0-9]$')) AS numbered FROM l GROUP BY 1)
+    SELECT doc_id, 'page_low_text_warning' AS check_name, 'warning' AS severity FROM p WHERE n < 100 UNION ALL SELECT doc_id, 'possible_visual_page', 'warning' FROM p WHERE n > 0 AND n < 100 AND doc_id % 2 = 0
+    UNION ALL SELECT doc_id, 'possible_table_of_contents_page', 'warning' FROM p WHERE titles >= 8 AND numbered >= 5 UNION ALL SELECT doc_id, 'high_title_density_warning', 'warning' FROM p WHERE titles / blocks > 0.6
+""")
+def page_checks(spark: SparkSession, d: str) -> DataFrame:
+    lines, short = M.document_lines(table(spark, d, "documents").filter("text IS NOT NULL"), "doc_id", "text"), F.length("text") <= 90
+    pages = lines.groupBy("doc_id").agg(F.sum(F.length("text")).alias("characters"), F.count(F.lit(1)).alias("blocks"), F.count_if(short).alias("titles"), F.count_if(short & F.col("text").rlike("[0-9]$")).alias("titles_with_number"))
+    return K.findings(pages.withColumn("extraction_status", F.when(F.col("doc_id") % 2 == 0, F.lit("ok")).otherwise(F.lit("none"))), K.page_rules(), ["doc_id"])
+
+
+@query(f"""
+    WITH {TABLE_ROWS}, s AS (SELECT *, CASE WHEN e THEN 'empty_table' WHEN r1 OR c1 OR me OR toc OR hf THEN 'low_confidence' ELSE 'parsed' END AS status FROM g)
+    SELECT l_orderkey, unnest(list_filter([CASE WHEN l_orderkey % 3 = 0 THEN 'table_section_link_valid' END, CASE WHEN status = 'low_confidence' THEN 'table_low_confidence_warning' END, CASE WHEN e THEN 'empty_table_detected' END, CASE WHEN me THEN 'mostly_empty_table_warning' END,
+           CASE WHEN tiny THEN 'tiny_table_artifact_warning' END, CASE WHEN toc THEN 'front_matter_or_toc_table_warning' END, CASE WHEN hf THEN 'fragmented_table_warning' END, CASE WHEN art THEN 'table_artifact_suspected_warning' END], lambda x: x IS NOT NULL)) AS check_name, 'warning' AS severity FROM s
+""")
+def table_checks(spark: SparkSession, d: str) -> DataFrame:
+    rows = _tables(spark, d).withColumns({"section_id": F.when(F.col("l_orderkey") % 3 != 0, F.lit("s")), "bad_cells": F.lit(0)})
+    return K.findings(rows, K.table_rules(), ["l_orderkey"])
+
+
+@query(f"""
+    WITH {HEADING_ROWS}, s AS (SELECT CASE text WHEN 'RISK FACTORS' THEN 'accepted' WHEN 'OVERVIEW OF THE YEAR 12' THEN 'accepted' WHEN 'INTRODUCTION' THEN 'org' WHEN 'LVMH' THEN 'org' WHEN 'AB' THEN 'short' WHEN 'ANNUAL REPORT' THEN 'front' WHEN '12.5 EUR' THEN 'number' WHEN '2019 2020 2021' THEN 'number' ELSE 'low' END AS s FROM b WHERE kind = 'title')
+    SELECT check_name, n, 'info' AS severity, 'needs_review' AS status FROM (SELECT unnest(['section_candidates_detected', 'section_candidates_rejected', 'section_front_matter_rejected', 'section_numeric_values_rejected', 'section_timeline_like_rejected', 'heading_fragments_rejected', 'org_chart_like_headings_rejected', 'sentence_like_headings_rejected', 'section_candidate_score_threshold_applied', 'merged_headings_created']) AS check_name,
+           unnest([count(*), count(*) FILTER (s <> 'accepted'), count(*) FILTER (s = 'front'), count(*) FILTER (s = 'number'), 0, 0, count(*) FILTER (s = 'org'), 0, count(*) FILTER (s = 'low'), 0]) AS n FROM s)
+""")
+def heading_checks(spark: SparkSession, d: str) -> DataFrame:
+    x, sure = F.col("text"), F.lit(0.5)
+    rows = _headings(spark, d).withColumn("kind", B.block_class(x)).filter("kind = 'title'")
+    return Q.audit(rows.select(B.heading_status(x, F.col("kind"), sure).alias("status"), F.lit(False).alias("was_merged")), K.candidate_rules())
+
+
+@query("""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_partkey % 4 WHEN 0 THEN l_suppkey % 3 = 0 WHEN 1 THEN l_suppkey % 3 IN (0, 1) ELSE false END AS mismatch, l_suppkey % 5 = 0 AS is_note, l_linenumber IN (1, 2) AS agreed FROM lineitem
+""")
+def review_signals(spark: SparkSession, d: str) -> DataFrame:
+    """Units that a family can't have, labels that are notes, and words by which a reviewer agrees."""
+    family = F.when(F.col("l_partkey") % 4 == 0, F.lit("energy")).when(F.col("l_partkey") % 4 == 1, F.lit("water")).otherwise(F.lit("governance"))
+    unit = F.when(F.col("l_suppkey") % 3 == 0, F.lit("tCO2e")).when(F.col("l_suppkey") % 3 == 1, F.lit("EUR per unit")).otherwise(F.lit("m3"))
+    label = F.when(F.col("l_suppkey") % 5 == 0, F.lit("Sites, See Note 3")).otherwise(F.lit("Sites"))
+    said = F.element_at(F.array(*map(F.lit, ("Yes, of course", "approved", "accept_candidate", "no", "invalid", "okay", "unsure"))), F.col("l_linenumber").cast("int"))
+    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", Q.unit_mismatch(unit, family).alias("mismatch"), Q.is_note_label(label).alias("is_note"), Q.agrees(said).alias("agreed"))

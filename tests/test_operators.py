@@ -229,7 +229,7 @@ def test_ingest_takes_new_files_once(spark, tmp_path):
 def test_families_score_their_own_documents(spark):
     from evidentia.operators.families import FAMILIES
 
-    titles = {"annual": "Acme group universal registration document 2024", "agm": "Acme AGM voting results 2024", "assurance": "Acme limited assurance report 2024", "cdp": "Acme CDP climate change response 2024", "sbti": "Acme SBTi commitment letter 2024", "earnings": "Acme earnings call transcript 2024", "investor": "Acme investor presentation 2024", "half_year": "Acme rapport semestriel 2024"}
+    titles = {"annual": "Acme group universal registration document 2024", "agm": "Acme AGM voting results 2024", "assurance": "Acme limited assurance report 2024", "cdp": "Acme CDP climate change response 2024", "sbti": "Acme SBTi commitment letter 2024", "earnings": "Acme earnings call transcript 2024", "investor": "Acme investor presentation 2024", "half_year": "Acme rapport semestriel 2024", "climate": "Acme climate report 2024", "sustainability": "Acme sustainability report 2024", "governance": "Acme corporate governance report 2024", "remuneration": "Acme remuneration report 2024", "vigilance": "Acme plan de vigilance 2024", "policy": "Acme code of conduct 2024"}
     for name, family in FAMILIES.items():
         rows = [(n, t, f"https://acme.com/{n}.pdf") for n, t in titles.items()]
         df = spark.createDataFrame(rows, "n string, title string, url string").withColumns({"snippet": F.lit(""), "domain": F.lit("acme.com"), "company": F.lit("Acme"), "official_domain": F.lit("acme.com"), "fiscal_year": F.lit(2024)})

@@ -280,22 +280,23 @@ def test_families_against_a_loop(spark):
         p = lambda k: f.points.get(k, 0)  # noqa: B023, E731
         for h in hits:
             path = re.sub(r"^[a-z]+://[^/?#]*", "", h.url).split("#")[0]
-            text, whole = f" {norm(h.title + '  ' + path)} ", f"{h.title} {h.url} {h.snippet}"
-            has = lambda words: any(f" {w} " in text for w in words)  # noqa: B023, E731
+            text, whole = norm(h.title + '  ' + path), f"{h.title} {h.url} {h.snippet}"
+            has = lambda words: any(w in text for w in words)  # noqa: B023, E731
             years = set(re.findall(r"\b((?:19|20)\d{2})\b", whole))
             strong, second, weak0 = has(f.strong), has(f.secondary), has(f.weak)
             weak = weak0 and not strong
             company = norm(h.company).replace(" ", "") in norm(whole).replace(" ", "")
             pdf = ".pdf" in h.url.lower()
-            file = f" {norm(h.url.split('/')[-1])} "
+            file = norm(h.url.split('/')[-1])
             score = p("year") if "2024" in years else p("other_year") if years else p("no_year")
             score += p("strong") if strong else p("secondary") if second else 0
             score += p("weak") * weak + p("none") * (not strong and not second and not weak) + p("company") * company + p("no_company") * (not company)
             score += p("official") * (h.domain == h.official_domain or h.domain.endswith("." + h.official_domain)) + p("platform") * (h.domain in f.platforms) + p("pdf") * pdf + p("no_pdf") * (not pdf)
-            score += p("filename") * (pdf and any(f" {w} " in file for w in f.strong)) + p("low_trust") * (h.domain in f.low_trust)
+            score += p("filename") * (pdf and any(w in file for w in f.strong)) + p("low_trust") * (h.domain in f.low_trust)
             cap = 100.0
-            for words, points, most in f.penalties.values():
-                if has(words):
+            score += sum(points for words, points in f.bonuses.values() if has(words) and (strong or second or weak)) + sum(points for domains, points in f.domains.values() if h.domain in domains)
+            for k, (words, points, most) in f.penalties.items():
+                if has(words) and not (k in f.without_keyword and (strong or second or weak)):
                     score, cap = score + points, min(cap, most)
             if not strong and not second and not weak:
                 cap = min(cap, f.unknown_cap)
@@ -359,3 +360,28 @@ def test_small_rules(spark):
     attempts = spark.createDataFrame([([(200, "application/pdf")],), ([(403, "")],), ([(404, "")],), ([],)], "a array<struct<status_code:int,content_type:string>>")
     assert [r.x for r in attempts.select(scoring.download_status(F.col("a")).alias("x")).collect()] == ["ok", "blocked", "not_found", "failed"]
     assert len(P.HEADINGS) == 20 and callable(C.priority_rank)
+
+
+def test_document_checks_fire_once_each(spark):
+    from evidentia.operators import document_checks as K
+
+    def hits(rules, schema, *rows):
+        return {k: v[0] for k, v in counts(Q.audit(spark.createDataFrame(rows, schema), rules)).items()}
+
+    got = hits(K.block_rules(), "block_type string, repeated int", ("toc_entry", 1), ("header", 2), ("footer", 1), ("footnote", 1), ("paragraph", 9))
+    assert got == {"toc_entries_detected": 1, "header_footer_detected": 2, "repeated_header_footer_warning": 1, "footer_detection_refined": 1, "footnotes_detected": 1}
+    got = hits(K.section_rules(), "page_start int, page_end int, section_type string, confidence double, last_page int", (1, 3, "climate", 0.9, 9), (0, 3, "unknown", 0.9, 9), (4, 3, "x", None, 9), (4, 10, "x", 0.7, 9))
+    assert got == {"section_range_valid": 3, "section_unknown_ratio_warning": 1, "section_low_confidence_warning": 1, "sections_created": 4}
+    schema = "quote string, source_element_id string, section_id string, section_known boolean, has_bbox boolean, policy string, review_required boolean, blocks int"
+    got = hits(K.evidence_rules(), schema, ("x" * 70, "e", "s", True, True, "normal", False, 2), (" ", None, None, False, False, "odd", True, 1), ("short", "e", "gone", False, True, "quarantine", False, 1))
+    assert got == {
+        "evidence_store_created": 3, "evidence_quote_not_empty": 1, "evidence_source_exists": 1, "evidence_without_section_warning": 1, "evidence_section_link_valid": 1, "evidence_bbox_available": 1, "evidence_policy_assigned": 1,
+        "evidence_policy_consistency_check": 1, "quarantined_evidence_detected": 1, "short_evidence_review_required": 1, "evidence_paragraph_merge_applied": 1,
+    }
+    schema = "figure_id string, extraction_status string, figure_type string, section_id string, has_bbox boolean, caption string, confidence double, detection_method string"
+    got = hits(K.figure_rules(["chart"]), schema, ("f", "detected", "chart", "s", True, "c", 0.9, "image"), ("", "odd", "cat", None, False, "", 0.1, "page_heuristic"))
+    assert set(got.values()) == {1}
+    schema = "source_modality string, use_policy string, policy string, review_required boolean"
+    rows = [("text", "eligible", "normal", False), ("sound", "", "normal", False), ("table", "maybe", "quarantine", False), ("figure", "eligible", "normal", True)]
+    assert hits(K.multimodal_rules(), schema, *rows) == {"multimodal_evidence_index_created": 4, "modality_assignment_valid": 1, "downstream_use_policy_assigned": 1, "multimodal_evidence_policy_valid": 1, "quarantined_evidence_excluded_from_automatic_extraction": 1, "review_required_evidence_not_marked_eligible": 1}
+    assert K.findings(spark.createDataFrame(rows, schema), K.multimodal_rules(), ["source_modality"]).count() == 5
