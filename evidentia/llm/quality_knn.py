@@ -18,6 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -131,12 +132,13 @@ def scored(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(i, BLOCK)
-                found = score(model.value, part.column(1).to_pylist())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found, pa.float64())], ["doc", "score"])
+                doc = batch.slice(i, BLOCK).column(0)
+                texts = pc.fill_null(pc.cast(doc.field("text"), pa.string()), "").to_pylist()
+                yield pa.RecordBatch.from_arrays([doc, pa.array(score(model.value, texts), pa.float64())], ["doc", "score"])
 
+    # the text crosses to Python once, inside its row
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))
-    return whole.select("doc", text_of("doc.text").alias("text")).mapInArrow(add, T.StructType([whole.schema["doc"], T.StructField("score", T.DoubleType())]))
+    return whole.mapInArrow(add, T.StructType([whole.schema["doc"], T.StructField("score", T.DoubleType())]))
 
 
 def quality_scores(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:

@@ -16,8 +16,8 @@ KEPT, MOST = 300_000, 500_000
 #: Pieces that go through the library in one call.
 TOGETHER = 1_000
 
-#: Texts that are cut and looked up at a time.
-ROWS = 1_000
+#: Texts that are cut and looked up at a time, by number and by bytes.
+ROWS, BYTES = 1_000, 4 << 20
 
 #: White space, in the widest sense, at a text's start or twice in a row; such texts are cut with more care.
 _WIDE = r"(^|[\s\p{Z}\x0b\x1c-\x1f\x{85}])[\s\p{Z}\x0b\x1c-\x1f\x{85}]"
@@ -162,6 +162,7 @@ class PieceEncoder:
                 found = [self._careful(x) if self.cuts else self._whole(x) for x in some.to_pylist()]
                 ids += found
                 sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        pa.default_memory_pool().release_unused()  # a worker lives on beside others
         return np.concatenate(ids), np.concatenate(sizes)
 
     def count_arrow(self, texts: pa.Array) -> np.ndarray:
@@ -173,12 +174,14 @@ class PieceEncoder:
                 sizes.append(_sums(of_piece, n))
             else:
                 sizes.append(np.array([len(self._careful(x) if self.cuts else self._whole(x)) for x in some.to_pylist()], np.int64))
+        pa.default_memory_pool().release_unused()  # a worker lives on beside others
         return np.concatenate(sizes)
 
     def _parts(self, texts: pa.Array) -> Iterator[tuple[bool, pa.Array]]:
         """(whether pieces are cut at every space and line end, texts) in order, some rows at a time."""
-        for at in range(0, len(texts), ROWS):
-            some = pc.fill_null(texts.slice(at, ROWS), pa.scalar("", texts.type))
+        rows = max(1, min(ROWS, len(texts) * BYTES // max(texts.nbytes, 1)))
+        for at in range(0, len(texts), rows):
+            some = pc.fill_null(texts.slice(at, rows), pa.scalar("", texts.type))
             if not self.cuts:
                 yield False, some
                 continue
