@@ -212,24 +212,35 @@ def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None =
     return [m], float(np.abs(off).max())
 
 
-def with_rates(found: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
+def tilted(found: DataFrame, tilt: Sequence[float]) -> list[float]:
+    """The present shares of the domains in the expected tokens, each times its tilt, as targets that add up to 1.
+
+    Targets far from what a table holds can be met only by a few documents repeated very often in place of all others.
+    Where a table has been filtered before, such as in a pipeline, its targets are better stated against what is there.
+    """
+    sums = found.agg(*(F.sum(F.col("n_tokens") * F.element_at("p", i + 1)) for i in range(len(tilt)))).first()
+    wanted = [float(x or 0) * t for x, t in zip(sums, tilt, strict=True)]
+    return [x / sum(wanted) for x in wanted] if sum(wanted) > 0 else [1 / len(tilt)] * len(tilt)
+
+
+def with_rates(found: DataFrame, targets: Sequence[float] = TARGETS, tilt: Sequence[float] | None = None) -> DataFrame:
     """Adds ``rate``, ``copies`` and ``off_target``: how far the fitted rates' expected tokens are from the targets at the
     most, as a share of all tokens; above CLOSE where no rates reach them."""
-    steps, off = fit_rates(found, targets)
+    steps, off = fit_rates(found, targets if tilt is None else tilted(found, tilt))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     out = found.withColumn("rate", F.round(rate_of(steps, 1.0), 9))
     out = out.withColumn("off_target", F.lit(off))
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
 
 
-def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
+def mix(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, tilt: Sequence[float] | None = None) -> DataFrame:
     """doc_id, n_tokens, a posterior for each domain, rate, copies and off_target for every row."""
-    found = with_rates(members(Scratch(spark, "mixing"), docs, labels, ["doc_id"]), targets)
+    found = with_rates(members(Scratch(spark, "mixing"), docs, labels, ["doc_id"]), targets, tilt)
     named = [F.element_at("p", i + 1).alias(f"p_quality{q}_toxic{t}") for i, (q, t) in enumerate(DOMAINS)]
     return found.select("doc_id", "n_tokens", *named, "rate", "copies", "off_target")
 
 
-def mixed_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS) -> DataFrame:
-    """The input's rows, each as many times as it has copies."""
-    found = with_rates(members(Scratch(spark, "mixing"), docs, labels, docs.columns), targets)
+def mixed_rows(spark: SparkSession, docs: DataFrame, labels: DataFrame, targets: Sequence[float] = TARGETS, tilt: Sequence[float] | None = None) -> DataFrame:
+    """The input's rows, each as many times as it has copies; ``tilt`` states the targets against the present shares."""
+    found = with_rates(members(Scratch(spark, "mixing"), docs, labels, docs.columns), targets, tilt)
     return found.select("doc", F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy")).select("doc.*")

@@ -70,7 +70,7 @@ def test_pipeline_against_brute_force(spark, tmp_path):
     assert not pairs(rows[2]) - pairs(rows[1])
     # mixing: as many copies as the fit says
     copies = Counter()
-    for r in mix(spark, kept[2], known).collect():
+    for r in mix(spark, kept[2], known, tilt=corpus_pipeline.TILT).collect():
         copies[r.doc_id] += r.copies
     assert Counter(r.doc_id for r in rows[3]) == +copies
     # packing: every row once, at its length, with the least padding
@@ -95,3 +95,19 @@ def test_pipeline_of_empty_stages(spark, tmp_path, case):
     *_, folder = stored(spark, tmp_path, docs, known)
     n = corpus_pipeline.run(spark, folder).count()
     assert n > 0 if case == "no labels" else n == 0
+
+
+def test_pipeline_keeps_clean_documents(spark):
+    """On the registered tables the mixing stage drops toxic text alone, and repeats nothing often."""
+    folder = DATA.replace("sf0.001", "sf0.01")
+    docs, known = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    given = corpus_pipeline.quality(spark, docs, folder)
+    fit = {r.doc_id: r for r in mix(spark, given, known, tilt=corpus_pipeline.TILT).collect()}
+    out = Counter(r.doc_id for r in corpus_pipeline.mixing(spark, given, folder).collect())
+    clean = [i for i, r in fit.items() if r.p_quality1_toxic0 > 0.9]
+    assert len(clean) > 100 and all(out[i] >= 1 for i in clean) and max(out.values()) <= 3
+    toxic = [i for i, r in fit.items() if r.p_quality1_toxic1 > 0.9]
+    assert 0 < sum(out[i] for i in toxic) < len(toxic) and {r.off_target < 1e-5 for r in fit.values()} == {True}
+    shares = [sum(r.n_tokens * r.rate * r[f"p_quality{q}_toxic{t}"] for r in fit.values()) for q, t in ((1, 0), (1, 1))]
+    before = [sum(r.n_tokens * r[f"p_quality{q}_toxic{t}"] for r in fit.values()) for q, t in ((1, 0), (1, 1))]
+    assert shares[1] / shares[0] == pytest.approx(0.5 * before[1] / before[0], rel=1e-3)
