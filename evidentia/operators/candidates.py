@@ -2,17 +2,15 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
-from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import first_case, key_text, missing, reasons
-from ..session import guard
 from .corpus import first_of
+from .similarity import similar_components  # noqa: F401  part of this module's interface
 
 #: The order in which engines are trusted, and how far agreement can raise a confidence.
 ENGINES = ("table", "csv", "visual")
@@ -66,38 +64,6 @@ def consensus_boost(df: DataFrame, confidence: str = "confidence") -> DataFrame:
     return df.withColumn(confidence, F.when((F.col("deduplication_status") == "canonical") & (F.col("engines") > 1), F.greatest(raised, F.col(confidence))).otherwise(F.col(confidence)))
 
 
-def similar_components(vectors: DataFrame, ident: str, vector: str, within: Sequence[str], least: float = 0.9) -> DataFrame:
-    """Components of rows whose cosine is at least ``least`` inside a scope: (ident, component), the smallest ident.
-
-    The scope bounds the pairs; labels then spread by the smallest neighbour and by jumping until none moves. Rounds are
-    written as tables: with checkpoints a chain of 21 rows didn't end within three minutes.
-    """
-    spark = guard(vectors.sparkSession)
-    folder = f"{spark.sparkContext.getCheckpointDir()}/components-{uuid.uuid4().hex}"
-
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
-    norm = F.sqrt(F.aggregate(vector, F.lit(0.0), lambda a, x: a + x.cast("double") * x))
-    unit = vectors.select(ident, *within, F.transform(vector, lambda x: x.cast("double")).alias("_v"), norm.alias("_n"))
-    right = unit.select(F.col(ident).alias("_other"), *within, F.col("_v").alias("_w"), F.col("_n").alias("_m"))
-    dot = F.aggregate(F.zip_with("_v", "_w", lambda a, b: a * b), F.lit(0.0), lambda a, x: a + x)
-    pairs = unit.join(right, list(within)).filter((F.col(ident) < F.col("_other")) & (dot >= least * F.col("_n") * F.col("_m")))
-    edges = pairs.select(F.col(ident).alias("a"), F.col("_other").alias("b"))
-    edges = keep(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
-    labels = vectors.select(F.col(ident).alias("v"), F.col(ident).alias("label"))
-    for turn in count():
-        near = edges.join(labels, F.col("b") == F.col("v")).groupBy("a").agg(F.min("label").alias("near"))
-        step = labels.join(near, F.col("v") == F.col("a"), "left").select("v", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
-        far = step.select(F.col("v").alias("via"), F.col("label").alias("far"))
-        step = keep(step.join(far, F.col("label") == F.col("via")).select("v", "old", F.least("label", "far").alias("label")), f"labels_{turn}")
-        labels = step.select("v", "label")
-        if not step.filter("label <> old").limit(1).count():
-            break
-    return labels.select(F.col("v").alias(ident), F.col("label").alias("component"))
-
-
 def validation_status(forbidden: Column, review: Column, status: Column, quote: Column, traced: Column, page: Column, value: Column) -> Column:
     """The first reason to reject or to look again, else a possible indicator."""
     return first_case(

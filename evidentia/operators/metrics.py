@@ -6,14 +6,14 @@ white space; of equal keywords the later one counts.
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import MARKED, PLAIN, collapse, first_case, fold_accents
+from .matching import longest_keyword, loose_keyword, named_keyword  # noqa: F401  part of this module's interface
 
 Entry = tuple[str, str, str, str]
 
@@ -44,11 +44,8 @@ BY_QUANTITY = {
     "mass": [("kt", "tonnes", 1e3), ("mt", "tonnes", 1e6), ("t", "tonnes", 1.0), ("kg", "tonnes", 0.001)],
 }
 
-#: Digits that a value may have, and least lengths and overlap of a loose match.
+#: Fixed value: digits that a value may have.
 MOST_DIGITS = 15
-LEAST_LINE, LEAST_KEYWORD, LEAST_ANCHORS, LEAST_LIKENESS = 12, 8, 2, 82.0
-
-_EDGE = "[A-Za-z0-9_]"
 
 
 def metric_text(text: Column) -> Column:
@@ -66,49 +63,11 @@ def catalog_index(entries: Sequence[Entry]) -> dict[str, tuple[str, str, str]]:
     return out
 
 
-def longest_keyword(line: Column, keywords: Sequence[str]) -> Column:
-    """The longest of the keywords that stand in a line as whole words, the first on a tie; NULL if none does."""
-    ordered = sorted(keywords, key=lambda k: -len(k))
-    pattern = f"(?<!{_EDGE})(" + "|".join(re.escape(k) for k in ordered) + f")(?!{_EDGE})"
-    hits = F.regexp_extract_all(line, F.lit(pattern), 1)
-    best = F.array_max(F.transform(hits, lambda h, i: F.struct(F.length(h).alias("n"), (-i).alias("early"), h.alias("word"))))
-    return best["word"]
-
-
 def first_substring(line: Column, keywords: Sequence[str]) -> Column:
     """The first keyword of the catalog that a line contains, even inside a word; NULL if none."""
     return F.try_element_at(F.filter(F.array(*map(F.lit, keywords)), lambda k: line.contains(k)), F.lit(1))
 
 
-def _like(word: str) -> Callable[[Column], Column]:
-    return lambda w: F.levenshtein(w, F.lit(word)) * 5 <= len(word)
-
-
-def loose_keyword(line: Column, index: Mapping[str, tuple[str, str, str]]) -> Column:
-    """struct<word, likeness> of the keyword most like a line, from LEAST_LIKENESS of 100 on; NULL if none.
-
-    A metric's keywords are tried only if the line has two words of them of at least four letters. Likeness is the share
-    of a keyword's words that the line has, up to one letter in five wrong: it stands in for a weighted ratio of edits,
-    and like that one doesn't mind where the words stand.
-    """
-    words = F.split(line, " ")
-    made = []
-    anchors: dict[str, set[str]] = {}
-    for k, (metric, *_) in index.items():
-        anchors.setdefault(metric, set()).update(w for w in k.split() if len(w) >= 4)
-    for i, (k, (metric, *_)) in enumerate(index.items()):
-        if len(k) < LEAST_KEYWORD:
-            continue
-        own = sorted(anchors[metric])
-        gate = F.size(F.array_intersect(words, F.array(*map(F.lit, own)))) >= min(LEAST_ANCHORS, len(own)) if own else F.lit(True)
-        of = k.split()
-        near = [F.exists(words, _like(p)) for p in of]
-        likeness = sum((F.when(x, 1).otherwise(0) for x in near), F.lit(0)) * (100.0 / len(of))
-        made.append(F.when(gate & (likeness >= LEAST_LIKENESS), F.struct(likeness.alias("likeness"), F.lit(-i).alias("early"), F.lit(k).alias("word"))))
-    best = F.array_max(F.array_compact(F.array(*made))) if made else F.lit(None)
-    return F.when(F.length(line) >= LEAST_LINE, F.struct(best["word"].alias("word"), F.round(best["likeness"], 4).alias("likeness"))) if made else F.lit(None).cast("struct<word:string,likeness:double>")
-
-
 def digits(text: Column) -> Column:
     return F.length(F.regexp_replace(text, r"\D", ""))
 
@@ -170,16 +129,11 @@ def metric_candidates(lines: DataFrame, document: str, line: str, text: str, ent
     index = catalog_index(entries)
     w = Window.partitionBy(document).orderBy(line)
     norm = metric_text(F.col(text))
-    exact = longest_keyword(norm, list(index))
-    near = loose_keyword(metric_text(F.col("_text")), index) if loose else F.lit(None).cast("struct<word:string,likeness:double>")
     years = F.transform(F.regexp_extract_all(text, F.lit(r"\b(19[0-9]{2}|20[0-9]{2})\b"), 1), lambda y: y.cast("int"))
-    rows = lines.select(document, line, F.col(text).alias("_text"), exact.alias("_exact"), value_unit(F.col(text)).alias("_own"), F.array_max(years).alias("_year"))
+    rows = lines.select(document, line, F.col(text).alias("_text"), named_keyword(norm, norm, index, loose).alias("_hit"), value_unit(F.col(text)).alias("_own"), F.array_max(years).alias("_year"))
     rows = rows.withColumns({"_next": F.lead("_own").over(w), "year_in_context": F.max("_year").over(w.rowsBetween(-3, 5))})
-    # the loose match is dear, so only lines without an exact one are asked
-    rows = rows.withColumn("_near", F.when(F.col("_exact").isNull(), near)) if loose else rows.withColumn("_near", near)
-    rows = rows.withColumn("keyword", F.coalesce("_exact", "_near.word")).filter("keyword IS NOT NULL")
-    payload = lambda i: F.element_at(F.create_map(*[F.lit(x) for k, v in index.items() for x in (k, v[i])]), F.col("keyword"))
-    rows = rows.select("*", payload(0).alias("metric_id"), payload(1).alias("metric_label"), payload(2).alias("unit_expected"), F.coalesce("_own", "_next").alias("_m"), (F.col("_own").isNull() & F.col("_next").isNotNull()).alias("_adjacent"))
+    rows = rows.filter("_hit.word IS NOT NULL")
+    rows = rows.select("*", "_hit.metric_id", F.col("_hit.label").alias("metric_label"), F.col("_hit.unit").alias("unit_expected"), F.coalesce("_own", "_next").alias("_m"), (F.col("_own").isNull() & F.col("_next").isNotNull()).alias("_adjacent"))
     value, unit = F.col("_m.value"), F.col("_m.unit")
     reason = F.when(value.isNull(), None).when(is_year(value, unit), F.lit("year_like_value")).when(~is_plausible(value, unit, F.col("unit_expected")), F.lit("implausible_value"))
     rows = rows.withColumn("value_rejected_reason", reason)
@@ -188,8 +142,8 @@ def metric_candidates(lines: DataFrame, document: str, line: str, text: str, ent
     current = F.lit(None).cast("boolean") if fiscal_year is None else F.col("year_in_context") == fiscal_year
     return rows.select(
         document, line, "metric_id", "metric_label", "raw_value", "raw_unit", F.substring(F.trim("_text"), 1, 200).alias("context_snippet"),
-        match_confidence(F.col("raw_value"), F.col("raw_unit"), F.col("unit_expected"), F.col("_adjacent"), F.col("_exact").isNull()).alias("confidence"),
-        "year_in_context", current.alias("is_current_year"), F.when(F.col("_exact").isNotNull(), F.lit("exact")).otherwise(F.lit("fuzzy")).alias("match_type"), F.col("_near.likeness").alias("fuzzy_score"), "value_rejected_reason",
+        match_confidence(F.col("raw_value"), F.col("raw_unit"), F.col("unit_expected"), F.col("_adjacent"), F.col("_hit.likeness").isNotNull()).alias("confidence"),
+        "year_in_context", current.alias("is_current_year"), F.when(F.col("_hit.likeness").isNull(), F.lit("exact")).otherwise(F.lit("fuzzy")).alias("match_type"), F.col("_hit.likeness").alias("fuzzy_score"), "value_rejected_reason",
     )
 
 
@@ -277,8 +231,15 @@ def merge_spans(found: DataFrame, spans: DataFrame, document: str, page: str, va
     keys = [document, page, "_k"]
     best = right.groupBy(*keys).agg(F.max(confidence).alias("_theirs"))
     first = left.groupBy(*keys).agg(F.min(ident).alias("_first"))
-    told = left.join(first, keys).join(best, keys, "left")
+
+    def beside(rows: DataFrame, other: DataFrame, how: str) -> DataFrame:
+        """A join on the keys in which NULL equals NULL, without the other side's keys."""
+        other = other.withColumnsRenamed({k: f"_of_{k}" for k in keys})
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(f"`_of_{k}`")) for k in keys]
+        return rows.join(other, same, how).drop(*(f"_of_{k}" for k in keys))
+
+    told = beside(beside(left, first, "inner"), best, "left")
     raised = F.when((F.col(ident) == F.col("_first")) & (F.col("_theirs") > F.col(confidence)), F.col("_theirs")).otherwise(F.col(confidence))
     told = told.withColumns({"engine": F.when(raised > F.col(confidence), F.lit("both")).otherwise(F.lit("rules")), confidence: raised}).drop("_first", "_theirs")
-    added = right.join(first, keys, "left_anti").withColumn("engine", F.lit("spans"))
+    added = beside(right, first, "left_anti").withColumn("engine", F.lit("spans"))
     return told.unionByName(added, allowMissingColumns=True).drop("_k")

@@ -39,13 +39,6 @@ def tfidf(terms: DataFrame, vocab: DataFrame, ident: str) -> DataFrame:
     return w.withColumn("weight", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(ident)))).select(ident, "token", "weight")
 
 
-def sparse_topk(weights: DataFrame, queries: DataFrame, ident: str, query: str, k: int, digits: int = 6) -> DataFrame:
-    """The k documents with the largest dot product for each query, by rounded score, then ident."""
-    q = queries.select(F.col(query), "token", F.col("weight").alias("_q"))
-    scores = weights.join(q, "token").groupBy(query, ident).agg(F.round(F.sum(F.col("weight") * F.col("_q")), digits).alias("score"))
-    return top(scores, [query], [F.desc("score"), ident], k)
-
-
 def top(rows: DataFrame, by: Sequence[str], order: Sequence[Column | str], k: int) -> DataFrame:
     """The first k rows of each group; groups are cut before the shuffle."""
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter(F.col("rank") <= k)
@@ -144,31 +137,3 @@ def cell_context(cell: Column, column: Column, row: Column, title: Column, units
         F.coalesce(own, col, line, head).alias("unit"), source.alias("unit_source"), F.coalesce((source == "column_header") & (F.lower(line) != F.lower(col)), F.lit(False)).alias("unit_conflict"),
         t.rlike(r"^[(\[]?(\d|[a-zA-Z*])[)\]]?$").alias("is_footnote"), iso.alias("is_iso"), t.rlike(r"^\d{1,2}(\.\d{1,2})+$").alias("is_section_number"),
     )
-
-
-#: Labels that may be broadcast to all quotes, at most.
-FEW_LABELS = 5_000
-
-
-def contained_labels(quotes: DataFrame, labels: DataFrame, quote: str, label: str, few: int = FEW_LABELS) -> DataFrame:
-    """Labels that stand in some quote.
-
-    A label's inner words, between its first and last single space, are whole words of any quote that it stands in. So
-    labels meet quotes by their longest inner word, and only what meets is compared in full. Labels without inner words
-    can't be found so; they, and all labels if they were counted as few, are broadcast and looked for in every quote.
-    """
-    inner = F.filter(F.slice(F.split(F.col(label), " "), 2, F.greatest(F.size(F.split(F.col(label), " ")) - 2, F.lit(0))), lambda w: F.length(w) > 0)
-    longest = F.array_max(F.transform(inner, lambda w, i: F.struct(F.length(w).alias("n"), (-i).alias("early"), w.alias("w"))))["w"]
-    keyed = labels.select("*", longest.alias("_key"))
-    said = quotes.select(F.col(quote).alias("_quote"))
-    if keyed.count() <= few:
-        return said.join(F.broadcast(labels), F.col("_quote").contains(F.col(label))).select(*labels.columns).distinct()
-    short = keyed.filter("_key IS NULL").select(*labels.columns)
-    if short.count() > few:
-        raise ValueError("too many labels of one or two words to look for in every quote")
-    # words carry a hash of their quote; texts are fetched for what meets alone
-    hashed = said.select("_quote", F.xxhash64("_quote").alias("_h"))
-    words = hashed.select("_h", F.explode(F.array_distinct(F.split("_quote", " "))).alias("_key"))
-    met = words.join(keyed.filter("_key IS NOT NULL"), "_key").drop("_key").distinct()
-    found = met.join(hashed.dropDuplicates(["_quote"]), "_h").filter(F.col("_quote").contains(F.col(label))).select(*labels.columns)
-    return found.unionByName(said.join(F.broadcast(short), F.col("_quote").contains(F.col(label))).select(*labels.columns)).distinct()

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import documents as D, retrieval as R, tables as M
 from ..operators.candidates import similar_components
+from ..operators.grams import contained_labels
+from ..operators.postings import postings_topk
 from ..streaming.ingest import windowed_counts
 from .paths import retrieval_path
 from .registry import query, table
@@ -232,7 +234,7 @@ def lexical_topk(spark: SparkSession, d: str) -> DataFrame:
     terms = R.tokens(docs, "doc_id", "text")
     weights = R.tfidf(terms, R.vocabulary(terms, "doc_id", docs.count()), "doc_id")
     queries = weights.filter("doc_id % 20 = 0").select(F.col("doc_id").cast("string").alias("query"), "token", "weight")
-    return R.sparse_topk(weights, queries, "doc_id", "query", 20)
+    return postings_topk(weights, queries, "doc_id", "query", 20)[0]
 
 
 @query("""
@@ -274,7 +276,7 @@ def document_retrieval(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT item_id FROM benchmark b WHERE EXISTS (SELECT 1 FROM documents d WHERE contains(d.text, b.text))")
 def benchmark_containment(spark: SparkSession, d: str) -> DataFrame:
-    return R.contained_labels(table(spark, d, "documents"), table(spark, d, "benchmark").select("item_id", F.col("text").alias("passage")), "text", "passage").select("item_id")
+    return contained_labels(table(spark, d, "documents"), table(spark, d, "benchmark").select("item_id", F.col("text").alias("passage")), "text", "passage").select("item_id")
 
 
 @query()

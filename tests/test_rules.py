@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from evidentia.functions import numbers as N, text as T
-from evidentia.operators import artifacts as A, audits as Q, blocks as B, candidates as C, corpus, documents as D, evidence as E, filters, kpi, metrics as M, retrieval as R, scoring, statistics as ST
+from evidentia.operators import artifacts as A, audits as Q, blocks as B, candidates as C, corpus, documents as D, evidence as E, filters, grams as G, kpi, metrics as M, retrieval as R, scoring, statistics as ST
 from evidentia.operators.families import FAMILIES
 from evidentia.plans import rules as P
 from evidentia.plans.corpus import _search_hits
@@ -117,18 +117,29 @@ def plain_value(line):
 
 
 def test_metrics_of_whole_documents_against_a_loop(spark):
-    """Exact matches of every line of the registered table, and what loose ones must satisfy."""
+    """Exact and loose matches of every line of the registered table, by plain Python with the true ratio."""
+    from .test_matching import plain_best, plain_longest
+
     words = {"in the": "m1", "und der": "m2", "the tion and": "m3", "que los": "m4"}
     plain = lambda t: " ".join(t.lower().translate(str.maketrans(T.MARKED, T.PLAIN)).split())
     want = {}
     for doc in spark.read.parquet(f"{DATA}/documents.parquet").collect():
         for i, line in enumerate(re.split("\r?\n", doc.text or "")):
-            hits = [m[1] for m in re.finditer(r"(?<![A-Za-z0-9_])(" + "|".join(sorted(words, key=lambda k: -len(k))) + r")(?![A-Za-z0-9_])", plain(line))]
-            if hits:
-                want[doc.doc_id, i] = words[max(hits, key=len)]
+            if hit := plain_longest(plain(line), words):
+                want[doc.doc_id, i] = (words[hit], "exact", None)
+            elif near := plain_best(plain(line), {k: (m,) for k, m in words.items()}):
+                want[doc.doc_id, i] = (words[near[0]], "fuzzy", round(near[1], 4))
     got = QUERIES["metrics_of_documents"](spark, DATA).collect()
-    assert {(r.doc_id, r.line): r.metric_id for r in got if r.match_type == "exact"} == want and want
-    assert all(r.fuzzy_score >= 82 and (r.doc_id, r.line) not in want for r in got if r.match_type == "fuzzy")
+    assert {(r.doc_id, r.line): (r.metric_id, r.match_type, r.fuzzy_score) for r in got} == want
+    assert {k for _, k, _ in want.values()} == {"exact", "fuzzy"}
+
+
+def test_spans_of_null_keys_are_kept(spark):
+    schema = "i int, d string, p int, v string, c double"
+    left = spark.createDataFrame([(1, "a", None, "1,000", 0.3), (2, "a", None, "1000", 0.3), (3, None, 2, None, 0.2)], schema)
+    right = spark.createDataFrame([(7, "a", None, "1 000", 0.9), (8, None, 2, "", 0.1), (9, None, None, "5", 0.4)], schema)
+    got = {(r.i, r.c, r.engine) for r in M.merge_spans(left, right, "d", "p", "v", "c", "i").collect()}
+    assert got == {(1, 0.9, "both"), (2, 0.3, "rules"), (3, 0.2, "rules"), (9, 0.4, "spans")}
 
 
 def test_values_with_units_against_a_loop(spark):
@@ -145,9 +156,12 @@ def test_metric_details(spark):
     assert one(spark, M.is_year(F.col("v"), F.col("u")), v="2024", u="") is True and one(spark, M.is_year(F.col("v"), F.col("u")), v="2024", u="t") is False
     index = M.catalog_index([("renewable energy share", "m1", "a", "%"), ("Water", "m2", "b", "m3"), ("water", "m3", "c", "m3")])
     assert index["water"][0] == "m3"
-    assert one(spark, M.loose_keyword(F.col("t"), index), t="share of renewabl energy in all")["word"] == "renewable energy share"
-    assert one(spark, M.loose_keyword(F.col("t"), index), t="energy of all the sites we have") is None or one(spark, M.loose_keyword(F.col("t"), index), t="energy of all the sites we have")["word"] is None
-    assert one(spark, M.longest_keyword(F.col("t"), ["water", "water use", "use"]), t="waters, water use and use") == "water use" and one(spark, M.first_substring(F.col("t"), ["use", "water"]), t="waters used") == "use"
+    # the weighted ratio of edits, in place of a share of words: 75.3 for three right words among six
+    assert one(spark, M.loose_keyword(F.col("t"), index), t="share of renewabl energy in all") is None
+    assert one(spark, M.loose_keyword(F.col("t"), index), t="the renewabl energy share")["word"] == "renewable energy share"
+    assert one(spark, M.loose_keyword(F.col("t"), index), t="energy of all the sites we have") is None
+    assert one(spark, M.longest_keyword(F.col("t"), ["water", "water use", "use"]), t="waters, water use and use") == "water use"
+    assert one(spark, M.first_substring(F.col("t"), ["use", "water"]), t="waters used") == "use"
     assert tuple(one(spark, M.keyword_class(F.col("t"), {"a": ["x", "y"], "b": ["z"]}), t="X and y and z")) == ("a", 0.45)
     assert tuple(one(spark, M.normalized_unit(F.col("v"), F.col("u"), F.lit("emissions")), v="2", u="ktCO2e"))[:2] == (2000.0, "tCO2e")
 
@@ -165,8 +179,8 @@ def test_many_labels_are_found_by_their_inner_words(spark):
     labels = [" ".join(r.choice(words) for _ in range(r.randrange(1, 5))) for _ in range(80)] + [q[3:25] for q in quotes]
     q, x = spark.createDataFrame([(t,) for t in quotes], "q string"), spark.createDataFrame([(i, t) for i, t in enumerate(labels)], "i int, l string")
     want = sorted(i for i, t in enumerate(labels) if any(t in s for s in quotes))
-    assert sorted(row.i for row in R.contained_labels(q, x, "q", "l").collect()) == want
-    assert sorted(row.i for row in R.contained_labels(q, x.filter("size(split(l, ' ')) > 2"), "q", "l", few=3).collect()) == [i for i in want if len(labels[i].split(" ")) > 2]
+    assert sorted(row.i for row in G.contained_labels(q, x, "q", "l").collect()) == want
+    assert sorted(row.i for row in G.contained_labels(q, x.filter("size(split(l, ' ')) > 2"), "q", "l").collect()) == [i for i in want if len(labels[i].split(" ")) > 2]
 
 
 def test_artifacts_are_loaded_without_raising(spark, tmp_path):
