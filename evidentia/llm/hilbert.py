@@ -2,7 +2,7 @@
 
 Native: DataFrame functions only. Every row gets a cell on an integer grid (size, language and source, ``BITS`` bits
 each), cells are numbered along the Hilbert curve, and the curve is cut into runs whose row counts differ by one at most
-(law ``rows``). A dimension is cut at its quantiles, in the order of its values (of texts, by their first seven bytes),
+(law ``rows``). A dimension is cut at its quantiles, in the order of its values (texts in the order of their bytes),
 so neighbours on the grid are neighbours in value, and files written in this order hold narrower ranges of each dimension
 than files in any order by other columns: footers prune on all three.
 
@@ -17,7 +17,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import Scratch, has_columns, ranked
+from .scratch import Scratch, has_columns, ranked, sized
 
 #: Bits of each dimension; the grid has 2 ** (3 * BITS) cells, which bounds every table of cells.
 BITS = 5
@@ -63,10 +63,15 @@ def hilbert_index(dims: Sequence[Column], bits: int = BITS) -> Column:
     return F.aggregate(F.sequence(F.lit(bits - 1), F.lit(0), F.lit(-1)), start, step, lambda s: s["h"])
 
 
-def text_place(c: str) -> Column:
-    """A number in the order of the first seven bytes of a text; -1 for none."""
-    head = F.rpad(F.hex(F.substring(F.col(c).cast("binary"), 1, 7)), 14, "0")
-    return F.coalesce(F.conv(head, 16, 10).cast("long"), F.lit(-1).cast("long"))
+def with_places(scratch: Scratch, rows: DataFrame, column: str) -> DataFrame:
+    """Adds ``{column}_place``, a whole number in the order of a text column's whole values; -1 for none. Distinct values are
+    sorted by ranges, and numbered in that order task by task; they meet the rows by a join."""
+    values = rows.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("_value")).agg(F.count(F.lit(1)).alias("_n")).drop("_n")
+    values = scratch.keep(values.orderBy("_value").withColumn(f"{column}_place", F.monotonically_increasing_id()), f"values_{column}")
+    # a value counts as one narrow row for each 100 bytes
+    size = values.agg(F.sum(F.ceil((F.octet_length("_value") + 1) / 100))).first()[0] or 0
+    out = rows.join(sized(values, size), F.col(column) == F.col("_value"), "left").drop("_value")
+    return out.withColumn(f"{column}_place", F.coalesce(f"{column}_place", F.lit(-1).cast("long")))
 
 
 def _below(c: str) -> Callable[[Column], Column]:
@@ -89,17 +94,22 @@ def hilbert_shards(spark: SparkSession, docs: DataFrame, shards: int = 16, bits:
     """doc_id, size, text_crc32, cell, law, shard, slot for every row."""
     scratch = Scratch(spark, "hilbert")
     slim = has_columns(docs, doc_id="long", text="string", lang="string", source="string").select(
+        F.monotonically_increasing_id().alias("rid"),
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
-        text_place("lang").alias("lang_place"),
-        text_place("source").alias("source_place"),
+        "lang",
+        "source",
     )
-    slim = scratch.keep(slim, "places")
+    slim = scratch.keep(slim, "narrow")
+    for dimension in ("lang", "source"):
+        slim = with_places(scratch, slim, dimension)
+    slim = scratch.keep(slim.drop("lang", "source"), "places")
     slim = grid_cell(slim, ["size", "lang_place", "source_place"], bits).drop("lang_place", "source_place")
     slim = scratch.keep(slim, "slim")
-    spread = F.xxhash64("doc_id", "text_crc32")
-    placed, totals = ranked(scratch, slim, "cell", 1 << (3 * bits), spread, ["doc_id", "text_crc32"])
+    # rows that repeat are told apart, so that any number of them is spread
+    spread = F.xxhash64("doc_id", "text_crc32", "rid")
+    placed, totals = ranked(scratch, slim, "cell", 1 << (3 * bits), spread, ["doc_id", "text_crc32", "rid"])
     rows = totals.agg(F.sum("in_group")).first()[0] or 0
     placed = placed.withColumn("rank", F.col("before") + F.col("rank_in"))
     placed = placed.withColumn("shard", F.expr(f"int(rank * {shards} div {max(rows, 1)})"))

@@ -3,10 +3,12 @@
 A document belongs to each domain with a probability. Domains are the label pairs (quality, toxic); a softmax regression
 on shape steps and telling words, fitted on a bounded sample of the labelled training rows (at most ``SAMPLE``), gives
 the posteriors. Then nonnegative rates r, one for each document, are fitted so that the expected tokens of every domain,
-sum(r * tokens * posterior), meet the targets in the least-squares sense. Of all rates r >= 0 that do, the fit takes those
-nearest to 1 (each token counts alike): they are max(0, 1 - posterior . m) with one multiplier m for each domain, which
-Newton's method on the dual finds. An iteration is one sum over a narrow written table, and only the totals and the
-curvature of the domains reach the driver.
+sum(r * tokens * posterior), meet the targets in the least-squares sense, by projected gradient from r = 1. A row's part of
+the gradient is its posteriors times the domains' distances from the targets. Rows at 0 that the gradient would push below
+stay; all others move along the gradient, as it is or scaled by the curvature of just these rows, and are projected on
+r >= 0. Of a list of step lengths in both metrics the one that comes nearest is taken. This two-metric projection ends where
+no direction is left, so at the targets, or at the least distance that any rates have. An iteration is three sums over a
+narrow written table; only the totals and the curvature of the domains reach the driver.
 
 A rate becomes a whole number of copies by a hash of doc_id: floor(rate), and one more with the probability of the rest.
 
@@ -18,9 +20,11 @@ result.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,12 +44,13 @@ WORDS, LEAST_DOCUMENTS = 256, 5
 DOMAINS = ((0, 0), (0, 1), (1, 0), (1, 1))
 TARGETS = (0.04, 0.01, 0.91, 0.04)
 
-#: Sums over the table at most, and the greatest distance from the targets, or from the least distance that any rates can
-#: have, as a share of all tokens, at which they end.
-ITERATIONS, CLOSE = 40, 1e-6
+#: Steps at most, and the greatest distance from the targets, or from the least distance that any rates can have, as a share
+#: of all tokens, at which they end.
+ITERATIONS, CLOSE = 60, 1e-6
 
-#: Added to the dual's curvature for each unit of distance from the targets, so that it can be inverted.
-DAMPING = 1e-8
+#: Added to the curvature for each unit of distance from the targets, so that it can be inverted; the lengths of steps that
+#: are tried.
+DAMPING, LENGTHS = 1e-8, tuple(2.0**-i for i in range(-3, 21))
 
 _MARKS = ".,;:!?()[]\"'|"
 
@@ -137,79 +142,115 @@ def members(scratch: Scratch, docs: DataFrame, labels: DataFrame, carried: Seque
     return scratch.keep(slim.mapInArrow(add, out), "members")
 
 
-def rate_of(steps: Sequence[np.ndarray], start: float) -> Column:
-    """The rate after these steps: each is projected on r >= 0."""
-    rate = F.lit(start)
-    for s in steps:
-        rate = F.greatest(rate - _dot(s), F.lit(0.0))
+#: How rates move, and the distances from the targets which that lessens.
+Step = tuple[np.ndarray, np.ndarray]
+
+
+def rates_after(p: np.ndarray, steps: Sequence[Step], start: float | np.ndarray = 1.0) -> np.ndarray:
+    """The rates of rows with posteriors ``p`` after these steps. A step (s, y) leaves rates of 0 whose gradient p . y is above
+    0, and takes all others to max(0, rate - p . s)."""
+    rate = np.zeros(len(p)) + start
+    for s, y in steps:
+        rate = np.where((rate <= 0) & (p @ y > 0), 0.0, np.maximum(rate - p @ s, 0.0))
     return rate
 
 
-def _dot(v: np.ndarray) -> Column:
-    out = F.lit(0.0)
-    for i, x in enumerate(v):
-        out = out + F.element_at("p", i + 1) * F.lit(float(x))
-    return out
+def stepped(found: DataFrame, steps: Sequence[Step], start: float = 1.0) -> DataFrame:
+    """Adds ``rate`` after these steps."""
+    steps = list(steps)
+
+    @F.pandas_udf("double")
+    def rate(p: pd.Series) -> pd.Series:
+        return pd.Series(rates_after(np.stack(p.to_numpy()), steps, start) if len(p) else np.empty(0))
+
+    return found.withColumn("rate", rate("p"))
+
+
+def _summed(found: DataFrame, d: int, per_row: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The sums of ``per_row(n_tokens, p)``'s columns over all rows; a task hands on one row for each column."""
+
+    def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in batches:
+            if batch.num_rows:
+                x = per_row(batch.column(0).to_numpy().astype(float), batch.column(1).flatten().to_numpy().reshape(-1, d))
+                total = x if total is None else total + x
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["i", "x"])
 
+    got = found.select("n_tokens", "p").mapInArrow(part, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
+    return np.array([r["x"] for r in got])
 
-def solve(sums: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, float]], goal: np.ndarray, iterations: int, close: float) -> tuple[np.ndarray, np.ndarray]:
-    """The multipliers m of the rates max(0, 1 - p . m), and the domains' distances from the goal.
 
-    ``sums(m, y)`` gives the domains' totals, the curvature (the sum of p p' over rows with a rate above 0) and the least
-    p . y of all rows. Since posteriors add up to 1, the last bounds the distance of any rates from below: y, raised until
-    no row has p . y < 0, parts the goal from all totals that rates r >= 0 can have. That proves that targets can't be met.
+def solve(totals: Callable[[list[Step], list[Step]], np.ndarray], curvature: Callable[[list[Step], np.ndarray], np.ndarray], lowest: Callable[[np.ndarray], float], goal: np.ndarray, iterations: int, close: float) -> tuple[list[Step], np.ndarray, bool]:
+    """The steps, the domains' distances from the goal after them, and whether these are as small as can be, to ``close``.
+
+    ``totals(steps, ends)`` gives a row of the domains' totals for each last step that is tried after ``steps``,
+    ``curvature(steps, y)`` the sum of p p' over the rows that a step along y may move, and ``lowest(y)`` the least p . y of all rows. Since posteriors add up to 1, the last bounds the distance of any rates from
+    below: y, raised until no row has p . y < 0, parts the goal from all totals that rates r >= 0 can have. That proves that
+    targets can't be met.
     """
-    at = np.zeros(len(goal))
-    total, curvature, _ = sums(at, at)
-    off = total - goal
-    best, least = (at, off), 0.0
-    step, length = None, 1.0
-    for _ in range(iterations):
-        if np.abs(best[1]).max() <= close or np.linalg.norm(best[1]) - least <= close:
+    steps: list[Step] = []
+    off, least = totals(steps, [(np.zeros(len(goal)), np.zeros(len(goal)))])[0] - goal, 0.0
+    for turn in range(iterations + 1):
+        size = float(np.linalg.norm(off))
+        if np.abs(off).max() <= close:
+            return steps, off, True
+        raised = off + max(0.0, -lowest(off))
+        least = max(least, float(-goal @ raised / max(np.linalg.norm(raised), 1e-300)))
+        if size - least <= close:
+            return steps, off, True
+        if turn == iterations:
+            break
+        curved = curvature(steps, off)
+        ways = [np.linalg.solve(curved + DAMPING * size * np.eye(len(goal)), off), off / max(np.linalg.norm(curved, 2), 1e-9)]
+        ends = [(length * way, off) for way in ways for length in LENGTHS]
+        far = totals(steps, ends) - goal
+        best = int(np.linalg.norm(far, axis=1).argmin())
+        if np.linalg.norm(far[best]) >= size:
             break
-        if step is None:
-            step, length = np.linalg.solve(curvature + DAMPING * np.linalg.norm(off) * np.eye(len(goal)), off), 1.0
-        trial = at + length * step
-        total, new, low = sums(trial, off)
-        raised = off + max(0.0, -low)
-        least = max(least, -goal @ raised / max(np.linalg.norm(raised), 1e-300))
-        far = total - goal
-        if np.linalg.norm(far) < np.linalg.norm(best[1]):
-            best = (trial, far)
-        # a step that goes past the minimum along its line is cut by the secant
-        slope, there = off @ step, far @ step
-        if there < -0.5 * slope:
-            length *= max(0.1, slope / (slope - there))
-            continue
-        at, off, curvature, step = trial, far, new, None
-    return best
-
-
-def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None = None, iterations: int = ITERATIONS, close: float = CLOSE) -> tuple[list[np.ndarray], float]:
-    """The steps from rate 1 (one, or none without tokens), and the distance from the targets at their end as a share of all tokens.
+        steps, off = [*steps, ends[best]], far[best]
+    return steps, off, False
+
+
+def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None = None, iterations: int = ITERATIONS, close: float = CLOSE) -> tuple[list[Step], float]:
+    """The steps from rate 1 (none without tokens), and the distance from the targets at their end as a share of all tokens.
+    If they end before the distance is proven to be the least, that is told as a warning.
 
     ``found`` has n_tokens and p. ``total`` is the expected number of tokens in all; by default as many as there are.
     """
     d = len(targets)
-    at = [F.element_at("p", i + 1) for i in range(d)]
     tokens = float(found.agg(F.sum("n_tokens")).first()[0] or 0)
     if not tokens:
         return [], 0.0
     found = found.filter("n_tokens > 0").select("n_tokens", "p")
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
+    upper = np.triu_indices(d)
+
+    def totals(steps: list[Step], ends: list[Step]) -> np.ndarray:
+        def tried(n: np.ndarray, p: np.ndarray) -> np.ndarray:
+            before = rates_after(p, steps)
+            return np.concatenate([(n * rates_after(p, [e], before)) @ p for e in ends])
+
+        return _summed(found, d, tried).reshape(len(ends), d) / tokens
+
+    def curvature(steps: list[Step], y: np.ndarray) -> np.ndarray:
+        def free(n: np.ndarray, p: np.ndarray) -> np.ndarray:
+            n = np.where((rates_after(p, steps) > 0) | (p @ y <= 0), n, 0.0)
+            return (p.T @ (n[:, None] * p))[upper]
+
+        out = np.zeros((d, d))
+        out[upper] = _summed(found, d, free) / tokens
+        return out + np.triu(out, 1).T
 
-    def sums(m: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-        rows = found.select("p", "n_tokens", (F.col("n_tokens") * rate_of([m], 1.0)).alias("_asked"))
-        active = F.when(F.col("_asked") > 0, F.col("n_tokens")).otherwise(0)
-        got = rows.agg(F.min(_dot(y)), *(F.sum(F.col("_asked") * a) for a in at), *(F.sum(active * at[i] * at[j]) for i, j in pairs)).first()
-        curvature = np.zeros((d, d))
-        for (i, j), x in zip(pairs, got[1 + d :], strict=True):
-            curvature[i, j] = curvature[j, i] = x / tokens
-        return np.array(got[1 : 1 + d], float) / tokens, curvature, float(got[0])
+    def lowest(y: np.ndarray) -> float:
+        slope = sum((F.element_at("p", i + 1) * float(x) for i, x in enumerate(y)), F.lit(0.0))
+        return float(found.agg(F.min(slope)).first()[0])
 
     goal = np.array(targets, float) / sum(targets) * ((total or tokens) / tokens)
-    m, off = solve(sums, goal, iterations, close)
-    return [m], float(np.abs(off).max())
+    steps, off, settled = solve(totals, curvature, lowest, goal, iterations, close)
+    if not settled:
+        warnings.warn(f"the rates haven't settled: {np.abs(off).max():.3g} of all tokens from the targets", stacklevel=2)
+    return steps, float(np.abs(off).max())
 
 
 def tilted(found: DataFrame, tilt: Sequence[float]) -> list[float]:
@@ -225,10 +266,11 @@ def tilted(found: DataFrame, tilt: Sequence[float]) -> list[float]:
 
 def with_rates(found: DataFrame, targets: Sequence[float] = TARGETS, tilt: Sequence[float] | None = None) -> DataFrame:
     """Adds ``rate``, ``copies`` and ``off_target``: how far the fitted rates' expected tokens are from the targets at the
-    most, as a share of all tokens; above CLOSE where no rates reach them."""
+    most, as a share of all tokens; above CLOSE where no rates reach them (or with a warning, where the steps ended before)."""
     steps, off = fit_rates(found, targets if tilt is None else tilted(found, tilt))
     chance = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    out = found.withColumn("rate", F.round(rate_of(steps, 1.0), 9))
+    out = stepped(found, steps)
+    out = out.withColumn("rate", F.round("rate", 9))
     out = out.withColumn("off_target", F.lit(off))
     return out.withColumn("copies", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int"))
 

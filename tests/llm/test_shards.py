@@ -83,3 +83,16 @@ def test_shards_prune_on_each_dimension(spark):
     ours, plain = lambda i: got[i][0], lambda i: i * 16 // len(rows)
     for value, wanted in ((lambda i, t, l, s: len(t) + 1, (1, 20)), (lambda i, t, l, s: l, ("de", "de")), (lambda i, t, l, s: s, ("src3", "src3"))):
         assert skipped(plain, value, wanted) == 0 and skipped(ours, value, wanted) > 0.25
+
+
+def test_long_values_are_told_apart(spark):
+    """Values that agree in their first bytes are places of their own, in the order of the whole values."""
+    from evidentia.llm.hilbert import with_places
+    from evidentia.llm.scratch import Scratch
+
+    values = [f"https://one.site/{'x' * 30}/{i:03}" for i in range(50)] + ["", None, "z", "é", "漢"]
+    rows = spark.createDataFrame([(v,) for v in values * 3], "source string").repartition(4)
+    got = {r.source: r.source_place for r in with_places(Scratch(spark, "t"), rows, "source").distinct().collect()}
+    assert len(got) == len(values) and got.pop(None) == -1
+    order = sorted(got, key=lambda v: v.encode())
+    assert [got[v] for v in order] == sorted(got.values()) and len(set(got.values())) == len(got)
