@@ -7,7 +7,7 @@ sum(r * tokens * posterior), meet the targets in the least-squares sense, by pro
 the gradient is its posteriors times the domains' distances from the targets. Rows at 0 that the gradient would push below
 stay; all others move along the gradient, as it is or scaled by the curvature of just these rows, and are projected on
 r >= 0. Of a list of step lengths in both metrics the one that comes nearest is taken. This two-metric projection ends where
-no direction is left, so at the targets, or at the least distance that any rates have. An iteration is three sums over a
+no direction is left, so at the targets, or at the least distance that any rates have. An iteration is two sums over a
 narrow written table; only the totals and the curvature of the domains reach the driver.
 
 A rate becomes a whole number of copies by a hash of doc_id: floor(rate), and one more with the probability of the rest.
@@ -166,27 +166,29 @@ def stepped(found: DataFrame, steps: Sequence[Step], start: float = 1.0) -> Data
     return found.withColumn("rate", rate("p"))
 
 
-def _summed(found: DataFrame, d: int, per_row: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
-    """The sums of ``per_row(n_tokens, p)``'s columns over all rows; a task hands on one row for each column."""
+def _summed(found: DataFrame, d: int, per_row: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, float]]) -> tuple[np.ndarray, float]:
+    """The sums of the first part of ``per_row(n_tokens, p)`` over all batches, and the least of the second; a task hands on
+    one row for each number."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = None
+        total, low = 0.0, np.inf
         for batch in batches:
             if batch.num_rows:
-                x = per_row(batch.column(0).to_numpy().astype(float), batch.column(1).flatten().to_numpy().reshape(-1, d))
-                total = x if total is None else total + x
-        if total is not None:
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["i", "x"])
+                x, y = per_row(batch.column(0).to_numpy().astype(float), batch.column(1).flatten().to_numpy().reshape(-1, d))
+                total, low = total + x, min(low, y)
+        if np.ndim(total):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(total))), pa.array(np.concatenate(([low], total)))], ["i", "x"])
 
-    got = found.select("n_tokens", "p").mapInArrow(part, "i long, x double").groupBy("i").agg(F.sum("x").alias("x")).orderBy("i").collect()
-    return np.array([r["x"] for r in got])
+    got = found.select("n_tokens", "p").mapInArrow(part, "i long, x double").groupBy("i").agg(F.sum("x").alias("x"), F.min("x").alias("low")).collect()
+    by = {r["i"]: r for r in got}
+    return np.array([by[i]["x"] for i in range(len(by) - 1)]), by[-1]["low"]
 
 
-def solve(totals: Callable[[list[Step], list[Step]], np.ndarray], curvature: Callable[[list[Step], np.ndarray], np.ndarray], lowest: Callable[[np.ndarray], float], goal: np.ndarray, iterations: int, close: float) -> tuple[list[Step], np.ndarray, bool]:
+def solve(totals: Callable[[list[Step], list[Step]], np.ndarray], curvature: Callable[[list[Step], np.ndarray], tuple[np.ndarray, float]], goal: np.ndarray, iterations: int, close: float) -> tuple[list[Step], np.ndarray, bool]:
     """The steps, the domains' distances from the goal after them, and whether these are as small as can be, to ``close``.
 
     ``totals(steps, ends)`` gives a row of the domains' totals for each last step that is tried after ``steps``,
-    ``curvature(steps, y)`` the sum of p p' over the rows that a step along y may move, and ``lowest(y)`` the least p . y of all rows. Since posteriors add up to 1, the last bounds the distance of any rates from
+    ``curvature(steps, y)`` the sum of p p' over the rows that a step along y may move, and the least p . y of all rows. Since posteriors add up to 1, the last bounds the distance of any rates from
     below: y, raised until no row has p . y < 0, parts the goal from all totals that rates r >= 0 can have. That proves that
     targets can't be met.
     """
@@ -196,13 +198,13 @@ def solve(totals: Callable[[list[Step], list[Step]], np.ndarray], curvature: Cal
         size = float(np.linalg.norm(off))
         if np.abs(off).max() <= close:
             return steps, off, True
-        raised = off + max(0.0, -lowest(off))
+        curved, low = curvature(steps, off)
+        raised = off + max(0.0, -low)
         least = max(least, float(-goal @ raised / max(np.linalg.norm(raised), 1e-300)))
         if size - least <= close:
             return steps, off, True
         if turn == iterations:
             break
-        curved = curvature(steps, off)
         ways = [np.linalg.solve(curved + DAMPING * size * np.eye(len(goal)), off), off / max(np.linalg.norm(curved, 2), 1e-9)]
         ends = [(length * way, off) for way in ways for length in LENGTHS]
         far = totals(steps, ends) - goal
@@ -227,27 +229,25 @@ def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None =
     upper = np.triu_indices(d)
 
     def totals(steps: list[Step], ends: list[Step]) -> np.ndarray:
-        def tried(n: np.ndarray, p: np.ndarray) -> np.ndarray:
+        def tried(n: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, float]:
             before = rates_after(p, steps)
-            return np.concatenate([(n * rates_after(p, [e], before)) @ p for e in ends])
+            return np.concatenate([(n * rates_after(p, [e], before)) @ p for e in ends]), 0.0
 
-        return _summed(found, d, tried).reshape(len(ends), d) / tokens
+        return _summed(found, d, tried)[0].reshape(len(ends), d) / tokens
 
-    def curvature(steps: list[Step], y: np.ndarray) -> np.ndarray:
-        def free(n: np.ndarray, p: np.ndarray) -> np.ndarray:
-            n = np.where((rates_after(p, steps) > 0) | (p @ y <= 0), n, 0.0)
-            return (p.T @ (n[:, None] * p))[upper]
+    def curvature(steps: list[Step], y: np.ndarray) -> tuple[np.ndarray, float]:
+        def free(n: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, float]:
+            slope = p @ y
+            n = np.where((rates_after(p, steps) > 0) | (slope <= 0), n, 0.0)
+            return (p.T @ (n[:, None] * p))[upper], float(slope.min())
 
         out = np.zeros((d, d))
-        out[upper] = _summed(found, d, free) / tokens
-        return out + np.triu(out, 1).T
-
-    def lowest(y: np.ndarray) -> float:
-        slope = sum((F.element_at("p", i + 1) * float(x) for i, x in enumerate(y)), F.lit(0.0))
-        return float(found.agg(F.min(slope)).first()[0])
+        sums, low = _summed(found, d, free)
+        out[upper] = sums / tokens
+        return out + np.triu(out, 1).T, low
 
     goal = np.array(targets, float) / sum(targets) * ((total or tokens) / tokens)
-    steps, off, settled = solve(totals, curvature, lowest, goal, iterations, close)
+    steps, off, settled = solve(totals, curvature, goal, iterations, close)
     if not settled:
         warnings.warn(f"the rates haven't settled: {np.abs(off).max():.3g} of all tokens from the targets", stacklevel=2)
     return steps, float(np.abs(off).max())

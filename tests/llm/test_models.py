@@ -114,7 +114,7 @@ def test_rates_stay_near_one_where_they_may():
     p = rng.dirichlet([5, 5, 5], 100)
     a = p / 100
     goal = np.array([0.35, 0.33, 0.32])
-    steps, off, settled = M.solve(lambda s, ends: np.array([M.rates_after(p, [*s, e]) @ a for e in ends]), lambda s, y: p.T @ a, lambda y: float((p @ y).min()), goal, 5, 1e-9)
+    steps, off, settled = M.solve(lambda s, ends: np.array([M.rates_after(p, [*s, e]) @ a for e in ends]), lambda s, y: (p.T @ a, float((p @ y).min())), goal, 5, 1e-9)
     assert settled and len(steps) <= 2 and np.abs(off).max() <= 1e-9
     rate = 1 - sum(p @ x for x, _ in steps)
     least = 1 - a @ np.linalg.solve(a.T @ a, a.sum(axis=0) - goal)
