@@ -290,13 +290,17 @@ def paragraph_evidence(blocks: DataFrame, document: str, section: str, page: str
 
     Where a run ends is a matter of rows side by side; only the length is carried. So runs are islands first, and each
     island of a document is folded in order, in one pass over its rows.
+
+    A quote has at most ``limit`` characters of a block; ``characters`` counts all that the blocks have, and ``truncated`` tells
+    whether some were left out. Rows without a document are one document.
     """
     w = Window.partitionBy(document).orderBy(order)
     gap = lambda c: F.col(c) - F.lag(c).over(w)
     joined = F.lag(section).over(w).eqNullSafe(F.col(section)) & (gap(order) == 1) & gap(page).isin(0, 1)
     rows = blocks.withColumn("_break", F.when(F.coalesce(joined, F.lit(False)), 0).otherwise(1))
     rows = rows.withColumn("island", F.sum("_break").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    slim = rows.select(document, "island", section, page, order, F.substring(clean(F.col(text)), 1, limit).alias("quote"))
+    whole = F.coalesce(F.length(clean(F.col(text))), F.lit(0)).cast("long").alias("characters")
+    slim = rows.select(document, "island", section, page, order, F.coalesce(F.substring(clean(F.col(text)), 1, limit), F.lit("")).alias("quote"), whole)
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import re
@@ -309,24 +313,28 @@ def paragraph_evidence(blocks: DataFrame, document: str, section: str, page: str
         last: tuple | None = None
         parts: list[str] = []
         head: list = []
-        size = 0
+        size = all_of = 0
+        cut = False
+        columns = [document, section, page, order, "quote", "blocks", "characters", "truncated"]
         for pdf in batches:
             out = []
-            for doc, island, sec, pg, at, quote in zip(*(pdf[c] for c in pdf.columns), strict=True):
-                key = (doc, island)
+            for doc, island, sec, pg, at, quote, n in zip(*(pdf[c] for c in pdf.columns), strict=True):
+                # pandas has NaN, which doesn't equal itself, for a missing number
+                key = (None if doc is None or doc != doc else doc, island)
                 if last == key and size + 1 + len(quote) <= limit and follows(size, parts[-1], quote):
                     parts.append(quote)
                     size += 1 + len(quote)
                 else:
                     if parts:
-                        out.append([*head, " ".join(parts), len(parts)])
-                    head, parts, size = [doc, sec, pg, at], [quote], len(quote)
+                        out.append([*head, " ".join(parts), len(parts), all_of, cut])
+                    head, parts, size, all_of, cut = [doc, sec, pg, at], [quote], len(quote), 0, False
+                all_of, cut = all_of + n, cut or n > limit
                 last = key
-            yield pd.DataFrame(out, columns=[document, section, page, order, "quote", "blocks"])
+            yield pd.DataFrame(out, columns=columns)
         if parts:
-            yield pd.DataFrame([[*head, " ".join(parts), len(parts)]], columns=[document, section, page, order, "quote", "blocks"])
+            yield pd.DataFrame([[*head, " ".join(parts), len(parts), all_of, cut]], columns=columns)
 
-    schema = T.StructType([*(blocks.schema[c] for c in (document, section, page, order)), T.StructField("quote", T.StringType()), T.StructField("blocks", T.LongType())])
+    schema = T.StructType([*(blocks.schema[c] for c in (document, section, page, order)), T.StructField("quote", T.StringType()), T.StructField("blocks", T.LongType()), T.StructField("characters", T.LongType()), T.StructField("truncated", T.BooleanType())])
     dealt = slim.repartition(document, "island").sortWithinPartitions(document, "island", order)
     return dealt.mapInPandas(fold, schema).filter(F.length("quote") >= LEAST_EVIDENCE).withColumn("review_short", F.length("quote") < SHORT_EVIDENCE)
 

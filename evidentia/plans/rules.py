@@ -87,7 +87,7 @@ def paragraph_evidence(spark: SparkSession, d: str) -> DataFrame:
     """Where a run ends depends on its length: tested against a plain loop. Lines of documents stand for paragraphs."""
     lines = M.document_lines(table(spark, d, "documents"), "doc_id", "text").withColumns({"section": F.lit("s"), "page": F.lit(1)})
     rows = lines.filter(B.makes_evidence(F.col("text"), F.lit("paragraph")))
-    return B.paragraph_evidence(rows, "doc_id", "section", "page", "line", "text").select("doc_id", "line", "quote", "blocks", "review_short")
+    return B.paragraph_evidence(rows, "doc_id", "section", "page", "line", "text").select("doc_id", "line", "quote", "blocks", "characters", "truncated", "review_short")
 
 
 CATALOG = [("Energy  use", "energy", "Energy", "MWh"), ("energy use of the site", "site_energy", "Site energy", "MWh"), ("water", "water", "Water", "m3"), ("hidden", "none", "None", "%"), ("WATER", "water_use", "Water use", "m3")]

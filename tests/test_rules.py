@@ -106,6 +106,12 @@ def test_paragraph_evidence_against_a_loop(spark):
     assert min(x.evidence_id for x in store if x.d == 2) == "2_evidence_000001" and {x.quote for x in store if x.evidence_type == "section_heading"} == {"A title"}
 
 
+def test_paragraph_evidence_of_nulls_and_long_blocks(spark):
+    rows = [(None, "a", 1, 1, "first part of a sentence that goes"), (None, "a", 1, 2, "on here."), (7, "a", 1, 1, "y" * 1_000), (8, "a", 1, 1, None), (8, "a", 1, 2, "Z" * 40)]
+    got = B.paragraph_evidence(spark.createDataFrame(rows, "d int, s string, p int, o int, t string").repartition(3), "d", "s", "p", "o", "t")
+    assert {(x.d, x.o, len(x.quote), x.blocks, x.characters, x.truncated) for x in got.collect()} == {(None, 1, 43, 2, 42, False), (7, 1, 800, 1, 1_000, True), (8, 2, 40, 1, 40, False)}
+
+
 def plain_value(line):
     best = None
     for m in re.finditer(M.VALUE_UNIT, line, re.ASCII):
