@@ -75,7 +75,7 @@ def matching(text: Column) -> Column:
 
 def _count(text: Column, kept: str) -> Column:
     """How many characters are of a class."""
-    return F.length(F.regexp_replace(text, f"[^{kept}]", ""))
+    return F.length(F.regexp_replace(text, f"[^{kept}]+", ""))
 
 
 def upper_ratio(text: Column) -> Column:
@@ -216,9 +216,13 @@ def is_front_matter(text: Column) -> Column:
 
 
 def section_class(title: Column) -> Column:
-    """The first type with a pattern in the title, else unknown."""
-    m = matching(title)
-    return first_case(*((m.rlike("|".join(patterns)), name) for name, patterns in SECTION_TYPES.items()), otherwise="unknown")
+    """The first type with a pattern in the title, else unknown. The title is put in its plain form once, and a text without
+    any pattern is told by one expression, whose words are tried at the sides of words alone."""
+    inner = {name: "|".join(p.removeprefix(r"\b").removesuffix(r"\b") for p in patterns) for name, patterns in SECTION_TYPES.items()}
+    whole = lambda words: rf"\b(?:{words})\b"
+    some = whole("|".join(inner.values()))
+    chosen = lambda m: F.when(m.rlike(some), first_case(*((m.rlike(whole(words)), name) for name, words in inner.items()), otherwise="unknown")).otherwise(F.lit("unknown"))
+    return F.element_at(F.transform(F.array(matching(title)), chosen), 1)
 
 
 def heading_score(text: Column, confidence: Column) -> Column:

@@ -11,76 +11,6 @@ from ..functions.text import MARKED, PLAIN
 from ..operators import artifacts as A, audits as Q, blocks as B, corpus as C, document_checks as K, metrics as M, retrieval as R, scoring, statistics as T, tables
 from .registry import query, table
 
-HEADINGS = [
-    "RISK FACTORS", "of the Group", "LVMH", "12.5 EUR", "2019 2020 2021", "Contents", "- a first point", "Table 3 Emissions by scope", "(1) This note explains the basis of it", "Climate change strategy,", "and transition plan", "ANNUAL REPORT",
-    "The results that were proposed by the board to be used in later years", "Énergie renouvelable et eau", "OVERVIEW OF THE YEAR 12", "AB", "Water withdrawal", "INTRODUCTION", "a) lettered point", "",
-]
-
-
-def _text_list(items: list[str]) -> str:
-    return "[" + ", ".join("'" + x.replace("'", "''") + "'" for x in items) + "]"
-
-
-def _headings(spark: SparkSession, d: str) -> DataFrame:
-    text = F.element_at(F.array(*map(F.lit, HEADINGS)), (F.col("o_orderkey") % len(HEADINGS) + 1).cast("int"))
-    return table(spark, d, "orders").select("o_orderkey", "o_custkey", text.alias("text"))
-
-
-HEADING_ROWS = rf"""
-    h AS (SELECT o_orderkey, o_custkey, {_text_list(HEADINGS)}[o_orderkey % {len(HEADINGS)} + 1] AS text FROM orders),
-    c AS (SELECT *, trim(regexp_replace(text, '\s+', ' ', 'g')) AS t, translate(lower(trim(regexp_replace(text, '\s+', ' ', 'g'))), '{MARKED}', '{PLAIN}') AS m FROM h),
-    n AS (SELECT *, length(regexp_replace(t, '[^\p{{L}}]', '', 'g')) AS letters, length(regexp_replace(t, '[^\p{{Lu}}]', '', 'g')) AS capitals, length(regexp_replace(t, '[^0-9]', '', 'g')) AS digits FROM c),
-    b AS (SELECT *, CASE WHEN t = '' THEN 'unknown' WHEN length(t) <= 90 AND (CASE WHEN letters > 0 THEN capitals / letters ELSE 0 END > 0.75 OR regexp_matches(t, '^[0-9][0-9]')) THEN 'title' ELSE 'paragraph' END AS kind FROM n)
-"""
-
-
-@query(rf"""
-    WITH {HEADING_ROWS}
-    SELECT o_orderkey, kind, regexp_matches(t, '^[-*•–]\s+|^[0-9]+[.)]\s+|^\([a-zA-Z]\)\s+|^[a-zA-Z]\)\s+') AS is_list, regexp_matches(lower(t), '^(figure|fig\.|table|exhibit|chart|graph|tableau|graphique) +[0-9]+') AS is_caption,
-           regexp_matches(t, '(^| )\.*[0-9]+\.*$') AS ends_with_number, length(t) >= 25 AND regexp_matches(t, '^\(([0-9]+|[a-zA-Z])\) +[^ ]+|^\* +[^ ]') AS is_footnote, contains(lower(t), 'annual report') OR contains(lower(t), 'universal registration document') AS is_label
-    FROM b
-""")
-def block_predicates(spark: SparkSession, d: str) -> DataFrame:
-    x = F.col("text")
-    return _headings(spark, d).select("o_orderkey", B.block_class(x).alias("kind"), B.is_list_item(x).alias("is_list"), B.is_caption(x).alias("is_caption"), B.ends_with_number(x).alias("ends_with_number"), B.is_footnote(x).alias("is_footnote"), B.is_footer_label(x).alias("is_label"))
-
-
-@query(f"""
-    WITH {HEADING_ROWS}
-    SELECT o_orderkey, CASE WHEN text IN ('RISK FACTORS') THEN 'risk_management' WHEN text = 'Table 3 Emissions by scope' THEN 'emissions' WHEN text = 'Climate change strategy,' THEN 'climate' WHEN contains(text, 'nergie') THEN 'energy'
-           WHEN text = 'Water withdrawal' THEN 'water' WHEN text = 'and transition plan' THEN 'climate' WHEN text IN ('INTRODUCTION', 'OVERVIEW OF THE YEAR 12') THEN 'general' ELSE 'unknown' END AS section_type FROM b
-""")
-def section_classes(spark: SparkSession, d: str) -> DataFrame:
-    """All 24 types are tried on every title."""
-    return _headings(spark, d).select("o_orderkey", B.section_class(F.col("text")).alias("section_type"))
-
-
-@query(f"""
-    WITH {HEADING_ROWS}
-    SELECT o_orderkey, CASE text WHEN 'RISK FACTORS' THEN 'accepted' WHEN 'INTRODUCTION' THEN 'rejected_org_chart_like' WHEN 'LVMH' THEN 'rejected_org_chart_like' WHEN 'AB' THEN 'rejected_too_short' WHEN 'ANNUAL REPORT' THEN 'rejected_document_title'
-               WHEN '12.5 EUR' THEN 'rejected_numeric_value' WHEN '2019 2020 2021' THEN 'rejected_numeric_value' WHEN 'OVERVIEW OF THE YEAR 12' THEN 'accepted' ELSE 'rejected_low_confidence' END AS status,
-           CAST(CASE text WHEN 'RISK FACTORS' THEN 0.8 WHEN 'INTRODUCTION' THEN 0.8 WHEN 'OVERVIEW OF THE YEAR 12' THEN 0.8 WHEN 'LVMH' THEN 0.47 WHEN 'ANNUAL REPORT' THEN 0.62 WHEN 'AB' THEN 0.35 WHEN '12.5 EUR' THEN 0.62 WHEN '2019 2020 2021' THEN 0.5 END AS DOUBLE) AS score
-    FROM b WHERE kind = 'title'
-""")
-def heading_statuses(spark: SparkSession, d: str) -> DataFrame:
-    x, sure = F.col("text"), F.lit(0.5)
-    rows = _headings(spark, d).withColumn("kind", B.block_class(x)).filter("kind = 'title'")
-    return rows.select("o_orderkey", B.heading_status(x, F.col("kind"), sure).alias("status"), B.heading_score(x, sure).alias("score"))
-
-
-@query(f"""
-    WITH {HEADING_ROWS}, o AS (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS pos, text IN ('RISK FACTORS', 'Climate change strategy,', 'and transition plan', 'Water withdrawal', 'of the Group') AS ok FROM c),
-    p AS (
-        SELECT *, lead(text) OVER w AS after, coalesce(ok AND lead(ok) OVER w AND (text = 'Climate change strategy,' OR lead(text) OVER w IN ('and transition plan', 'of the Group')), false) AS pair FROM o WINDOW w AS (PARTITION BY o_custkey ORDER BY pos)
-    ), r AS (SELECT *, pos - coalesce(max(CASE WHEN NOT pair THEN pos END) OVER (PARTITION BY o_custkey ORDER BY pos ROWS UNBOUNDED PRECEDING), 0) AS run FROM p),
-    k AS (SELECT *, pair AND run % 2 = 1 AS takes FROM r), z AS (SELECT *, coalesce(lag(takes) OVER (PARTITION BY o_custkey ORDER BY pos), false) AS taken FROM k)
-    SELECT o_orderkey, CASE WHEN takes THEN replace(text || ' ' || after, ' ,', ',') ELSE text END AS heading_text, takes AS was_merged, CASE WHEN taken THEN 'rejected_heading_fragment' WHEN ok THEN 'accepted' ELSE 'rejected' END AS status FROM z
-""")
-def merged_headings(spark: SparkSession, d: str) -> DataFrame:
-    rows = _headings(spark, d).withColumn("at", F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey"))).withColumn("page", F.lit(1))
-    rows = rows.withColumn("status", F.when(F.col("text").isin("RISK FACTORS", "Climate change strategy,", "and transition plan", "Water withdrawal", "of the Group"), F.lit("accepted")).otherwise(F.lit("rejected")))
-    return B.merged_headings(rows, "o_custkey", "page", "at", "text", "status").select("o_orderkey", "heading_text", "was_merged", "status")
-
 
 @query()
 def paragraph_evidence(spark: SparkSession, d: str) -> DataFrame:
@@ -162,21 +92,6 @@ def unit_normalization(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n.status", "n.unit", "n.value")
 
 
-@query("""
-    SELECT o_orderkey, CASE o_orderkey % 4 WHEN 0 THEN '2030' WHEN 1 THEN '2045' WHEN 2 THEN '1999' END AS target_year, CASE o_orderkey % 4 WHEN 0 THEN '2015' END AS baseline_year, o_orderkey % 4 IN (0, 3) AS is_target,
-           CASE o_orderkey % 4 WHEN 0 THEN 'GHG Protocol' WHEN 2 THEN 'GRI' END AS standard, CASE o_orderkey % 4 WHEN 1 THEN 'Japan' END AS geography, CASE o_orderkey % 4 WHEN 0 THEN 'Group' WHEN 1 THEN 'Scope 2' END AS boundary,
-           CASE o_orderkey % 4 WHEN 0 THEN 'scope_1_emissions' WHEN 1 THEN 'scope_2_emissions' WHEN 2 THEN 'revenue' ELSE 'unknown_metric' END AS metric_key FROM orders
-""")
-def target_facts(spark: SparkSession, d: str) -> DataFrame:
-    said = ["Scope 1 of the Group down by 2030 from a baseline of the year 2015, GHG Protocol", "Scope 2 in Japan: 2020, 2045", "Revenue in agriculture: 1999", "A target without years"]
-    x = F.element_at(F.array(*map(F.lit, said)), (F.col("o_orderkey") % 4 + 1).cast("int"))
-    named = F.lower(x).contains("target")
-    return table(spark, d, "orders").select(
-        "o_orderkey", M.target_year(x).alias("target_year"), M.baseline_year(x).alias("baseline_year"), M.is_target(x, named).alias("is_target"), M.first_token(x, M.STANDARDS).alias("standard"), M.first_token(x, M.GEOGRAPHIES).alias("geography"),
-        M.first_token(x, M.BOUNDARIES).alias("boundary"), M.metric_key(x, F.lit("general")).alias("metric_key"),
-    )
-
-
 @query(rf"""
     WITH t AS (SELECT doc_id, source, text, trim(regexp_replace(translate(lower(text), '{MARKED}', '{PLAIN}'), '\s+', ' ', 'g')) AS low, doc_id % 9 = 0 AS broken, 2020 + doc_id % 5 AS fy FROM documents),
     f AS (SELECT *, contains(low, 'that') AS company, contains(low, 'tion') OR contains(low, 'ung') AS kind, list_transform(regexp_extract_all(text, '\b(?:19|20)[0-9][0-9]\b'), lambda y: CAST(y AS INT)) AS ys FROM t)
@@ -302,20 +217,6 @@ def multimodal_evidence(spark: SparkSession, d: str) -> DataFrame:
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "source_modality", F.array_join("object_quality_flags", ",").alias("flags"), "object_confidence")
 
 
-@query("""
-    SELECT o_orderkey, CASE WHEN o_custkey % 10 = 1 THEN 'logo_or_cover' ELSE ['chart', 'scanned_table', 'org_chart', 'map', 'diagram', 'unknown_visual'][o_orderkey % 6 + 1] END AS visual_type,
-           CAST(CASE WHEN o_custkey % 10 = 1 THEN 0.85 WHEN o_orderkey % 6 = 5 THEN 0.25 ELSE 0.55 END AS DOUBLE) AS confidence,
-           CASE WHEN o_orderkey % 6 = 0 THEN 'visual_target_candidate' WHEN o_orderstatus = 'F' THEN 'visual_metric_candidate' WHEN o_orderkey % 6 = 4 THEN 'visual_risk_evidence' WHEN o_orderkey % 6 = 3 THEN 'visual_policy_evidence' ELSE 'visual_context_evidence' END AS information_type
-    FROM orders
-""")
-def visual_types(spark: SparkSession, d: str) -> DataFrame:
-    said = ["Emissions by 2030", "An indicator-free esrs list of rows", "The holding and its parts", "World map of policy", "A process with risk", "Nothing seen"]
-    said[1] = "A list of rows"
-    x = F.element_at(F.array(*map(F.lit, said)), (F.col("o_orderkey") % 6 + 1).cast("int"))
-    v = A.visual_type(x, F.col("o_custkey") % 10)
-    return table(spark, d, "orders").select("o_orderkey", v["type"].alias("visual_type"), v["confidence"].alias("confidence"), A.visual_information(x, F.when(F.col("o_orderstatus") == "F", F.lit("1"))).alias("information_type"))
-
-
 @query("""
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
            CAST(CASE WHEN l_discount <= 0.02 THEN 0.1 WHEN l_partkey % 4 = 3 THEN 0.4 WHEN l_suppkey % 2 = 0 THEN 0.6 WHEN l_partkey % 4 = 0 THEN 1.0 WHEN l_partkey % 4 = 1 THEN 0.9 ELSE 0.3 END AS DOUBLE) AS coherence,
@@ -441,17 +342,6 @@ def table_checks(spark: SparkSession, d: str) -> DataFrame:
     return K.findings(rows, K.table_rules(), ["l_orderkey"])
 
 
-@query(f"""
-    WITH {HEADING_ROWS}, s AS (SELECT CASE text WHEN 'RISK FACTORS' THEN 'accepted' WHEN 'OVERVIEW OF THE YEAR 12' THEN 'accepted' WHEN 'INTRODUCTION' THEN 'org' WHEN 'LVMH' THEN 'org' WHEN 'AB' THEN 'short' WHEN 'ANNUAL REPORT' THEN 'front' WHEN '12.5 EUR' THEN 'number' WHEN '2019 2020 2021' THEN 'number' ELSE 'low' END AS s FROM b WHERE kind = 'title')
-    SELECT check_name, n, 'info' AS severity, 'needs_review' AS status FROM (SELECT unnest(['section_candidates_detected', 'section_candidates_rejected', 'section_front_matter_rejected', 'section_numeric_values_rejected', 'section_timeline_like_rejected', 'heading_fragments_rejected', 'org_chart_like_headings_rejected', 'sentence_like_headings_rejected', 'section_candidate_score_threshold_applied', 'merged_headings_created']) AS check_name,
-           unnest([count(*), count(*) FILTER (s <> 'accepted'), count(*) FILTER (s = 'front'), count(*) FILTER (s = 'number'), 0, 0, count(*) FILTER (s = 'org'), 0, count(*) FILTER (s = 'low'), 0]) AS n FROM s)
-""")
-def heading_checks(spark: SparkSession, d: str) -> DataFrame:
-    x, sure = F.col("text"), F.lit(0.5)
-    rows = _headings(spark, d).withColumn("kind", B.block_class(x)).filter("kind = 'title'")
-    return Q.audit(rows.select(B.heading_status(x, F.col("kind"), sure).alias("status"), F.lit(False).alias("was_merged")), K.candidate_rules())
-
-
 @query("""
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_partkey % 4 WHEN 0 THEN l_suppkey % 3 = 0 WHEN 1 THEN l_suppkey % 3 IN (0, 1) ELSE false END AS mismatch, l_suppkey % 5 = 0 AS is_note, l_linenumber IN (1, 2) AS agreed FROM lineitem
 """)

@@ -379,7 +379,7 @@ def test_small_rules(spark):
     assert [r.k for r in kpi.missed(keys("a", "b"), keys("b"), ["k"]).collect()] == ["a"]
     attempts = spark.createDataFrame([([(200, "application/pdf")],), ([(403, "")],), ([(404, "")],), ([],)], "a array<struct<status_code:int,content_type:string>>")
     assert [r.x for r in attempts.select(scoring.download_status(F.col("a")).alias("x")).collect()] == ["ok", "blocked", "not_found", "failed"]
-    assert len(P.HEADINGS) == 20 and callable(C.priority_rank)
+    assert callable(C.priority_rank)
 
 
 def test_document_checks_fire_once_each(spark):
