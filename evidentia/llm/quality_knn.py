@@ -6,7 +6,7 @@ singular vectors. The labelled vectors (at most SAMPLE x DIMENSIONS floats) are
 multiplied with all of them, block by block, and its ``NEIGHBOURS`` nearest vote with the fourth power of their cosine.
 
 Defined cases: a null or empty text, or one without any feature, gets the share of label 1 in the sample; without usable
-labels every score is 0.5; null labels and null doc_ids in ``labels`` are ignored, and of repeated labels the largest
+labels every score is 0.5; labels other than 0 and 1 and null doc_ids in ``labels`` are ignored, and of repeated labels the largest
 counts; of several texts with one doc_id the smallest is learnt from; labelled vectors stand in the order of doc_id, and
 of equal cosines the earlier vector is nearer; rows that repeat are scored one by one; an empty table gives an empty
 result; other columns are ignored.
@@ -98,8 +98,10 @@ def score(model: dict, texts: list[str]) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, columns: dict[str, str], sample: int) -> DataFrame:
-    """(doc_id, text, labels): at most ``sample`` training rows, chosen by a hash of doc_id."""
+    """(doc_id, text, labels): at most ``sample`` training rows with labels 0 and 1, chosen by a hash of doc_id."""
     known = has_columns(labels, doc_id="long", **columns).dropna().filter(~held_out())
+    for c in columns:
+        known = known.filter(F.col(c).isin(0, 1))
     known = known.groupBy("doc_id").agg(*(F.max(c).alias(c) for c in columns))
     order = F.xxhash64(F.col("doc_id"), F.lit(7))
     known = known.orderBy(order, "doc_id").limit(sample)

@@ -34,6 +34,29 @@ def test_quality_without_labels_or_rows(spark):
     assert quality_scores(spark, spark.createDataFrame([], SCHEMA), labels(spark)).count() == 0
 
 
+def test_labels_other_than_0_and_1_are_ignored(spark):
+    docs, known = frame(spark), labels(spark)
+    odd = known.selectExpr("doc_id", "2 AS quality", "0 AS toxic").unionByName(known.selectExpr("doc_id", "-1 AS quality", "0 AS toxic"))
+    pair = lambda k: sorted((r.doc_id or -1, round(r.score, 6)) for r in quality_scores(spark, docs, k).collect())
+    assert pair(known.select("doc_id", "quality", "toxic").unionByName(odd)) == pair(known)
+    assert {r.score for r in quality_scores(spark, docs, odd).collect()} == {0.5}
+
+
+def test_fit_spans_the_space_of_a_dense_decomposition():
+    """The leading right singular vectors, by a decomposition of the whole matrix."""
+    raw = Q.raw_features([prose(i, 40 + i) for i in range(40)])
+    model = Q.fit(raw, np.zeros(40, np.float32))
+    seen = (raw > 0).sum(axis=0)
+    idf = np.log(41 / (1 + seen)) + 1
+    idf[Q.PAIRS :] = 1
+    dense = raw * idf
+    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+    values, vectors = np.linalg.svd(dense, full_matrices=False)[1:]
+    top = vectors[: len(model["top"])]
+    found = np.linalg.norm(dense @ model["top"].T, axis=0)
+    assert found == pytest.approx(values[: len(top)], rel=2e-2, abs=1e-3)
+
+
 def plain_vote(model, vectors, labels, latent):
     """Every labelled vector against one document, by plain Python."""
     near = sorted(((-float(np.dot(latent, v)), i) for i, v in enumerate(vectors)))[: Q.NEIGHBOURS]
