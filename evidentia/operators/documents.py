@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .corpus import first_of
+from .medians import with_medians
 
 
 def repeated_lines(lines: DataFrame, page: str = "page", line: str = "line", least: int = 2) -> DataFrame:
@@ -117,7 +118,7 @@ def nearest(left: DataFrame, right: DataFrame, on: Sequence[str], ident: str, at
 
 def block_statistics(blocks: DataFrame, kind: str, text: str) -> DataFrame:
     """Count, share, mean and median length of each type."""
-    out = blocks.groupBy(kind).agg(F.count(F.lit(1)).alias("blocks"), F.avg(F.length(text)).alias("mean_length"), F.median(F.length(text)).alias("median_length"))
+    out = with_medians(blocks, [kind], {"median_length": F.length(text)}, F.count(F.lit(1)).alias("blocks"), F.avg(F.length(text)).alias("mean_length"))
     return out.withColumn("share", F.col("blocks") / F.sum("blocks").over(Window.partitionBy()))
 
 

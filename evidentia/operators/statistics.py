@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from ..functions.text import contains_any, first_case
 from .blocks import SHORT_EVIDENCE, matching
+from .medians import with_medians
 
 
 def distributions(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -33,16 +34,18 @@ def crossed(rows: DataFrame, row: str, column: str) -> DataFrame:
 
 def quantities(rows: DataFrame, by: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
     """Count, mean and median of each measure for each group."""
-    out = [x for k, c in measures.items() for x in (F.round(F.avg(c), 6).alias(f"mean_{k}"), F.median(c).alias(f"median_{k}"))]
-    return rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *out)
+    means = [F.round(F.avg(c), 6).alias(f"mean_{k}") for k, c in measures.items()]
+    out = with_medians(rows, by, {f"median_{k}": c for k, c in measures.items()}, F.count(F.lit(1)).alias("n"), *means)
+    return out.select(*by, "n", *(f"{what}_{k}" for k in measures for what in ("mean", "median")))
 
 
 def evidence_figures(evidence: DataFrame) -> DataFrame:
     """One row over evidence (quote, section, blocks, policy, review_required, evidence_type)."""
     size = F.length(F.coalesce("quote", F.lit("")))
-    return evidence.agg(
+    return with_medians(
+        evidence, [], {"median_quote_length": size},
         F.count(F.lit(1)).alias("evidence_count"), F.count_if(F.col("section").isNull()).alias("without_section"), F.count_if(F.col("review_required")).alias("review_required"), F.round(F.avg(size), 6).alias("average_quote_length"),
-        F.median(size).alias("median_quote_length"), F.count_if(size < SHORT_EVIDENCE).alias("short_evidence"), F.count_if(F.col("blocks") > 1).alias("merged_evidence"), F.count_if(F.col("policy") == "quarantine").alias("quarantined"),
+        F.count_if(size < SHORT_EVIDENCE).alias("short_evidence"), F.count_if(F.col("blocks") > 1).alias("merged_evidence"), F.count_if(F.col("policy") == "quarantine").alias("quarantined"),
         F.round(F.avg(F.when(F.col("evidence_type") == "paragraph", F.col("blocks"))), 6).alias("average_merged_blocks"),
     )
 

@@ -195,6 +195,25 @@ def evidence_figures(spark: SparkSession, d: str) -> DataFrame:
     return T.evidence_figures(rows)
 
 
+@query("""
+    SELECT l_returnflag, l_linestatus, count(*) AS n, round(avg(l_quantity), 6) AS mean_quantity, median(l_quantity) AS median_quantity, round(avg(l_extendedprice), 6) AS mean_price, median(l_extendedprice) AS median_price,
+           round(avg(l_tax) FILTER (l_discount > 0.03), 6) AS mean_taxed, median(l_tax) FILTER (l_discount > 0.03) AS median_taxed FROM lineitem GROUP BY 1, 2
+""")
+def group_quantities(spark: SparkSession, d: str) -> DataFrame:
+    measures = {"quantity": F.col("l_quantity"), "price": F.col("l_extendedprice"), "taxed": F.when(F.col("l_discount") > 0.03, F.col("l_tax"))}
+    return T.quantities(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], measures)
+
+
+@query("""
+    SELECT source, lang, count(*) AS n, round(avg(length(text)), 6) AS mean_characters, median(length(text)) AS median_characters, round(avg(length(text) - length(replace(text, ' ', ''))), 6) AS mean_spaces, median(length(text) - length(replace(text, ' ', ''))) AS median_spaces
+    FROM documents GROUP BY 1, 2
+""")
+def text_quantities(spark: SparkSession, d: str) -> DataFrame:
+    """Whole texts; one source holds a third of all documents in the larger tables."""
+    size = F.length("text")
+    return T.quantities(table(spark, d, "documents"), ["source", "lang"], {"characters": size, "spaces": size - F.length(F.replace("text", F.lit(" "), F.lit("")))})
+
+
 @query("""
     WITH e AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag AS k FROM lineitem),
     t AS (SELECT p_partkey, p_size FROM part WHERE p_partkey % 4 <> 0), g AS (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_suppkey % 3 <> 0)
