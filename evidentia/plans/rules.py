@@ -1,11 +1,10 @@
-"""Queries over headings, lines that name metrics, tables, sections and joined artifacts, built from the columns of orders
+"""Queries over paragraphs, tables, sections and joined artifacts, built from the columns of orders
 and their lines, so that SQL can say from the columns what the rules must find in the texts."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..functions.text import MARKED, PLAIN
 from ..operators import artifacts as A, audits as Q, blocks as B, corpus as C, document_checks as K, metrics as M, retrieval as R, scoring, statistics as T, tables
@@ -20,56 +19,6 @@ def paragraph_evidence(spark: SparkSession, d: str) -> DataFrame:
     return B.paragraph_evidence(rows, "doc_id", "section", "page", "line", "text").select("doc_id", "line", "quote", "blocks", "characters", "truncated", "review_short")
 
 
-CATALOG = [("Energy  use", "energy", "Energy", "MWh"), ("energy use of the site", "site_energy", "Site energy", "MWh"), ("water", "water", "Water", "m3"), ("hidden", "none", "None", "%"), ("WATER", "water_use", "Water use", "m3")]
-
-LINES = """
-    l AS (SELECT l_orderkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS line, CAST(l_quantity * 11 AS INT) AS q, CAST(year(l_shipdate) AS INT) AS y, l_partkey % 5 AS k FROM lineitem),
-    m AS (
-        SELECT *, CASE k WHEN 0 THEN q WHEN 2 THEN q WHEN 3 THEN 2000 END AS own, CASE k WHEN 0 THEN 'MWh' WHEN 2 THEN 'm3' WHEN 3 THEN '' END AS own_unit, CASE k WHEN 0 THEN y WHEN 3 THEN 2000 END AS own_year FROM l
-    ),
-    w AS (
-        SELECT *, lead(own) OVER o AS next, lead(own_unit) OVER o AS next_unit, max(own_year) OVER (PARTITION BY l_orderkey ORDER BY line ROWS BETWEEN 3 PRECEDING AND 5 FOLLOWING) AS ctx FROM m WINDOW o AS (PARTITION BY l_orderkey ORDER BY line)
-    ),
-    v AS (
-        SELECT *, coalesce(own, next) AS v0, CASE WHEN own IS NULL THEN next_unit ELSE own_unit END AS u0, CASE k WHEN 0 THEN 'site_energy' WHEN 1 THEN 'energy' ELSE 'water_use' END AS metric_id, CASE WHEN k < 2 THEN 'mwh' ELSE 'm3' END AS expected FROM w WHERE k <= 3
-    ),
-    x AS (SELECT *, CASE WHEN v0 IS NOT NULL AND u0 = '' AND v0 BETWEEN 1990 AND 2035 THEN 'year_like_value' END AS reason FROM v)
-"""
-
-
-def _lines(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "lineitem").withColumn("line", F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")))
-    q, y, k = (F.col("l_quantity") * 11).cast("int").cast("string"), F.year("l_shipdate").cast("string"), F.col("l_partkey") % 5
-    said = (
-        F.when(k == 0, F.concat(F.lit("ÉNERGY  USE of the site: "), q, F.lit(" MWh in "), y))
-        .when(k == 1, F.lit("Energy use"))
-        .when(k == 2, F.concat(F.lit("Water: "), q, F.lit("m3")))
-        .when(k == 3, F.lit("our water, 2000"))
-        .otherwise(F.lit("nothing hid"))
-    )
-    return rows.select("l_orderkey", "line", said.alias("text"))
-
-
-@query(f"""
-    WITH {LINES}
-    SELECT l_orderkey, line, metric_id, CASE WHEN reason IS NULL THEN CAST(v0 AS VARCHAR) END AS raw_value, CASE WHEN reason IS NULL THEN u0 END AS raw_unit, reason AS value_rejected_reason, ctx AS year_in_context, ctx = 1996 AS is_current_year,
-           CAST(CASE WHEN v0 IS NULL OR reason IS NOT NULL THEN 0.10 ELSE CASE WHEN own IS NULL THEN 0.25 ELSE 0.30 END + CASE WHEN lower(u0) = expected THEN 0.05 ELSE 0 END END AS DOUBLE) AS confidence
-    FROM x
-""")
-def metric_lines(spark: SparkSession, d: str) -> DataFrame:
-    out = M.metric_candidates(_lines(spark, d), "l_orderkey", "line", "text", CATALOG, F.lit(1996), loose=False)
-    return out.select("l_orderkey", "line", "metric_id", "raw_value", "raw_unit", "value_rejected_reason", "year_in_context", "is_current_year", "confidence")
-
-
-@query(f"""
-    WITH {LINES}
-    SELECT count(*) AS candidates, count(*) FILTER (v0 IS NOT NULL AND reason IS NULL) AS with_value, count(DISTINCT metric_id) AS metrics, count(*) FILTER (ctx = 1996) AS current_year, count(*) FILTER (ctx <> 1996) AS other_year,
-           count(*) FILTER (ctx IS NULL) AS unknown_year, count(*) AS exact, count(*) FILTER (reason IS NOT NULL) AS rejected_values FROM x
-""")
-def metric_figures(spark: SparkSession, d: str) -> DataFrame:
-    return M.metric_statistics(M.metric_candidates(_lines(spark, d), "l_orderkey", "line", "text", CATALOG, F.lit(1996), loose=False))
-
-
 @query()
 def metrics_of_documents(spark: SparkSession, d: str) -> DataFrame:
     """Whole documents, loose matches too: tested against a plain loop."""
@@ -77,21 +26,6 @@ def metrics_of_documents(spark: SparkSession, d: str) -> DataFrame:
     return M.metric_candidates(M.document_lines(table(spark, d, "documents"), "doc_id", "text"), "doc_id", "line", "text", words)
 
 
-@query("""
-    WITH u AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity * 7 AS INT) AS n, ['MWh', 'gwh', 'tonnes', 'parsec', '', 'kt', 'km3'][l_partkey % 7 + 1] AS u, l_suppkey % 4 = 0 AS empty FROM lineitem)
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           CASE WHEN empty THEN 'no_value' WHEN u = 'parsec' THEN 'unknown_unit' ELSE 'ok' END AS status, CASE WHEN NOT empty THEN CASE u WHEN 'MWh' THEN 'MWh' WHEN 'gwh' THEN 'MWh' WHEN 'tonnes' THEN 'tCO2e' WHEN 'kt' THEN 'tonnes' WHEN 'km3' THEN 'm3' END END AS unit,
-           CAST(CASE WHEN NOT empty THEN CASE u WHEN 'gwh' THEN n * 1000.0 WHEN 'kt' THEN n * 1000.0 WHEN 'km3' THEN n * 1e9 WHEN 'parsec' THEN NULL ELSE n END END AS DOUBLE) AS value
-    FROM u
-""")
-def unit_normalization(spark: SparkSession, d: str) -> DataFrame:
-    unit = F.element_at(F.array(*map(F.lit, ("MWh", "gwh", "tonnes", "parsec", "", "kt", "km3"))), (F.col("l_partkey") % 7 + 1).cast("int"))
-    value = F.when(F.col("l_suppkey") % 4 != 0, (F.col("l_quantity") * 7).cast("int").cast("string"))
-    quantity = F.when(unit == "kt", F.lit("mass")).when(unit == "km3", F.lit("volume"))
-    rows = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", M.normalized_unit(value, unit, quantity).alias("n"))
-    return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "n.status", "n.unit", "n.value")
-
-
 @query(rf"""
     WITH t AS (SELECT doc_id, source, text, trim(regexp_replace(translate(lower(text), '{MARKED}', '{PLAIN}'), '\s+', ' ', 'g')) AS low, doc_id % 9 = 0 AS broken, 2020 + doc_id % 5 AS fy FROM documents),
     f AS (SELECT *, contains(low, 'that') AS company, contains(low, 'tion') OR contains(low, 'ung') AS kind, list_transform(regexp_extract_all(text, '\b(?:19|20)[0-9][0-9]\b'), lambda y: CAST(y AS INT)) AS ys FROM t)
@@ -236,28 +170,6 @@ def multimodal_evidence(spark: SparkSession, d: str) -> DataFrame:
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "source_modality", F.array_join("object_quality_flags", ",").alias("flags"), "object_confidence")
 
 
-@query("""
-    SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-           CAST(CASE WHEN l_discount <= 0.02 THEN 0.1 WHEN l_partkey % 4 = 3 THEN 0.4 WHEN l_suppkey % 2 = 0 THEN 0.6 WHEN l_partkey % 4 = 0 THEN 1.0 WHEN l_partkey % 4 = 1 THEN 0.9 ELSE 0.3 END AS DOUBLE) AS coherence,
-           CAST(round(least(1.0, 0.3 + CASE WHEN l_discount > 0.02 AND l_linenumber <> 2 THEN 0.3 ELSE 0 END + CASE l_returnflag WHEN 'R' THEN 0.3 WHEN 'A' THEN 0.2 ELSE 0.1 END + CASE WHEN l_linenumber = 3 THEN 0.1 ELSE 0 END), 4) AS DOUBLE) AS quality,
-           CAST(round(CASE WHEN l_linenumber = 3 THEN 0.36 ELSE 0.12 END, 4) AS DOUBLE) AS context
-    FROM lineitem
-""")
-def extraction_scores(spark: SparkSession, d: str) -> DataFrame:
-    value = F.when(F.col("l_discount") > 0.02, F.col("l_quantity").cast("int").cast("string"))
-    k = F.col("l_partkey") % 4
-    unit = F.when(k == 0, F.lit("MtCO2e")).when(k == 1, F.lit("tons of carbon")).when(k == 2, F.lit("parsec"))
-    expected = F.when(F.col("l_suppkey") % 2 == 0, F.array().cast("array<string>")).otherwise(F.array(F.lit("tco2e")))
-    quote = F.when(F.col("l_linenumber") == 2, F.lit("Energy alone")).when(F.col("l_linenumber") == 3, F.concat(F.lit("energy, power and heat of all sites "), value)).otherwise(F.concat(F.lit("Energy "), value))
-    quote = F.coalesce(quote, F.when(F.col("l_linenumber") == 3, F.lit("energy, power and heat of all sites")).otherwise(F.lit("Energy")))
-    kind = F.when(F.col("l_returnflag") == "R", F.lit("table_cell_context")).when(F.col("l_returnflag") == "A", F.lit("paragraph")).otherwise(F.lit("section"))
-    terms = F.array(*map(F.lit, ("energy", "power", "heat", "cold")))
-    return table(spark, d, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", R.value_unit_coherence(value, unit, expected, F.when(k == 1, F.lit("tCO2e"))).alias("coherence"),
-        R.evidence_quality(quote, kind, value).alias("quality"), R.context_score(quote, terms).alias("context"),
-    )
-
-
 @query("""
     SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, CASE l_partkey % 4 WHEN 0 THEN 'MWh' WHEN 1 THEN 'tCO2e' WHEN 2 THEN 'm3' ELSE '%' END AS unit, ['cell', 'column_header', 'row_header', 'table_title'][l_partkey % 4 + 1] AS unit_source, l_partkey % 4 = 1 AND l_suppkey % 2 = 0 AS unit_conflict,
            l_partkey % 4 <> 0 AND l_linenumber = 1 AS is_footnote, l_partkey % 4 <> 0 AND l_linenumber = 2 AS is_iso, l_partkey % 4 <> 0 AND l_linenumber = 3 AS is_section_number FROM lineitem
