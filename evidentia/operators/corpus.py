@@ -40,6 +40,12 @@ def exact_duplicate_groups(docs: DataFrame, key: str = "sha256", ident: str = "d
     return numbered(groups.filter("duplicate_count > 1"), "duplicate_group_id", key, "exact_dup_%04d")
 
 
+def duplicate_ids(docs: DataFrame, key: str = "sha256") -> DataFrame:
+    """The key, duplicate_count and duplicate_group_id of the same groups, without lists of members."""
+    counts = docs.filter(missing(F.col(key)).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("duplicate_count"))
+    return numbered(counts.filter("duplicate_count > 1"), "duplicate_group_id", key, "exact_dup_%04d")
+
+
 def duplicate_members(docs: DataFrame, groups: DataFrame, key: str = "sha256", ident: str = "document_id") -> DataFrame:
     """(duplicate_group_id, member) in long form: what groups hold, without a list of them in any row."""
     return docs.select(key, F.col(ident).alias("member")).join(groups.select(key, "duplicate_group_id"), key).select("duplicate_group_id", "member")

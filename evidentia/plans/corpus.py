@@ -10,6 +10,8 @@ from ..operators.corpus import (
     canonical_documents as canonical,
     dedup_summary as summary_of,
     distribution,
+    duplicate_ids,
+    duplicate_members as members_of,
     exact_duplicate_groups as duplicate_groups,
     group_summary,
     left_join_guarded,
@@ -58,6 +60,16 @@ def exact_duplicate_groups(spark: SparkSession, d: str) -> DataFrame:
     return out.withColumns({"members": F.array_join(F.transform("members", lambda x: x.cast("string")), ","), "sources": F.array_join("sources", ",")})
 
 
+@query("""
+    WITH d AS (SELECT doc_id, sha256(text) AS sha256 FROM documents), g AS (SELECT sha256, printf('exact_dup_%04d', row_number() OVER (ORDER BY sha256)) AS duplicate_group_id FROM d GROUP BY sha256 HAVING count(*) > 1)
+    SELECT duplicate_group_id, doc_id AS member FROM d JOIN g USING (sha256)
+""")
+def duplicate_group_members(spark: SparkSession, d: str) -> DataFrame:
+    """A row for each member, so that a text with very many copies is no list in one row."""
+    docs = _hashed(spark, d).select("doc_id", "sha256")
+    return members_of(docs, duplicate_ids(docs), ident="doc_id")
+
+
 @query("""
     WITH k AS (SELECT sha256(text) AS k, count(*) AS n FROM documents GROUP BY 1)
     SELECT CAST(sum(n) AS BIGINT) AS documents, CAST(sum(n) FILTER (k IS NOT NULL) AS BIGINT) AS with_key, count(k) AS unique_keys,

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..functions.text import MARKED, PLAIN
-from ..operators import metrics as M, retrieval as R
+from ..operators import blocks as B, candidates as C, metrics as M, retrieval as R
 from .headings import KEY, LINE_ROWS, WHITE, quoted, text_lines
 from .registry import query, table
 
@@ -178,3 +178,40 @@ def extraction_scores(spark: SparkSession, d: str) -> DataFrame:
     return rows.select(
         *KEY, R.value_unit_coherence(value, unit, wanted, canonical).alias("coherence"), R.evidence_quality(F.col("text"), kind, value).alias("quality"), R.context_score(F.col("text"), F.array(*map(F.lit, _TERMS))).alias("context")
     )
+
+
+_SHEET = ("token", "license", "version", "rights reserved", "total")
+
+
+@query(rf"""
+    WITH t AS (SELECT 'document' AS src, doc_id AS ident, 0 AS part, text FROM documents UNION ALL SELECT 'turn', conv_id, turn, text FROM conversations UNION ALL SELECT 'page', page_id, 0, html FROM pages)
+    SELECT src, ident, part, len(list_filter([{quoted(_SHEET)}], lambda k: contains(lower(text), k))) >= 2 OR len(regexp_extract_all(text, '[0-9][0-9\s,]*%')) >= 3
+           OR len(list_filter(string_split(text, chr(10)), lambda x: len(regexp_extract_all(x, '\b([0-9][0-9\s,.]*)\b', 1)) >= 3)) >= 3 AS table_like FROM t WHERE text IS NOT NULL
+""")
+def table_like_texts(spark: SparkSession, d: str) -> DataFrame:
+    """Whole documents, turns and pages that look like a table."""
+    rows = lambda name, src, ident, part, text: table(spark, d, name).select(F.lit(src).alias("src"), F.col(ident).alias("ident"), part.cast("int").alias("part"), F.col(text).alias("text"))
+    every = rows("documents", "document", "doc_id", F.lit(0), "text").unionByName(rows("conversations", "turn", "conv_id", F.col("turn"), "text")).unionByName(rows("pages", "page", "page_id", F.lit(0), "html"))
+    return every.filter("text IS NOT NULL").select("src", "ident", "part", B.table_like(F.col("text"), _SHEET).alias("table_like"))
+
+
+@query(rf"""
+    WITH {SAID}, {VALUES},
+    told AS (
+        SELECT src, ident, part, line, text, best.value AS raw, nullif(best.unit, '') AS unit, nullif(trim(regexp_extract(text, '([0-9]+)!', 1)), '') AS corrected, CASE WHEN best.unit <> '' THEN best.value || ' ' || lower(best.unit) END AS plain,
+               nullif(regexp_extract(text, '\b((?:19|20)[0-9]{{2}})\b', 1), '') AS year FROM figures
+    ), q AS (SELECT *, coalesce(corrected, plain, raw) AS value, CASE WHEN trim(text) <> '' AND length(text) >= 30 THEN text END AS evidence, (unit IS NULL)::INT + (coalesce(raw = year, false))::INT + (length(text) < 15)::INT AS n FROM told)
+    SELECT src, ident, part, line, value, CASE WHEN corrected IS NOT NULL THEN 'corrected_value' WHEN plain IS NOT NULL THEN 'normalized_value' WHEN raw IS NOT NULL THEN 'raw_value' ELSE 'missing' END AS value_source,
+           coalesce(nullif(concat_ws('|', CASE WHEN value IS NULL THEN 'missing_value' END, CASE WHEN unit IS NULL THEN 'missing_unit' END, CASE WHEN year IS NULL THEN 'missing_year' END, CASE WHEN evidence IS NULL THEN 'missing_evidence' END), ''), 'complete') AS quality,
+           nullif(concat_ws('|', CASE WHEN unit IS NULL THEN 'no_unit' END, CASE WHEN raw = year THEN 'is_year' END, CASE WHEN length(text) < 15 THEN 'short_text' END), '') AS risk_reasons, CASE WHEN n >= 2 THEN 'high' WHEN n = 1 THEN 'medium' ELSE 'low' END AS risk FROM q
+""")
+def prepared_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The value of each line with where it comes from, what it lacks, and how likely it is none. A number before an exclamation mark stands for a correction."""
+    x = F.col("text")
+    rows = said_lines(spark, d).withColumn("m", M.value_unit(x))
+    raw, unit = F.col("m.value"), F.nullif(F.col("m.unit"), F.lit(""))
+    year = F.nullif(F.regexp_extract(x, r"\b((?:19|20)[0-9]{2})\b", 1), F.lit(""))
+    value = C.prefer_corrected(F.regexp_extract(x, "([0-9]+)!", 1), F.when(unit.isNotNull(), F.concat(raw, F.lit(" "), F.lower(unit))), raw)
+    rows = rows.withColumns({"value": value, "risk": C.false_positive_risk([(unit.isNull(), "no_unit"), (raw == year, "is_year"), (F.length(x) < 15, "short_text")])})
+    quality = C.preparation_quality(F.col("value.value"), unit, year, F.when(F.length(x) >= 30, x))
+    return rows.select(*KEY, F.col("value.value").alias("value"), F.col("value.source").alias("value_source"), quality.alias("quality"), F.col("risk.reasons").alias("risk_reasons"), F.col("risk.risk").alias("risk"))

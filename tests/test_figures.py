@@ -7,7 +7,7 @@ from evidentia.plans.queries import ORACLE_SQL, QUERIES
 from .conftest import DATA
 from .parity import differences, oracle
 
-NAMES = ["metric_lines", "metric_figures", "unit_normalization", "extraction_scores"]
+NAMES = ["metric_lines", "metric_figures", "unit_normalization", "extraction_scores", "table_like_texts", "prepared_lines"]
 
 
 @pytest.fixture(scope="module")
@@ -39,3 +39,16 @@ def test_real_texts_have_metrics(spark):
     rows = QUERIES["metric_lines"](spark, DATA).filter("src <> 'order'").collect()
     assert {r.src for r in rows} >= {"document", "turn"} and len({r.metric_id for r in rows}) >= 6
     assert any(r.raw_value for r in rows) and any(r.raw_value is None for r in rows)
+
+
+def test_prepared_values_and_tables(spark, odd, tmp_path):
+    spark.createDataFrame([(1, "52!! of 20 ha in 2020"), (2, "1 %, 2 % and 3%"), (3, "1 x 2 y 3\n4 x 5 y 6\n7 x 8,1 y 9\nend"), (4, "1 x 2 y 3\n4 x 5 y 6"), (5, "Total of the licenses"), (6, "2024"), (7, "")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for name in ("conversations", "pages", "lineitem"):
+        spark.read.parquet(f"{odd}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    d = str(tmp_path)
+    assert {r.ident: r.table_like for r in QUERIES["table_like_texts"](spark, d).collect()} == {1: False, 2: True, 3: True, 4: False, 5: True, 6: False, 7: False}
+    got = {r.ident: (r.value, r.value_source, r.quality, r.risk_reasons, r.risk) for r in QUERIES["prepared_lines"](spark, d).filter("line = 0 AND ident IN (1, 2, 6, 7)").collect()}
+    assert got == {
+        1: ("52", "corrected_value", "missing_evidence", None, "low"), 2: ("1 %", "normalized_value", "missing_year|missing_evidence", None, "low"),
+        6: ("2024", "raw_value", "missing_unit|missing_evidence", "no_unit|is_year|short_text", "high"), 7: (None, "missing", "missing_value|missing_unit|missing_year|missing_evidence", "no_unit|short_text", "high"),
+    }
