@@ -57,9 +57,14 @@ class Scratch:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
-        """Writes a table and gives it back as a scan; ``by`` makes it partitioned."""
+    def keep(self, df: DataFrame, name: str, by: Sequence[str] = (), wide: bool = False) -> DataFrame:
+        """Writes a table and gives it back as a scan; ``by`` makes it partitioned.
+
+        Rows of many MB are ``wide``: each is a row group of its own. Parquet's writer otherwise looks at its size after a
+        hundred rows only, and a scan unpacks all rows of a group at once.
+        """
         to = df.write.option("compression", "zstd")
+        to = to.option("parquet.block.row.count.limit", 1) if wide else to
         (to.partitionBy(*by) if by else to).parquet(self.path(name))
         return self.spark.read.schema(df.schema).parquet(self.path(name))
 

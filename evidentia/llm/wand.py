@@ -70,6 +70,16 @@ def terms_of(text: bytes) -> Counter[bytes]:
     return out
 
 
+def _narrow(times: np.ndarray) -> np.ndarray:
+    """Two bytes a posting, or eight in a shard where a document holds a term more often."""
+    return times.astype("<u2" if times.max(initial=0) < 1 << 16 else "<i8")
+
+
+def _postings(places: bytes, times: bytes) -> tuple[np.ndarray, np.ndarray]:
+    places = np.frombuffer(places, "<u2")
+    return places, np.frombuffer(times, "<u2" if len(times) == places.nbytes else "<i8")
+
+
 class _Shard:
     """Documents on their way into a row of the index."""
 
@@ -77,7 +87,7 @@ class _Shard:
         self.vocabulary: dict[bytes, int] = {}
         self.ids: list[int | None] = []
         self.sizes: list[int] = []
-        self.terms, self.times = array("q"), array("q")
+        self.terms, self.times = array("i"), array("q")
         self.ends: list[int] = []
 
     def add(self, doc_id: int | None, counts: Counter[bytes]) -> None:
@@ -93,16 +103,16 @@ class _Shard:
 
     def row(self) -> pa.RecordBatch:
         order = sorted(range(len(self.ids)), key=lambda i: (self.ids[i] is None, self.ids[i] or 0))
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.uint16)
         place[order] = np.arange(len(order))
-        term, times = np.frombuffer(self.terms, np.int64), np.frombuffer(self.times, np.int64)
+        term, times = np.frombuffer(self.terms, np.int32), np.frombuffer(self.times, np.int64)
         doc = np.repeat(place, np.diff(self.ends, prepend=0))
         by = np.lexsort((doc, term))
         return pa.RecordBatch.from_arrays([
             pa.array([sum(s > 0 for s in self.sizes)], pa.int64()), pa.array([sum(self.sizes)], pa.int64()),
             pa.array([[self.ids[i] for i in order]], pa.list_(pa.int64())), pa.array([[self.sizes[i] for i in order]], pa.list_(pa.int64())),
             pa.array([[t.decode() for t in self.vocabulary]], pa.list_(pa.string())), pa.array([np.bincount(term, minlength=len(self.vocabulary)).astype(np.int32)], pa.list_(pa.int32())),
-            pa.array([doc[by].astype("<u2").tobytes()], pa.binary()), pa.array([times[by].astype("<i8").tobytes()], pa.binary()),
+            pa.array([doc[by].astype("<u2").tobytes()], pa.binary()), pa.array([_narrow(times)[by].tobytes()], pa.binary()),
         ], ["n_with", "n_terms", "doc_ids", "sizes", "terms", "counts", "places", "times"])
 
 
@@ -112,8 +122,9 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.large_binary()), strict=True):
             shard.add(doc_id, terms_of(text.as_py()))
             if shard.full():
-                yield shard.row()
-                shard = _Shard()
+                row, shard = shard.row(), _Shard()
+                yield row
+                pa.default_memory_pool().release_unused()
     if shard.ids:
         yield shard.row()
 
@@ -121,7 +132,7 @@ def _index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_index(spark: SparkSession, docs: DataFrame, scratch: Scratch) -> DataFrame:
     """The index, a row for each shard, as a written table."""
     texts = docs.select(F.col("`doc_id`").cast("long").alias("doc_id"), text_of("`text`").alias("text"))
-    return scratch.keep(texts.mapInArrow(_index, INDEX), "index")
+    return scratch.keep(texts.mapInArrow(_index, INDEX), "index", wide=True)
 
 
 def _held(wanted: pa.Array):
@@ -206,13 +217,13 @@ def _answers(items: list[tuple[int, list[tuple[int, int]]]], wanted: pa.Array, w
                 at = pc.index_in(wanted, value_set=terms.values).to_pylist()
                 ends = np.cumsum(counts.values.to_numpy())
                 m = np.array([K - B + (B * n * n_docs) // n_terms for n in sizes.values.to_pylist()], np.int64)
-                places, times = np.frombuffer(places.as_py(), "<u2"), np.frombuffer(times.as_py(), "<i8")
+                places, times = _postings(places.as_py(), times.as_py())
                 lists: dict[int, tuple] = {}
                 for q, t in enumerate(at):
                     if t is None or not weights[q]:
                         continue
                     lo, hi = int(ends[t - 1]) if t else 0, int(ends[t])
-                    doc, tf = places[lo:hi], times[lo:hi]
+                    doc, tf = places[lo:hi], times[lo:hi].astype(np.int64)
                     impact = weights[q] * (1_000_000_000 * tf // (1_000 * tf + 8 * m[doc]))
                     kth = int(np.partition(impact, len(impact) - k)[len(impact) - k]) if len(impact) >= k else 0
                     lists[q] = (array("H", doc.tobytes()), array("q", impact.tobytes()), int(impact.max()), kth)
@@ -223,6 +234,7 @@ def _answers(items: list[tuple[int, list[tuple[int, int]]]], wanted: pa.Array, w
                     if found:
                         least = max(1, max(x[3] * r for x, r in found))
                         wand([(x[0], x[1], x[2], r) for x, r in found], heap, k, least, names)
+            pa.default_memory_pool().release_unused()  # a shard's row is many MB
         for (item, _), heap in zip(items, heaps, strict=True):
             if heap:
                 yield pa.RecordBatch.from_arrays([pa.array([item] * len(heap), pa.int64()), pa.array([-d if real else None for _, (real, d) in heap], pa.int64()), pa.array([s for s, _ in heap], pa.int64())], ["item", "doc_id", "score"])
@@ -230,7 +242,7 @@ def _answers(items: list[tuple[int, list[tuple[int, int]]]], wanted: pa.Array, w
     return run
 
 
-def _kept(scratch: Scratch, df: DataFrame, name: str, rows: int = 2) -> DataFrame:
+def _kept(scratch: Scratch, df: DataFrame, name: str, rows: int = 1) -> DataFrame:
     """``scratch.keep`` of a plan whose rows are whole shards, a few in a batch."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = scratch.spark.conf.get(setting)

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -54,6 +55,20 @@ def test_search_equals_scoring_all(spark, monkeypatch, shard):
     assert key((r.item_id, r.rank, r.doc_id, r.score) for r in got) == key((ITEMS[i][0], *rest) for i, *rest in want)
 
 
+def test_shards_are_read_one_by_one(spark, monkeypatch):
+    """A row group for each shard, so that neither writer nor scan holds more than one; many repeats of a term are kept."""
+    monkeypatch.setattr(W, "SHARD_DOCS", 7)
+    rows = spark.createDataFrame([(i, "many " * (70_000 if i == 3 else 2) + f"w{i}") for i in range(60)], "doc_id long, text string").coalesce(1)
+    scratch = Scratch(spark, "shards")
+    index = W.build_index(spark, rows, scratch)
+    files = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in index.inputFiles()]
+    assert [m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)] == [1] * 9 == [1] * index.count()
+    widths = [len(r.times) // (len(r.places) // 2) for r in index.collect()]
+    assert sorted(widths) == [2] * 8 + [8]
+    held = {d: n for r in index.collect() for d, n in zip(r.doc_ids, W._postings(r.places, r.times)[1][: len(r.doc_ids)].tolist(), strict=True)}
+    assert held == {i: 70_000 if i == 3 else 2 for i in range(60)}
+
+
 def test_search_skips_documents():
     """The same ten best, with fewer documents scored than hold a term."""
     r = random.Random(4)
