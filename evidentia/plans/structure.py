@@ -130,14 +130,25 @@ def section_types_of_whole_texts(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "conversations").select("conv_id", "turn", kind.alias("k")).select("conv_id", "turn", F.col("k.type").alias("section_type"), F.col("k.confidence").alias("confidence"))
 
 
+#: Lines of tables that one task sorts, about; some tens of MB.
+TASK_LINES = 250_000
+
+
 def _cells(spark: SparkSession, d: str) -> DataFrame:
-    """A table for each order: a row for each line, in order, and four columns; row 0 and column 0 hold words."""
+    """A table for each order: a row for each line, in order, and four columns; row 0 and column 0 hold words.
+
+    Dealt out by order once, into as many parts as keep a part's sort in memory. The first line of an order also gives its
+    heads, so that no union hides how the cells are dealt out, and what groups them by order needs no other shuffle.
+    """
     lines = table(spark, d, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag", "l_linestatus")
-    lines = M.positions(lines, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "row")
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-lines.count() // TASK_LINES))
+    lines = M.positions(lines.repartition(parts, "l_orderkey"), ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity"], "row")
     texts = F.array(F.concat(F.lit("Part "), F.col("l_partkey").cast("string")), F.col("l_quantity").cast("int").cast("string"), F.col("l_returnflag"), F.col("l_linestatus"))
-    body = lines.select("l_orderkey", "row", F.posexplode(texts).alias("column", "text"))
-    heads = lines.select("l_orderkey").distinct().select("l_orderkey", F.lit(0).alias("row"), F.posexplode(F.array(*map(F.lit, ("Item", "Quantity in 2024", "Flag", "Status")))).alias("column", "text"))
-    return body.unionByName(heads).withColumn("pos", F.col("row") * 4 + F.col("column"))
+    heads = F.array(*map(F.lit, ("Item", "Quantity in 2024", "Flag", "Status")))
+    of = lambda row, t: F.struct(row.cast("int").alias("row"), t.alias("texts"))
+    rows = F.when(F.col("row") == 1, F.array(of(F.lit(0), heads), of(F.col("row"), texts))).otherwise(F.array(of(F.col("row"), texts)))
+    body = lines.select("l_orderkey", F.explode(rows).alias("r")).select("l_orderkey", F.col("r.row").alias("row"), F.posexplode("r.texts").alias("column", "text"))
+    return body.withColumn("pos", F.col("row") * 4 + F.col("column"))
 
 
 CELLS = """

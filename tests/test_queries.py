@@ -114,3 +114,9 @@ def test_section_score(spark):
     df = spark.createDataFrame(rows, "kind string, section string, domain string, doc string, preferred array<string>, want double")
     for r in df.withColumn("got", section_score(*(F.col(c) for c in ("kind", "section", "domain", "doc", "preferred")))).collect():
         assert r.got == pytest.approx(r.want)
+
+
+def test_cells_are_shuffled_once(spark):
+    """Lines are dealt out by order, and neither cells nor rows of a table are dealt out again."""
+    plan = QUERIES["table_matrix_rebuild"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Union" not in plan
