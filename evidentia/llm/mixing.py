@@ -8,7 +8,8 @@ the gradient is its posteriors times the domains' distances from the targets. Ro
 stay; all others move along the gradient, as it is or scaled by the curvature of just these rows, and are projected on
 r >= 0. Of a list of step lengths in both metrics the one that comes nearest is taken. This two-metric projection ends where
 no direction is left, so at the targets, or at the least distance that any rates have. An iteration is two sums over a
-narrow written table; only the totals and the curvature of the domains reach the driver.
+written table that holds the tokens and posteriors of many rows as one block of bytes, so that a sum costs Spark a few
+blocks rather than every row; only the totals and the curvature of the domains reach the driver.
 
 A rate becomes a whole number of copies by a hash of doc_id: floor(rate), and one more with the probability of the rest.
 
@@ -32,7 +33,7 @@ from pyspark.sql import types as T
 
 from .quality_knn import labelled_sample
 from .scratch import Scratch, schema, text_of
-from .shape import SHARES, STEPS, pairs_and_steps
+from .shape import SHARES, STEPS, classes_of, steps_of
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 6_000
@@ -52,19 +53,25 @@ ITERATIONS, CLOSE = 60, 1e-6
 #: are tried.
 DAMPING, LENGTHS = 1e-8, tuple(2.0**-i for i in range(-3, 21))
 
+#: Rows with tokens in one file of the table that the sums read, about; a batch of them is one block of bytes.
+FILE_ROWS = 50_000
+
 _MARKS = ".,;:!?()[]\"'|"
 
 
-def words_of(text: str) -> set[str]:
-    return {w.strip(_MARKS) for w in set(text.lower().split())} - {""}
+def words_of(tokens: Sequence[str]) -> set[str]:
+    """The distinct words among a text's tokens, in lower case and without marks around them."""
+    return {w.lower().strip(_MARKS) for w in set(tokens)} - {""}
 
 
-def features(texts: Sequence[str], words: dict[str, int]) -> np.ndarray:
+def features(texts: Sequence[str], words: dict[str, int], tokens: Sequence[Sequence[str]] | None = None) -> np.ndarray:
+    """A row for each text; ``tokens`` are the texts' tokens, if they are known."""
     out = np.zeros((len(texts), 1 + SHARES * len(STEPS) + len(words)), np.float32)
     out[:, 0] = 1
     for i, text in enumerate(texts):
-        out[i, 1 : 1 + SHARES * len(STEPS)] = pairs_and_steps(text)[1]
-        for w in words_of(text) & words.keys():
+        split = text.split() if tokens is None else tokens[i]
+        out[i, 1 : 1 + SHARES * len(STEPS)] = steps_of(classes_of(text), split)
+        for w in words_of(split) & words.keys():
             out[i, 1 + SHARES * len(STEPS) + words[w]] = 1
     return out
 
@@ -93,7 +100,7 @@ def train(scratch: Scratch, docs: DataFrame, labels: DataFrame, sample: int = SA
 
     def each_word(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array([sorted(words_of(x)) for x in batch.column(0).to_pylist()], pa.list_(pa.string())), batch.column(1), batch.column(2)], ["words", "quality", "toxic"])
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(words_of(x.split())) for x in batch.column(0).to_pylist()], pa.list_(pa.string())), batch.column(1), batch.column(2)], ["words", "quality", "toxic"])
 
     n, quality, toxic = rows.agg(F.count(F.lit(1)), F.sum("quality"), F.sum("toxic")).first()
     known: dict[str, int] = {}
@@ -120,8 +127,8 @@ def train(scratch: Scratch, docs: DataFrame, labels: DataFrame, sample: int = SA
     return {"words": known, "weights": fit_softmax(x, y, len(DOMAINS))}
 
 
-def posteriors(model: dict, texts: Sequence[str]) -> np.ndarray:
-    return softmax(features(texts, model["words"]) @ model["weights"])
+def posteriors(model: dict, texts: Sequence[str], tokens: Sequence[Sequence[str]] | None = None) -> np.ndarray:
+    return softmax(features(texts, model["words"], tokens) @ model["weights"])
 
 
 def members(scratch: Scratch, docs: DataFrame, labels: DataFrame, carried: Sequence[str], sample: int = SAMPLE) -> DataFrame:
@@ -133,9 +140,10 @@ def members(scratch: Scratch, docs: DataFrame, labels: DataFrame, carried: Seque
             for i in range(0, batch.num_rows, 256):
                 part = batch.slice(i, 256)
                 texts = part.column(2).to_pylist()
-                p = posteriors(model.value, texts)
+                tokens = [x.split() for x in texts]
+                p = posteriors(model.value, texts, tokens)
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1) * p.shape[1], pa.int32()), pa.array(p.reshape(-1)))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(x.split()) for x in texts], pa.int64()), lists], ["doc", "doc_id", "n_tokens", "p"])
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array([len(x) for x in tokens], pa.int64()), lists], ["doc", "doc_id", "n_tokens", "p"])
 
     slim = docs.select(F.struct(*(F.col(f"`{c}`") for c in carried)).alias("doc"), F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     out = T.StructType([slim.schema["doc"], slim.schema["doc_id"], *schema("n_tokens long, p array<double>")])
@@ -150,11 +158,21 @@ def rates_after(p: np.ndarray, steps: Sequence[Step], start: float | np.ndarray
     """The rates of rows with posteriors ``p`` after these steps. A step (s, y) leaves rates of 0 whose gradient p . y is above
     0, and takes all others to max(0, rate - p . s)."""
     rate = np.zeros(len(p)) + start
-    for s, y in steps:
-        rate = np.where((rate <= 0) & (p @ y > 0), 0.0, np.maximum(rate - p @ s, 0.0))
+    if len(steps):
+        ways, slopes = (np.array(x) @ p.T for x in zip(*steps, strict=True))
+        for way, slope in zip(ways, slopes, strict=True):
+            rate = np.where((rate <= 0) & (slope > 0), 0.0, np.maximum(rate - way, 0.0))
     return rate
 
 
+def totals_of(n: np.ndarray, p: np.ndarray, steps: Sequence[Step], ends: Sequence[Step]) -> np.ndarray:
+    """For each last step that is tried after ``steps``: the domains' totals of these rows."""
+    before = rates_after(p, steps)
+    ways, slopes = (np.array(x) @ p.T for x in zip(*ends, strict=True))
+    rates = np.where((before <= 0) & (slopes > 0), 0.0, np.maximum(before - ways, 0.0))
+    return rates @ (n[:, None] * p)
+
+
 def stepped(found: DataFrame, steps: Sequence[Step], start: float = 1.0) -> DataFrame:
     """Adds ``rate`` after these steps."""
     steps = list(steps)
@@ -166,20 +184,34 @@ def stepped(found: DataFrame, steps: Sequence[Step], start: float = 1.0) -> Data
     return found.withColumn("rate", rate("p"))
 
 
-def _summed(found: DataFrame, d: int, per_row: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, float]]) -> tuple[np.ndarray, float]:
-    """The sums of the first part of ``per_row(n_tokens, p)`` over all batches, and the least of the second; a task hands on
+def blocks(scratch: Scratch, found: DataFrame, rows: int) -> DataFrame:
+    """A written table of the ``rows`` rows of ``found`` (n_tokens, p): a block of them holds their numbers one after the other
+    in ``n``, and their posteriors row by row in ``p``, both as doubles."""
+
+    def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                both = batch.column(0).to_numpy().astype(float), batch.column(1).flatten().to_numpy()
+                yield pa.RecordBatch.from_arrays([pa.array([x.tobytes()], pa.binary()) for x in both], ["n", "p"])
+
+    files = max(1, -(-rows // FILE_ROWS))
+    return scratch.keep(found.select("n_tokens", "p").coalesce(files).mapInArrow(put, "n binary, p binary"), "blocks")
+
+
+def _summed(found: DataFrame, d: int, per_block: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, float]]) -> tuple[np.ndarray, float]:
+    """The sums of the first part of ``per_block(n_tokens, p)`` over all blocks, and the least of the second; a task hands on
     one row for each number."""
 
     def part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, low = 0.0, np.inf
         for batch in batches:
-            if batch.num_rows:
-                x, y = per_row(batch.column(0).to_numpy().astype(float), batch.column(1).flatten().to_numpy().reshape(-1, d))
-                total, low = total + x, min(low, y)
+            for n, p in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                x, y = per_block(np.frombuffer(n), np.frombuffer(p).reshape(-1, d))
+                total, low = total + x.reshape(-1), min(low, y)
         if np.ndim(total):
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(-1, len(total))), pa.array(np.concatenate(([low], total)))], ["i", "x"])
 
-    got = found.select("n_tokens", "p").mapInArrow(part, "i long, x double").groupBy("i").agg(F.sum("x").alias("x"), F.min("x").alias("low")).collect()
+    got = found.select("n", "p").mapInArrow(part, "i long, x double").groupBy("i").agg(F.sum("x").alias("x"), F.min("x").alias("low")).collect()
     by = {r["i"]: r for r in got}
     return np.array([by[i]["x"] for i in range(len(by) - 1)]), by[-1]["low"]
 
@@ -222,18 +254,14 @@ def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None =
     ``found`` has n_tokens and p. ``total`` is the expected number of tokens in all; by default as many as there are.
     """
     d = len(targets)
-    tokens = float(found.agg(F.sum("n_tokens")).first()[0] or 0)
-    if not tokens:
+    found = found.filter("n_tokens > 0")
+    tokens, rows = found.agg(F.sum("n_tokens"), F.count(F.lit(1))).first()
+    if not rows:
         return [], 0.0
-    found = found.filter("n_tokens > 0").select("n_tokens", "p")
-    upper = np.triu_indices(d)
+    held, upper = blocks(Scratch(found.sparkSession, "rates"), found, rows), np.triu_indices(d)
 
     def totals(steps: list[Step], ends: list[Step]) -> np.ndarray:
-        def tried(n: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, float]:
-            before = rates_after(p, steps)
-            return np.concatenate([(n * rates_after(p, [e], before)) @ p for e in ends]), 0.0
-
-        return _summed(found, d, tried)[0].reshape(len(ends), d) / tokens
+        return _summed(held, d, lambda n, p: (totals_of(n, p, steps, ends), 0.0))[0].reshape(len(ends), d) / tokens
 
     def curvature(steps: list[Step], y: np.ndarray) -> tuple[np.ndarray, float]:
         def free(n: np.ndarray, p: np.ndarray) -> tuple[np.ndarray, float]:
@@ -242,7 +270,7 @@ def fit_rates(found: DataFrame, targets: Sequence[float], total: float | None =
             return (p.T @ (n[:, None] * p))[upper], float(slope.min())
 
         out = np.zeros((d, d))
-        sums, low = _summed(found, d, free)
+        sums, low = _summed(held, d, free)
         out[upper] = sums / tokens
         return out + np.triu(out, 1).T, low
 

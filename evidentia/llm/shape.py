@@ -32,11 +32,19 @@ STOPS = BYTE_CLASS[[ord(c) for c in ".,"]]
 
 def pairs_and_steps(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Counts of the PAIRS pairs of neighbouring bytes' classes, and which steps each share exceeds."""
-    c = BYTE_CLASS[np.frombuffer(text.encode(), np.uint8)]
-    single = np.bincount(c, minlength=CLASSES)
+    c = classes_of(text)
     pairs = np.bincount(c[:-1].astype(np.int64) * CLASSES + c[1:], minlength=PAIRS) if len(c) > 1 else np.zeros(PAIRS, np.int64)
-    words = text.split()
+    return pairs, steps_of(c, text.split())
+
+
+def classes_of(text: str) -> np.ndarray:
+    return BYTE_CLASS[np.frombuffer(text.encode(), np.uint8)]
+
+
+def steps_of(c: np.ndarray, words: list[str]) -> np.ndarray:
+    """Which steps each share exceeds, by the classes of a text's bytes and its words."""
+    single = np.bincount(c, minlength=CLASSES)
     again = sum(map(eq, words, words[1:])) / max(len(words), 1)
     marks = (single[31 : CLASSES - 1].sum() - single[STOPS].sum()) / max(len(c), 1)
     capitals = single[26] / max(len(c), 1)
-    return pairs, (np.array([again, marks, capitals])[:, None] > STEPS).reshape(-1)
+    return (np.array([again, marks, capitals])[:, None] > STEPS).reshape(-1)

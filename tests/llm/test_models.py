@@ -205,3 +205,32 @@ def test_targets_out_of_reach_are_met_as_nearly_as_can_be(spark):
     found = spark.createDataFrame([(i, 10, [0.25] * 4) for i in range(50)], "doc_id long, n_tokens long, p array<double>")
     steps, off = M.fit_rates(found, M.TARGETS)
     assert off == pytest.approx(0.66) and {round(r.rate, 6) for r in M.stepped(found, steps).collect()} == {1.0}
+
+
+def test_sums_read_blocks_rather_than_rows(spark):
+    """A block holds a batch's numbers as they are, and the sums over blocks are those of a plain loop over rows and steps."""
+    rng = np.random.default_rng(8)
+    p, n = rng.dirichlet([1, 1, 1], 2500), rng.integers(1, 100, 2500)
+    held = M.blocks(M.Scratch(spark, "test"), table_of(spark, n, p).repartition(1).sortWithinPartitions("doc_id"), 2500)
+    got = held.collect()
+    assert len(got) == 3
+    assert np.concatenate([np.frombuffer(r.n) for r in got]).tolist() == n.tolist() and (np.concatenate([np.frombuffer(r.p) for r in got]).reshape(-1, 3) == p).all()
+    steps, ends = [[(rng.normal(0, 1, 3), rng.normal(0, 1, 3)) for _ in range(k)] for k in (6, 4)]
+
+    def plain(row, moves):
+        rate = 1.0
+        for s, y in moves:
+            rate = 0.0 if rate <= 0 and sum(row * y) > 0 else max(rate - sum(row * s), 0.0)
+        return rate
+
+    want = [sum(k * plain(row, [*steps, end]) * row for k, row in zip(n, p, strict=True)) for end in ends]
+    assert np.allclose(M.totals_of(n.astype(float), p, steps, ends), want)
+    assert np.allclose(M._summed(held, 3, lambda n, p: (M.totals_of(n, p, steps, ends), 0.0))[0].reshape(4, 3), want)
+    assert np.allclose(M.rates_after(p, steps), [plain(row, steps) for row in p])
+
+
+def test_words_of_split_text_are_those_of_the_lowered_text():
+    for text in ("Some (Words), \"some\" 'WORDS' -- more.", "ΟΔΟΣ ΣΑΣ. İstanbul IJ Straẞe\x1cǅ", "", " ... !! "):
+        assert M.words_of(text.split()) == {w.strip(M._MARKS) for w in text.lower().split()} - {""}
+    # nothing becomes white space, or stops being it, in lower case
+    assert all([c.isspace() for c in chr(i).lower()] == [chr(i).isspace()] * len(chr(i).lower()) for i in range(0x110000))
